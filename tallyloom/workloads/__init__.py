@@ -27,4 +27,4 @@ def case(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def load_all() -> None:
-    from . import checks, loads, shape, state, text  # noqa: F401
+    from . import checks, loads, reconcile, shape, state, text  # noqa: F401
