@@ -1,49 +1,53 @@
-"""Size scales and size curves as arrays and maps."""
+"""Size scales and size curves as arrays and maps.
+
+Texts are taken apart with regular expressions over the whole text. What is
+needed several times is bound once (``_let``): Spark would evaluate a shared
+expression again in each conditional branch.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import ColumnOrName, as_col
-from .text import strip
+from .text import is_blank, spaced
 
 WIDTH = 8
 
+# one "qty/size" word, whatever follows a second slash is dropped
+_WORD = r"(?<![^ ])([^ /]*)/([^ /]*)[^ ]*"
+# one "qty/size" part of a dashed text, blanks around both trimmed
+_PART = r"(?:^|-) *([^-/]*?) */ *([^-/]*?) *(?=/|-|$)"
+_QUANTITIES = r"^(?:[+-]?[0-9]{1,9}(?:,|$))*$"
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate a value once and use it several times in an expression.
 
-    A plain Python variable would repeat the whole expression, inside a
-    lambda once per element.
-    """
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate a value once and use it several times."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _entries(tokens: Column, upper: bool = False) -> Column:
-    """``'10/S'`` tokens -> array of (size, qty); a bad part becomes NULL."""
+def _pairs(text: Column, pattern: str) -> Column:
+    """Sizes and quantity texts of all words, as two arrays."""
 
-    def one(token: Column) -> Column:
-        parts = F.split(token, "/")
-        size = strip(F.get(parts, F.lit(1)))
-        return F.struct(
-            (F.upper(size) if upper else size).alias("size"),
-            strip(F.get(parts, F.lit(0))).try_cast("int").alias("qty"),
-        )
+    def group(n: int) -> Column:
+        return F.regexp_extract_all(text, F.lit(pattern), F.lit(n))
 
-    return F.transform(tokens, one)
+    return F.struct(group(2).alias("sizes"), group(1).alias("quantities"))
 
 
-def _words(c: Column) -> Column:
-    return F.filter(F.split(c, r"(?U)\s+"), lambda t: t != "")
+def _readable(quantities: Column) -> Column:
+    """Every quantity is a whole number."""
+    joined = F.array_join(quantities, ",")
+    return joined.rlike(_QUANTITIES) & ~joined.contains(",,") & ~joined.endswith(",")
 
 
-def _pad(values: Column, filler: Column) -> Column:
-    """Extend to eight places; longer arrays stay as they are."""
-    missing = F.greatest(F.lit(WIDTH) - F.size(values), F.lit(0))
-    return F.concat(values, F.array_repeat(filler, missing))
+def _padded(values: Column, filler: Column) -> Column:
+    return F.slice(F.concat(values, F.array_repeat(filler, WIDTH)), 1, WIDTH)
 
 
 def parse_scale(desc: ColumnOrName) -> Column:
@@ -53,51 +57,48 @@ def parse_scale(desc: ColumnOrName) -> Column:
     zero. More than eight sizes, or a quantity that is no whole number, set
     ``error`` instead of stopping the load.
     """
-    desc = as_col(desc)
-    words = F.filter(_words(desc), lambda t: t.contains("/"))
 
-    def result(entries: Column) -> Column:
+    def result(pair: Column) -> Column:
+        sizes, quantities = pair["sizes"], pair["quantities"]
         error = (
-            F.when(F.exists(entries, lambda e: e["qty"].isNull()), "quantity is not a whole number")
-            .when(F.size(entries) > WIDTH, "more than eight sizes")
+            F.when(sizes.isNull(), "no description")
+            .when((F.size(quantities) > 0) & ~_readable(quantities), "quantity is not a whole number")
+            .when(F.size(sizes) > WIDTH, "more than eight sizes")
         )
+        return F.struct(sizes.alias("sizes"), quantities.alias("quantities"), error.alias("error"))
+
+    def finished(found: Column) -> Column:
+        fine = found["error"].isNull()
+        quantities = found["quantities"].cast("array<int>")
         return F.struct(
-            _pad(F.transform(entries, lambda e: e["size"]), F.lit("NONE")).alias("sizes"),
-            _pad(F.transform(entries, lambda e: e["qty"]), F.lit(0)).alias("quantities"),
-            error.alias("error"),
+            F.when(fine, _padded(found["sizes"], F.lit("NONE"))).alias("sizes"),
+            F.when(fine, _padded(quantities, F.lit(0))).alias("quantities"),
+            found["error"].alias("error"),
         )
 
-    missing = F.struct(
-        F.lit(None).cast("array<string>").alias("sizes"),
-        F.lit(None).cast("array<int>").alias("quantities"),
-        F.lit("no description").alias("error"),
-    )
-    parsed = _let(F.when(desc.isNotNull(), _let(_entries(words), result)).otherwise(missing), _only_good)
-    return parsed
-
+    return _let(_let(_pairs(spaced(desc), _WORD), result), finished)
 
-def _only_good(scale: Column) -> Column:
-    fine = scale["error"].isNull()
-    return F.struct(
-        F.when(fine, scale["sizes"]).alias("sizes"),
-        F.when(fine, scale["quantities"]).alias("quantities"),
-        scale["error"].alias("error"),
-    )
 
+def _last_wins_map(pairs: Column, parts: Column) -> Column:
+    """Map of size -> qty where the last of several equal sizes counts.
 
-def _last_wins_map(entries: Column) -> Column:
-    """Map of size -> qty where the last of several equal sizes counts."""
+    NULL when a part has no slash or no whole quantity.
+    """
 
-    def result(es: Column) -> Column:
-        size = F.size(es)
-        kept = F.filter(
-            es,
-            lambda e, i: ~F.exists(F.slice(es, i + 2, size), lambda later: later["size"] == e["size"]),
+    def result(pair: Column) -> Column:
+        sizes, numbers = pair["sizes"], pair["quantities"].cast("array<int>")
+        distinct = F.array_distinct(sizes)
+        # rare: look the last position of each size up in the reversed arrays
+        latest = F.transform(
+            distinct,
+            lambda s: F.get(F.reverse(numbers), (F.array_position(F.reverse(sizes), s) - 1).cast("int")),
+        )
+        mapped = F.when(F.size(distinct) == F.size(sizes), F.map_from_arrays(sizes, numbers)).otherwise(
+            F.map_from_arrays(distinct, latest)
         )
-        broken = F.exists(es, lambda e: e["qty"].isNull() | e["size"].isNull())
-        return F.when(~broken, F.map_from_entries(kept))
+        return F.when((F.size(sizes) == parts) & _readable(pair["quantities"]), mapped)
 
-    return _let(entries, result)
+    return _let(pairs, result)
 
 
 def _no_sizes() -> Column:
@@ -106,50 +107,49 @@ def _no_sizes() -> Column:
 
 def scale_map(desc: ColumnOrName) -> Column:
     """Scale description -> map; no slash at all gives ``{none: 0}``, bad text NULL."""
-    desc = as_col(desc)
-    return F.when(desc.contains("/"), _last_wins_map(_entries(_words(desc)))).otherwise(_no_sizes())
+    text = spaced(desc)
+    words = F.regexp_count(text, F.lit("[^ ]+"))
+    return F.when(
+        text.contains("/"), _last_wins_map(_pairs(text, _WORD), words)
+    ).otherwise(_no_sizes())
 
 
-def curve_map(text: ColumnOrName) -> Column:
+def curve_map(curve: ColumnOrName) -> Column:
     """``'10/S-20/M'`` -> map; blank gives ``{none: 0}``, bad text NULL."""
-    text = as_col(text)
-    blank = text.isNull() | (strip(text) == "")
-    return F.when(blank, _no_sizes()).otherwise(
-        _last_wins_map(_entries(F.split(text, "-"), upper=True))
+    text = F.upper(spaced(curve))
+    parts = F.regexp_count(text, F.lit("-")) + 1
+    return F.when(is_blank(curve), _no_sizes()).otherwise(
+        _last_wins_map(_pairs(text, _PART), parts)
     )
 
 
 def range_labels(cols: list[ColumnOrName]) -> Column:
     """Distinct size labels in bucket order, without trailing blanks."""
-    labels = F.transform(F.array(*[as_col(c) for c in cols]), lambda s: F.coalesce(s, F.lit("")))
-    filled = F.filter(
-        F.transform(labels, lambda s, i: F.when(s != "", i + 1).otherwise(F.lit(0))), lambda n: n > 0
-    )
-    length = F.coalesce(F.array_max(filled), F.lit(0))
-    return F.array_distinct(F.slice(labels, F.lit(1), length))
+    labels = [F.coalesce(as_col(c), F.lit("")) for c in cols]
+    last = F.greatest(F.lit(0), *[F.when(s != "", i + 1) for i, s in enumerate(labels)])
+    return F.array_distinct(F.slice(F.array(*labels), F.lit(1), last))
 
 
 def align_curve(curve: ColumnOrName, labels: ColumnOrName) -> Column:
-    """Quantities in label order, missing sizes zero, padded to eight places.
+    """Quantities in label order, missing sizes zero, always eight places.
 
     NULL when there are more than eight labels or either side is unknown.
     """
-
-    def result(pair: Column) -> Column:
-        known, names = pair["curve"], pair["labels"]
-        placed = F.transform(names, lambda s: F.coalesce(F.try_element_at(known, s), F.lit(0)))
-        return F.when(known.isNotNull() & (F.size(names) <= WIDTH), _pad(placed, F.lit(0)))
-
-    return _let(F.struct(as_col(curve).alias("curve"), as_col(labels).alias("labels")), result)
+    curve, labels = as_col(curve), as_col(labels)
+    places = [
+        F.coalesce(F.try_element_at(curve, F.get(labels, F.lit(i))), F.lit(0)) for i in range(WIDTH)
+    ]
+    return F.when(curve.isNotNull() & (F.size(labels) <= WIDTH), F.array(*places))
 
 
-def array_total(values: ColumnOrName) -> Column:
-    return F.aggregate(as_col(values), F.lit(0).cast("long"), lambda acc, v: acc + v)
+def placed_total(values: ColumnOrName) -> Column:
+    """Sum of an aligned curve."""
+    return reduce(add, [F.get(as_col(values), F.lit(i)).cast("long") for i in range(WIDTH)])
 
 
 def pack_size(scale: ColumnOrName) -> Column:
     """Pieces in one prepack carton."""
-    return array_total(F.map_values(as_col(scale)))
+    return F.aggregate(F.map_values(as_col(scale)), F.lit(0).cast("long"), lambda acc, v: acc + v)
 
 
 def explode_prepack(scale: ColumnOrName, packs: ColumnOrName) -> Column:

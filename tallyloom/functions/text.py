@@ -10,10 +10,14 @@ from pyspark.sql import functions as F
 
 from . import ColumnOrName, as_col
 
-_SPACE_RUN = r"(?U)\s+"
-_OUTER_SPACE = r"(?U)^\s+|\s+$"
+# fixed values: characters that count as white space
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+    "\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 # fixed values: container number format and the carriers exempt from it
+WHOLE_NUMBER = "^[+-]?[0-9]{1,9}$"
 CONTAINER_PATTERN = "^[A-Z]{4}[0-9]{7}$"
 CONTAINER_EXEMPT = ("AIR", "FEDEX")
 
@@ -28,7 +32,17 @@ def zfill(c: ColumnOrName, width: int) -> Column:
 
 def strip(c: ColumnOrName) -> Column:
     """Remove leading and trailing white space of every kind."""
-    return F.regexp_replace(as_col(c), _OUTER_SPACE, "")
+    return F.btrim(as_col(c), F.lit(WHITE_SPACE))
+
+
+def spaced(c: ColumnOrName) -> Column:
+    """White space of every kind as plain blanks."""
+    return F.translate(as_col(c), WHITE_SPACE, " " * len(WHITE_SPACE))
+
+
+def words(c: ColumnOrName) -> Column:
+    """Split at white space of every kind; no empty words."""
+    return F.filter(F.split(spaced(c), " "), lambda w: w != "")
 
 
 def is_blank(c: ColumnOrName) -> Column:
@@ -36,6 +50,16 @@ def is_blank(c: ColumnOrName) -> Column:
     return c.isNull() | (strip(c) == "")
 
 
+def whole_number(c: ColumnOrName) -> Column:
+    """Text -> int; NULL for any other text.
+
+    The text is looked at before it is cast: a failing ``try_cast`` raises
+    and catches an exception for every row.
+    """
+    c = strip(c)
+    return F.when(c.rlike(WHOLE_NUMBER), c.cast("int"))
+
+
 def numeric_code(c: ColumnOrName, width: int) -> Column:
     """``5`` or ``5.0`` becomes a padded code; text codes are left alone."""
     c = as_col(c)
@@ -73,7 +97,7 @@ def clean_id(c: ColumnOrName) -> Column:
 
 def squeeze_id(c: ColumnOrName) -> Column:
     """Drop white space of every kind and upper-case."""
-    return F.upper(F.regexp_replace(as_col(c), _SPACE_RUN, ""))
+    return F.upper(F.translate(as_col(c), WHITE_SPACE, ""))
 
 
 def season_code(c: ColumnOrName) -> Column:
@@ -140,7 +164,7 @@ def before(c: ColumnOrName, sep: str) -> Column:
 def count_after_colon(c: ColumnOrName) -> Column:
     """``'CTN: 24X'`` -> 24; NULL when the text has another shape."""
     text = strip(F.get(F.split(as_col(c), ":"), F.lit(1)))
-    return F.left(text, F.length(text) - 1).try_cast("int")
+    return whole_number(F.left(text, F.length(text) - 1))
 
 
 def scale_after_at(c: ColumnOrName) -> Column:

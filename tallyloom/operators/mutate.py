@@ -44,13 +44,14 @@ def require_keys(df: DataFrame, keys: Sequence[str], what: str = "source") -> Da
     """
     known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     w = Window.partitionBy(*keys).orderBy(*keys)
-    numbered = df.withColumn("_copy", F.row_number().over(w))
     name = ", ".join(keys)
-    return (
-        numbered.filter(F.assert_true(known, F.lit(f"null key in {what}: {name}")).isNull())
-        .filter(F.assert_true(F.col("_copy") == 1, F.lit(f"repeated key in {what}: {name}")).isNull())
-        .drop("_copy")
+    complaint = F.when(~known, F.lit(f"null key in {what}: {name}")).otherwise(
+        F.lit(f"repeated key in {what}: {name}")
     )
+    # one condition on the window's result, so that it is never evaluated on
+    # rows an earlier join or filter removes
+    fine = F.assert_true(known & (F.col("_copy") == 1), complaint).isNull()
+    return df.withColumn("_copy", F.row_number().over(w)).filter(fine).drop("_copy")
 
 
 def _unique_source(source: DataFrame, keys: Sequence[str], on_duplicate: str, order: Sequence[str]) -> DataFrame:

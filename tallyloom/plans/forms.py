@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import dates, nested, rules, text
 from ..functions.amounts import buckets, pack_count
 from ..operators.checks import all_exceptions, exception_rows
+from ..session import stage
 from ..sources.forms import body_end, body_lines, header_cells, mixed_forms
 
 # fixed values: texts that mark a web-shop order
@@ -20,7 +21,7 @@ def form_headers(cells: DataFrame) -> DataFrame:
     return raw.select(
         "file",
         text.zfill("hfc_nbr", 6).alias("hfc_nbr"),
-        F.col("div").try_cast("int").alias("div"),
+        text.whole_number("div").alias("div"),
         dates.to_day("ship_date").alias("ship_date"),
         dates.to_day("x_orient").alias("x_orient"),
         rules.knit_or_woven("knit_box", "woven_box").alias("cat"),
@@ -47,7 +48,7 @@ def _placed(lines: DataFrame, labels: DataFrame) -> DataFrame:
         .when(F.col("sizes").isNull(), "more than eight sizes")
     )
     return placed.withColumn("problem", F.coalesce("problem", problem)).withColumn(
-        "adds_up", (nested.array_total("sizes") == F.col("ttl_qty")).cast("int")
+        "adds_up", (nested.placed_total("sizes") == F.col("ttl_qty")).cast("int")
     )
 
 
@@ -62,7 +63,7 @@ def form_lines(
     lines = (
         body_lines(cells)
         .join(headers.select("file", "hfc_nbr", "kind", "hfc_size_scale_code"), "file")
-        .withColumn("ttl_qty", F.col("ttl_qty").try_cast("int"))
+        .withColumn("ttl_qty", text.whole_number("ttl_qty"))
     )
     bulk = (
         lines.filter("kind = 'BULK'")
@@ -85,7 +86,8 @@ def form_lines(
         .withColumn("problem", F.when(F.col("_packs").isNull(), "not a whole number of packs"))
         .select(*bulk.columns)
     )
-    placed = _placed(bulk, labels).unionByName(_placed(prepack, labels))
+    # good and bad lines and two checks read this
+    placed = stage(_placed(bulk, labels).unionByName(_placed(prepack, labels)))
     keep = [
         "file", "hfc_nbr", "kind", "row", "style", "asst", "style_desc", "proto", "color_code",
         "ttl_qty", "fob", "msrp", "elc", "sp",

@@ -18,6 +18,7 @@ from ..operators.compare import live, ne_or_null
 from ..operators.mutate import require_keys, update_from, upsert
 from ..params import MONEY_TOLERANCE
 from ..schemas import KEYS
+from ..session import stage
 from . import Load
 
 _HEADER_SET = {
@@ -147,14 +148,17 @@ def reconcile_invoices(
 ) -> Load:
     """Tie agents' summaries, lines, payments, packing lists and containers
     together; all inputs but the tables are cleaned feeds."""
+    # every check reads these: written once, not worked out again
+    details = stage(details)
+    invoice_containers = stage(invoice_containers)
     known_lines = live(po_details).select(F.col("HFC_NBR").alias("HFC"), "STYLE")
-    billed = headers.join(payments, "INVOICE_NBR", "full_outer")
-    summary = invoice_totals(billed, details)
+    billed = stage(headers.join(payments, "INVOICE_NBR", "full_outer"))
+    summary = stage(invoice_totals(billed, details))
     loaded = containers.filter(F.col("OBL_AWB").isNotNull()).select(
         "CONTAINER_NBR", "HFC_NBR", "OBL_AWB", "CARTON_CTN"
     )
     pair = ["CONTAINER_NBR", "HFC_NBR"]
-    shipped = loaded.join(invoice_containers, pair)
+    shipped = stage(loaded.join(invoice_containers, pair))
 
     found = [
         exception_rows(

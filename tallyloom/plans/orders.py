@@ -17,7 +17,6 @@ from ..operators.mutate import (
     apply_corrections,
     require_keys,
     scope_values,
-    update_from,
     update_where,
     upsert_soft_delete,
 )

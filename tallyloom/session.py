@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +17,7 @@ def local_session(app: str = "tallyloom", cores: str = "*") -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
@@ -40,11 +42,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def stage(df: DataFrame) -> DataFrame:
-    """Materialise a frame used by both the checks and the new state.
+    """Write a frame that several branches of a load need, and read it back.
 
-    Written to the shared folder, so a lost executor costs nothing.
+    The table lies in the shared folder: a lost executor costs nothing, later
+    branches start from a scan with known size and prune its columns.
     """
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    path = f"{shared_dir(spark)}/stage/{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.amounts import buckets, money_sum, sum0
+from ..functions.amounts import money_sum, sum0
 from ..operators import checks as qc
 from ..operators import mutate
 from ..operators.checks import all_exceptions, exception_rows
@@ -20,7 +20,6 @@ from .adapters import (
     PO_DETAILS,
     PO_HEADERS,
     STORED_ORDERS,
-    digits,
     feed_orders,
     po_details,
     po_headers,

@@ -6,10 +6,9 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import text
-from ..functions.amounts import buckets, money, sum0
-from ..functions.nested import range_labels
-from ..operators.compare import active_orders
-from ..plans import conform, dimensions, forms, invoices, movements, orders, purchase_orders
+from ..functions.amounts import buckets
+from ..session import stage
+from ..plans import conform, dimensions, movements, orders, purchase_orders
 from . import case
 from .adapters import (
     AS_OF,
@@ -35,7 +34,6 @@ from .adapters import (
     with_clause,
     z,
 )
-from .shape import _FORM_ROWS, form_cells
 
 KEY = "GREEN_BAR, STYLE, COLOR"
 EIGHT = range(1, 9)
@@ -114,12 +112,12 @@ def _load_sql(generation: int) -> str:
 
 def _load_orders(spark, folder, generation):
     feed = as_text(feed_orders(spark, folder))
-    cleaned = orders.clean_orders(feed.withColumn("FILE", F.col("SEASON")), generation)
+    cleaned = stage(orders.clean_orders(feed.withColumn("FILE", F.col("SEASON")), generation))
     dated = orders.impute_ship_date(cleaned, AS_OF, green_bar_customers=BY_ORDER)
     return orders.load_orders(
         stored_orders(spark, folder),
         dated,
-        orders.clean_open_orders(open_orders(spark, folder)),
+        stage(orders.clean_open_orders(open_orders(spark, folder))),
         generation,
         seasons=cleaned,
     )

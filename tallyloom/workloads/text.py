@@ -295,14 +295,22 @@ def align_curve(spark, folder):
     curve = F.concat(
         q, F.lit("/ "), F.lower("l_returnflag"), F.lit(" - "), ln, F.lit("/"), F.col("l_linestatus"), again
     )
-    labels = nested.range_labels([F.lit(s) for s in ("A", "N", "R", "F", "O", "", "", "")])
-    sizes = table(spark, folder, "lineitem").withColumn("v", nested.align_curve(nested.curve_map(curve), labels))
+    sizes = [F.lit(s) for s in ("A", "N", "R", "F", "O", "", "", "")]
+    labels = table(spark, folder, "part").select(
+        F.col("p_partkey").alias("l_partkey"), nested.range_labels(sizes).alias("labels")
+    )
+    sizes = (
+        table(spark, folder, "lineitem")
+        .withColumn("curve", nested.curve_map(curve))
+        .join(labels, "l_partkey")
+        .withColumn("v", nested.align_curve("curve", "labels"))
+    )
     wanted = F.col("l_quantity").cast("long") + F.col("l_linenumber")
     same = F.col("l_returnflag") != "A"
     return sizes.select(
         *_LINE.split(", "),
         *nested.fold_to_columns("v", [b.lower() for b in buckets()]),
-        (same & (nested.array_total("v") == wanted)).cast("int").alias("adds_up"),
+        (same & (nested.placed_total("v") == wanted)).cast("int").alias("adds_up"),
     )
 
 
