@@ -23,7 +23,7 @@ WIDTH = 8
 _WORD = r"(?<![^ ])([^ /]*)/([^ /]*)[^ ]*"
 # one "qty/size" part of a dashed text, blanks around both trimmed
 _PART = r"(?:^|-) *([^-/]*?) */ *([^-/]*?) *(?=/|-|$)"
-_QUANTITIES = r"^(?:[+-]?[0-9]{1,9}(?:,|$))*$"
+_QUANTITIES = r"^[+-]?[0-9]{1,9}(?:,[+-]?[0-9]{1,9})*$"
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -42,8 +42,7 @@ def _pairs(text: Column, pattern: str) -> Column:
 
 def _readable(quantities: Column) -> Column:
     """Every quantity is a whole number."""
-    joined = F.array_join(quantities, ",")
-    return joined.rlike(_QUANTITIES) & ~joined.contains(",,") & ~joined.endswith(",")
+    return (F.size(quantities) == 0) | F.array_join(quantities, ",").rlike(_QUANTITIES)
 
 
 def _padded(values: Column, filler: Column) -> Column:
@@ -62,7 +61,7 @@ def parse_scale(desc: ColumnOrName) -> Column:
         sizes, quantities = pair["sizes"], pair["quantities"]
         error = (
             F.when(sizes.isNull(), "no description")
-            .when((F.size(quantities) > 0) & ~_readable(quantities), "quantity is not a whole number")
+            .when(~_readable(quantities), "quantity is not a whole number")
             .when(F.size(sizes) > WIDTH, "more than eight sizes")
         )
         return F.struct(sizes.alias("sizes"), quantities.alias("quantities"), error.alias("error"))

@@ -189,9 +189,13 @@ def update_from(
     on_duplicate: str = "fail",
     order: Sequence[str] = (),
 ) -> DataFrame:
-    """Update the target rows that have a source row; others stay untouched."""
+    """Update the target rows that have a source row; others stay untouched.
+
+    A source row with a null in its key matches nothing and is ignored.
+    """
     pairs = key_map(keys)
-    unique = _unique_source(source, list(pairs.values()), on_duplicate, order)
+    keyed = source.na.drop(subset=list(pairs.values()))
+    unique = _unique_source(keyed, list(pairs.values()), on_duplicate, order)
     new = _prefixed(unique).withColumn("_in_source", F.lit(True))
     condition = [F.col(f"`{t}`") == F.col(f"`_s_{s}`") for t, s in pairs.items()]
     joined = target.join(new, condition, "left")
