@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_staged: weakref.WeakSet[DataFrame] = weakref.WeakSet()
+
+
 def local_session(app: str = "tallyloom", cores: str = "*") -> SparkSession:
     """A session for tests and benches; a cluster brings its own."""
     return (
@@ -45,9 +49,14 @@ def stage(df: DataFrame) -> DataFrame:
     """Write a frame that several branches of a load need, and read it back.
 
     The table lies in the shared folder: a lost executor costs nothing, later
-    branches start from a scan with known size and prune its columns.
+    branches start from a scan with known size and prune its columns. A frame
+    that is staged already is returned as it is.
     """
+    if df in _staged:
+        return df
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/stage/{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    _staged.add(back)
+    return back

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..functions.amounts import buckets
+from ..session import stage
 
 AS_OF = "2001-01-01"
 FEED_FROM = "1998-01-01"
@@ -95,6 +96,11 @@ def order_lines(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def shared_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines for queries that use them several times: written once."""
+    return stage(order_lines(spark, folder))
+
+
 def _units_sql(cond: str) -> str:
     return f"CAST(sum(CASE WHEN {cond} THEN l_quantity ELSE 0 END) AS BIGINT)"
 
@@ -122,14 +128,13 @@ ol AS (
 )"""
 
 
-def stored_orders(spark: SparkSession, folder: str) -> DataFrame:
+def stored_orders(lines: DataFrame) -> DataFrame:
     """The order table before a load: every order that is not new.
 
     Its seasons follow the ship date, so matched lines change season; lines
     of the last priority were cancelled before.
     """
-    lines = order_lines(spark, folder).filter("STATUS <> 'O'")
-    return lines.select(
+    return lines.filter("STATUS <> 'O'").select(
         "GREEN_BAR", "STYLE", "COLOR", "DIV", "CUST_NBR", "ORDER_DATE", "START_SHIP", "CXL_SHIP", "CUST_PO",
         season_of(F.col("START_SHIP")).alias("SEASON"),
         "SP", "ORDERED_UNITS", "SHIPPED_UNITS", F.col("BAL").alias("BAL_UNITS"), "PICK_UNITS", "SHIP_ON_DATE",
@@ -155,9 +160,9 @@ st AS (
 )"""
 
 
-def feed_orders(spark: SparkSession, folder: str) -> DataFrame:
+def feed_orders(lines: DataFrame) -> DataFrame:
     """Today's order extract: open orders of the current seasons."""
-    return order_lines(spark, folder).filter((F.col("STATUS") != "F") & (F.col("ORDER_DATE") >= FEED_FROM))
+    return lines.filter((F.col("STATUS") != "F") & (F.col("ORDER_DATE") >= FEED_FROM))
 
 
 FEED_ORDERS = f"fd AS (SELECT * FROM ol WHERE STATUS <> 'F' AND ORDER_DATE >= DATE '{FEED_FROM}')"
@@ -182,11 +187,10 @@ def as_text(lines: DataFrame) -> DataFrame:
     )
 
 
-def open_orders(spark: SparkSession, folder: str) -> DataFrame:
+def open_orders(lines: DataFrame) -> DataFrame:
     """Open-order extract: every line with a balance."""
     return (
-        order_lines(spark, folder)
-        .filter("BAL > 0")
+        lines.filter("BAL > 0")
         .select("GREEN_BAR", "STYLE", "COLOR", F.col("SHIPPED_UNITS").alias("SHIPPED"), "BAL", *buckets())
     )
 
@@ -194,9 +198,8 @@ def open_orders(spark: SparkSession, folder: str) -> DataFrame:
 OPEN_ORDERS = f"oo AS (SELECT GREEN_BAR, STYLE, COLOR, SHIPPED_UNITS AS SHIPPED, BAL, {', '.join(buckets())} FROM ol WHERE BAL > 0)"
 
 
-def po_details(spark: SparkSession, folder: str) -> DataFrame:
+def po_details(lines: DataFrame) -> DataFrame:
     """Order lines as purchase-order lines: HFC = order, size buckets = balance."""
-    lines = order_lines(spark, folder)
     return lines.select(
         F.col("GREEN_BAR").alias("HFC_NBR"),
         "STYLE",

@@ -21,10 +21,12 @@ from .adapters import (
     PO_HEADERS,
     STORED_ORDERS,
     feed_orders,
+    order_lines,
     po_details,
     po_headers,
     season_of,
     season_sql,
+    shared_lines,
     stored_orders,
     table,
     with_clause,
@@ -90,8 +92,9 @@ def mixed_scale(spark, folder):
     HAVING TTL_QTY <> {' + '.join(f'sum(S{i}_QTY)' for i in range(1, 9))}""",
 )
 def size_break(spark, folder):
+    lines = order_lines(spark, folder)
     wrong = F.when(F.col("STYLE").endswith("7"), 1).otherwise(0)
-    details = po_details(spark, folder).withColumn("TTL_QTY", F.col("TTL_QTY") + wrong)
+    details = po_details(lines).withColumn("TTL_QTY", F.col("TTL_QTY") + wrong)
     return size_break_review(details, po_headers(spark, folder), excluded_div=5, excluded_customer="00007")
 
 
@@ -104,11 +107,9 @@ def size_break(spark, folder):
     WHERE STYLE_SSN IS NULL OR HFC_SSN <> STYLE_SSN""",
 )
 def season_conflict(spark, folder):
-    from .adapters import order_lines
-
-    lines = order_lines(spark, folder)
+    lines = shared_lines(spark, folder)
     styles = lines.filter("STATUS <> 'O'").groupBy("STYLE").agg(F.max("SEASON").alias("SEASON"))
-    return season_conflicts(styles, po_details(spark, folder), po_headers(spark, folder))
+    return season_conflicts(styles, po_details(lines), po_headers(spark, folder))
 
 
 @case(
@@ -184,9 +185,10 @@ def piece_checks(spark, folder):
     WHERE "TTL_STORED" IS NULL OR "TTL_SENT" <> "TTL_STORED\"""",
 )
 def control_totals(spark, folder):
+    lines = shared_lines(spark, folder)
     keys = ["GREEN_BAR", "STYLE", "COLOR"]
-    feed = feed_orders(spark, folder).select(*keys, "SEASON", "CUST_NBR", "BAL")
-    state = stored_orders(spark, folder).select(*keys, "SEASON", "CUST_NBR", F.col("BAL_UNITS").alias("BAL"))
+    feed = feed_orders(lines).select(*keys, "SEASON", "CUST_NBR", "BAL")
+    state = stored_orders(lines).select(*keys, "SEASON", "CUST_NBR", F.col("BAL_UNITS").alias("BAL"))
     new = mutate.upsert(state, feed, keys, {c: c for c in ("SEASON", "CUST_NBR", "BAL")})
     return qc.control_totals(feed, new, ["SEASON", "CUST_NBR"], "BAL")
 

@@ -29,6 +29,7 @@ from .adapters import (
     po_headers,
     season_of,
     season_sql,
+    shared_lines,
     stored_orders,
     table,
     with_clause,
@@ -63,7 +64,7 @@ def _imputed(source: str, name: str = "im") -> str:
 )
 def impute_ship_date(spark, folder):
     lines = orders.impute_ship_date(
-        order_lines(spark, folder), AS_OF, group="SEASON", green_bar_customers=BY_ORDER
+        shared_lines(spark, folder), AS_OF, group="SEASON", green_bar_customers=BY_ORDER
     )
     return lines.select("GREEN_BAR", "STYLE", "COLOR", "SEASON", "SHIP_ON_DATE")
 
@@ -73,7 +74,7 @@ def impute_ship_date(spark, folder):
     f"""{with_clause(ORDER_LINES)} SELECT {KEY}, max(SHIP_ON_DATE) OVER (PARTITION BY SEASON, GREEN_BAR) AS SHIP_ON_DATE FROM ol""",
 )
 def impute_by_order(spark, folder):
-    lines = orders.impute_ship_date_by_order(order_lines(spark, folder), group="SEASON")
+    lines = orders.impute_ship_date_by_order(shared_lines(spark, folder), group="SEASON")
     return lines.select("GREEN_BAR", "STYLE", "COLOR", "SHIP_ON_DATE")
 
 
@@ -111,13 +112,14 @@ def _load_sql(generation: int) -> str:
 
 
 def _load_orders(spark, folder, generation):
-    feed = as_text(feed_orders(spark, folder))
+    lines = shared_lines(spark, folder)
+    feed = as_text(feed_orders(lines))
     cleaned = stage(orders.clean_orders(feed.withColumn("FILE", F.col("SEASON")), generation))
     dated = orders.impute_ship_date(cleaned, AS_OF, green_bar_customers=BY_ORDER)
     return orders.load_orders(
-        stored_orders(spark, folder),
+        stored_orders(lines),
         dated,
-        stage(orders.clean_open_orders(open_orders(spark, folder))),
+        orders.clean_open_orders(open_orders(lines)),
         generation,
         seasons=cleaned,
     )
@@ -141,14 +143,15 @@ def load_orders_gen1(spark, folder):
     UNION SELECT SEASON FROM st WHERE COMMENT IN ('COMPLETE', 'DEACTIVE')""",
 )
 def touched_seasons(spark, folder):
+    lines = shared_lines(spark, folder)
     seasons = orders.touched_seasons(
-        stored_orders(spark, folder), feed_orders(spark, folder), open_orders(spark, folder)
+        stored_orders(lines), feed_orders(lines), open_orders(lines)
     )
     return spark.createDataFrame([(s,) for s in seasons], "SEASON string")
 
 
-def _named_orders(spark, folder):
-    return stored_orders(spark, folder).withColumn("CUST_PO", F.col("GREEN_BAR"))
+def _named_orders(lines):
+    return stored_orders(lines).withColumn("CUST_PO", F.col("GREEN_BAR"))
 
 
 _ALIASES = {"NATION_1": "NATION_2", "NATION_3": "NATION_2"}
@@ -169,9 +172,10 @@ _NAMES = """na AS (SELECT CUST_NBR, CASE WHEN CUST_NAME IN ('NATION_1', 'NATION_
     FROM st LEFT JOIN v ON v.po = CASE WHEN st.CUST_NBR = '00007' THEN left(st.GREEN_BAR, 4) ELSE st.GREEN_BAR END""",
 )
 def upfront_offprice(spark, folder):
+    lines = shared_lines(spark, folder)
     marked = orders.mark_upfront(
-        _named_orders(spark, folder),
-        po_details(spark, folder),
+        _named_orders(lines),
+        po_details(lines),
         po_headers(spark, folder),
         customer_names(spark, folder),
         seasons=None,
@@ -193,11 +197,12 @@ def upfront_offprice(spark, folder):
     FROM st LEFT JOIN sm USING (STYLE) LEFT JOIN hb ON hb.STYLE = st.STYLE AND hb.CUST_NBR = st.CUST_NBR""",
 )
 def offprice_by_season(spark, folder):
-    styles = order_lines(spark, folder).filter("STATUS = 'F'").groupBy("STYLE").agg(F.max("SEASON").alias("SEASON"))
+    lines = shared_lines(spark, folder)
+    styles = lines.filter("STATUS = 'F'").groupBy("STYLE").agg(F.max("SEASON").alias("SEASON"))
     marked = orders.mark_offprice_by_season(
-        stored_orders(spark, folder),
+        stored_orders(lines),
         styles,
-        po_details(spark, folder),
+        po_details(lines),
         po_headers(spark, folder),
         exempt=("00007", "00011"),
         corrections=[({"CUST_PO": "000010"}, {"COMMENT_2": "UPFRONT"})],
@@ -252,9 +257,10 @@ def _boxes(spark, folder):
     SELECT bx.HFC_NBR, CONTAINER_NBR, CARTON_CTN, v AS CTN_TO_COME FROM bx LEFT JOIN r ON r.HFC_NBR = bx.HFC_NBR""",
 )
 def cartons_to_come(spark, folder):
+    lines = order_lines(spark, folder)
     boxes = _boxes(spark, folder)
     cartons = purchase_orders.cartons_to_come(
-        po_details(spark, folder),
+        po_details(lines),
         po_headers(spark, folder),
         _short_over(spark, folder),
         boxes,
@@ -297,10 +303,10 @@ _OLD_INV = f"""old AS (SELECT STYLE, COLOR AS COLOR_CODE, 'OLD' AS COLOR_DESC, C
     SELECT * REPLACE ('999' AS COLOR) FROM ol) WHERE STATUS = 'F' GROUP BY STYLE, COLOR)"""
 
 
-def _old_inventory(spark, folder):
+def _old_inventory(lines):
     """Stored inventory; the same styles also in a color no longer counted."""
-    lines = order_lines(spark, folder).filter("STATUS = 'F'")
-    both = lines.unionByName(lines.withColumn("COLOR", F.lit("999")))
+    older = lines.filter("STATUS = 'F'")
+    both = older.unionByName(older.withColumn("COLOR", F.lit("999")))
     return both.groupBy("STYLE", F.col("COLOR").alias("COLOR_CODE")).agg(
         F.first(F.lit("OLD")).alias("COLOR_DESC"),
         F.sum("ORDERED_UNITS").alias("OH"),
@@ -318,8 +324,9 @@ def _old_inventory(spark, folder):
     FROM old o FULL OUTER JOIN oh n ON n.STYLE = o.STYLE AND n.COLOR_CODE = o.COLOR_CODE""",
 )
 def inventory(spark, folder):
+    lines = shared_lines(spark, folder)
     load = movements.load_inventory(
-        _old_inventory(spark, folder), _counts(spark, folder), stored_orders(spark, folder)
+        _old_inventory(lines), _counts(spark, folder), stored_orders(lines)
     )
     return load.states["INV"]
 
@@ -331,8 +338,9 @@ def inventory(spark, folder):
       'sizes do not add up to on hand' AS reason FROM oh WHERE OH <> {' + '.join(f'OH_S{i}' for i in EIGHT)}""",
 )
 def inventory_check(spark, folder):
+    lines = shared_lines(spark, folder)
     load = movements.load_inventory(
-        _old_inventory(spark, folder), _counts(spark, folder), stored_orders(spark, folder)
+        _old_inventory(lines), _counts(spark, folder), stored_orders(lines)
     )
     return load.exceptions
 
@@ -349,7 +357,7 @@ def inventory_check(spark, folder):
     SELECT {KEY}, CASE WHEN COLOR = '003' THEN '197218' ELSE HFC END AS HFC, SEASON, CASE WHEN COLOR = '004' THEN 0 ELSE CXL END AS CXL FROM m""",
 )
 def load_assoc(spark, folder):
-    lines = order_lines(spark, folder)
+    lines = shared_lines(spark, folder)
     state = lines.filter("STATUS <> 'O'").select(
         "GREEN_BAR", "STYLE", "COLOR", F.lit("0000AA").alias("HFC"),
         season_of(F.col("START_SHIP")).alias("SEASON"), F.lit(0).alias("CXL"),
@@ -509,10 +517,10 @@ def load_po_headers(spark, folder):
     FROM m LEFT JOIN ol b ON b.DIV = 2 AND b.GREEN_BAR = HFC_NBR AND b.STYLE = m.STYLE AND b.COLOR = COLOR_CODE""",
 )
 def load_po_lines(spark, folder):
-    lines = order_lines(spark, folder)
+    lines = shared_lines(spark, folder)
     older = lines.filter("STATUS <> 'O'").select(F.col("GREEN_BAR").alias("HFC_NBR"), "STYLE", F.col("COLOR").alias("COLOR_CODE"))
-    state = po_details(spark, folder).join(older, ["HFC_NBR", "STYLE", "COLOR_CODE"], "left_semi")
-    raw = feed_orders(spark, folder).select(
+    state = po_details(lines).join(older, ["HFC_NBR", "STYLE", "COLOR_CODE"], "left_semi")
+    raw = feed_orders(lines).select(
         F.col("SEASON").alias("SSN"),
         F.col("GREEN_BAR").alias("HFC"),
         digits(F.col("STYLE").cast("long")).alias("STYLE"),

@@ -215,7 +215,8 @@ def open_split(spark, folder):
       CAST(sum({' + '.join(f'BAL_S{i}' for i in range(1, 9))}) AS BIGINT) FROM live""",
 )
 def agg_basics(spark, folder):
-    live = active_orders(stored_orders(spark, folder)).filter(F.col("DIV") != 4)
+    lines = order_lines(spark, folder)
+    live = active_orders(stored_orders(lines)).filter(F.col("DIV") != 4)
     aggs = [
         sum0("ORDERED_UNITS").alias("ordered"),
         F.max("SHIP_ON_DATE").alias("last_ship"),

@@ -14,6 +14,8 @@ from .adapters import (
     ORDER_LINES,
     STORED_ORDERS,
     feed_orders,
+    order_lines,
+    shared_lines,
     stored_orders,
     table,
     with_clause,
@@ -68,8 +70,8 @@ _KEY_JOIN = "t.GREEN_BAR = s.GREEN_BAR AND t.STYLE = s.STYLE AND t.COLOR = s.COL
 _SMALL_STATE = """t AS (SELECT GREEN_BAR, STYLE, COLOR, SEASON, ORDERED_UNITS, BAL_UNITS, BAL_S1, BAL_S2, CXL FROM st)"""
 
 
-def _small_state(spark, folder):
-    return stored_orders(spark, folder).select(
+def _small_state(lines):
+    return stored_orders(lines).select(
         *KEY, "SEASON", "ORDERED_UNITS", "BAL_UNITS", "BAL_S1", "BAL_S2", "CXL"
     )
 
@@ -87,9 +89,10 @@ _VALUES = {"SEASON": "SEASON", "ORDERED_UNITS": "ORDERED_UNITS", "BAL_UNITS": "B
     FROM t FULL OUTER JOIN fd s ON {_KEY_JOIN}""",
 )
 def upsert_scoped(spark, folder):
-    source = feed_orders(spark, folder)
+    lines = shared_lines(spark, folder)
+    source = feed_orders(lines)
     return mutate.upsert_soft_delete(
-        _small_state(spark, folder), source, KEY, _VALUES, scope=Scope("SEASON", source, "SEASON")
+        _small_state(lines), source, KEY, _VALUES, scope=Scope("SEASON", source, "SEASON")
     )
 
 
@@ -107,9 +110,10 @@ def upsert_scoped(spark, folder):
     SELECT * FROM matched UNION ALL SELECT * FROM added UNION ALL SELECT * FROM lost UNION ALL SELECT * FROM kept""",
 )
 def upsert_zeroing(spark, folder):
-    source = feed_orders(spark, folder)
+    lines = shared_lines(spark, folder)
+    source = feed_orders(lines)
     return mutate.upsert_soft_delete(
-        _small_state(spark, folder),
+        _small_state(lines),
         source,
         KEY,
         _VALUES,
@@ -127,8 +131,9 @@ def upsert_zeroing(spark, folder):
     FROM t LEFT JOIN fd s ON {_KEY_JOIN}""",
 )
 def update_from(spark, folder):
+    lines = shared_lines(spark, folder)
     return mutate.update_from(
-        _small_state(spark, folder), feed_orders(spark, folder), KEY, {"BAL_S1": "S1", "BAL_S2": "S2"}
+        _small_state(lines), feed_orders(lines), KEY, {"BAL_S1": "S1", "BAL_S2": "S2"}
     )
 
 
@@ -138,8 +143,9 @@ def update_from(spark, folder):
       {', '.join(f"CASE WHEN COMMENT IN ('COMPLETE', 'DEACTIVE') THEN 0 ELSE BAL_S{i} END AS BAL_S{i}" for i in range(1, 9))} FROM st""",
 )
 def update_where(spark, folder):
+    lines = order_lines(spark, folder)
     closed = F.col("COMMENT").isin("COMPLETE", "DEACTIVE")
-    state = stored_orders(spark, folder)
+    state = stored_orders(lines)
     return mutate.update_where(state, closed, {b: F.lit(0) for b in buckets("BAL_S")}).select(
         *KEY, "COMMENT", *buckets("BAL_S")
     )
@@ -153,12 +159,13 @@ def update_where(spark, folder):
       BAL_UNITS, BAL_S1, BAL_S2, CASE WHEN COLOR = '007' THEN 0 ELSE CXL END AS CXL FROM t""",
 )
 def corrections(spark, folder):
+    lines = order_lines(spark, folder)
     fixes = [
         ({"SEASON": "SP-97"}, {"SEASON": "FA-97"}),
         ({"SEASON": "FA-97", "COLOR": "001"}, {"ORDERED_UNITS": 0}),
         ({"COLOR": "007"}, {"CXL": 0}),
     ]
-    return mutate.apply_corrections(_small_state(spark, folder), fixes)
+    return mutate.apply_corrections(_small_state(lines), fixes)
 
 
 @case(
@@ -168,8 +175,9 @@ def corrections(spark, folder):
 )
 def published_table(spark, folder):
     """Publish a table by season, replace two seasons, read it back."""
+    lines = order_lines(spark, folder)
     store = Warehouse(spark, scratch(spark, "store"))
-    store.publish({"ORDERS": _small_state(spark, folder)}, {"ORDERS": Split("SEASON")})
+    store.publish({"ORDERS": _small_state(lines)}, {"ORDERS": Split("SEASON")})
     changed = ["SP-98", "FA-98"]
     new = store.read("ORDERS", changed).withColumn("ORDERED_UNITS", F.lit(0).cast("long"))
     store.publish({"ORDERS": new}, {"ORDERS": Split("SEASON", changed)})
