@@ -84,12 +84,16 @@ def null_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def missing_reference(df: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key the other table does not have."""
-    return df.join(known.select(*keys), list(keys), "left_anti")
+    """Rows whose key the other table does not have.
+
+    The other side is reduced to its distinct keys before it is shuffled, so a
+    key with very many copies there costs nothing.
+    """
+    return df.join(known.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def with_reference(df: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.join(known.select(*keys), list(keys), "left_semi")
+    return df.join(known.select(*keys).distinct(), list(keys), "left_semi")
 
 
 def bad_format(df: DataFrame, valid: Column) -> DataFrame:
