@@ -161,16 +161,9 @@ def read_sheet_family(
     spark: SparkSession, folder: str, contains: str, positions: Positions, skip: int = 1
 ) -> DataFrame:
     """All tabs whose name contains a text; ``SHEET`` tells them apart."""
-    schema = _text_schema(max(positions) + 1)
-    rows = _guarded(
-        lambda: spark.read.option("header", skip == 1)
-        .schema(schema)
-        .csv(f"{folder}/sheet=*{contains}*"),
-        f"{folder}: *{contains}*",
-    )
-    tab = F.regexp_extract(F.col("_metadata.file_path"), r"/sheet=([^/]*)/", 1)
-    kept = [typed(F.col(f"_c{p}"), kind).alias(name) for p, (name, kind) in positions.items()]
-    return rows.select(*kept, _decoded(tab).alias("SHEET"))
+    rows = read_positional(spark, f"{folder}/sheet=*{contains}*", positions, skip)
+    tab = F.regexp_extract("_file", r"/sheet=([^/]*)/", 1)
+    return rows.withColumn("SHEET", _decoded(tab)).drop(*POSITION)
 
 
 def trim_footer(df: DataFrame, n: int = 1) -> DataFrame:
