@@ -309,24 +309,24 @@ def sheet_family(spark, folder):
     )
 
 
-def _framed(batches):
-    """One exported file per partition: three title rows, the rows, a totals row."""
-    import pandas as pd
-
-    yield pd.DataFrame({"value": ["title", "", "a,b,c"]})
-    yield from batches
-    yield pd.DataFrame({"value": ["total,,"]})
-
-
 @case(
     "q_numbered_preamble",
     """SELECT o_orderstatus AS status, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders GROUP BY 1""",
 )
 def numbered_preamble(spark, folder):
     """Three preamble rows (one of them blank) and a totals row in every file."""
+
+    # defined here so that it travels with the job: workers need not have this package
+    def framed(batches):
+        import pandas as pd
+
+        yield pd.DataFrame({"value": ["title", "", "a,b,c"]})
+        yield from batches
+        yield pd.DataFrame({"value": ["total,,"]})
+
     path = scratch(spark, "preamble")
     line = F.concat_ws(",", F.lit("x"), digits("o_orderkey"), "o_orderstatus")
-    table(spark, folder, "orders").select(line.alias("value")).mapInPandas(_framed, "value string").write.text(path)
+    table(spark, folder, "orders").select(line.alias("value")).mapInPandas(framed, "value string").write.text(path)
     rows = delimited.read_positional(
         spark, path, {1: ("KEY", "long"), 2: ("STATUS", "string")}, skip=3, with_position=True
     )
