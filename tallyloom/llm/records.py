@@ -4,7 +4,8 @@ A record is: length of the payload (unsigned 64 bit), masked checksum of these
 eight bytes, payload, masked checksum of the payload; all little-endian. The
 checksum is CRC-32, turned right by 15 bits plus a constant, so that data
 holding checksums keeps its own intact. The payload holds a presence byte for
-the id, the id, the number of tokens and the tokens (unsigned 32 bit).
+the id, the bytes per token (2 where all ids of the sequence fit, else 4), the
+id, the number of tokens and the tokens (unsigned).
 
 Each task writes one file under a name of its own attempt; the index is a
 table that Spark commits, so files of lost attempts are never referred to.
@@ -31,7 +32,7 @@ from .tokens import coder, slices
 
 _MASK = 0xA282EAD8
 _HEAD = struct.Struct("<QI")
-_BODY = struct.Struct("<BqI")
+_BODY = struct.Struct("<BBqI")
 _CRC = struct.Struct("<I")
 _SPAN = 8 << 20
 
@@ -64,15 +65,19 @@ def unframe(data: bytes) -> bytes:
 
 
 def pack(doc_id: int | None, ids: bytes) -> bytes:
-    return _BODY.pack(doc_id is not None, doc_id or 0, len(ids) // 4) + ids
+    """Payload of a sequence, given as unsigned 32-bit ids."""
+    tokens = np.frombuffer(ids, dtype="<u4")
+    width = 2 if not len(tokens) or tokens.max() < 1 << 16 else 4
+    return _BODY.pack(doc_id is not None, width, doc_id or 0, len(tokens)) + tokens.astype(f"<u{width}").tobytes()
 
 
 def unpack(payload: bytes) -> tuple[int | None, bytes]:
-    there, doc_id, n = _BODY.unpack_from(payload)
-    ids = payload[_BODY.size :]
-    if len(ids) != 4 * n:
+    """Id and unsigned 32-bit tokens of a payload."""
+    there, width, doc_id, n = _BODY.unpack_from(payload)
+    if width not in (2, 4) or len(payload) != _BODY.size + width * n:
         raise ValueError("token count differs")
-    return (doc_id if there else None), ids
+    tokens = np.frombuffer(payload, dtype=f"<u{width}", offset=_BODY.size)
+    return (doc_id if there else None), tokens.astype("<u4").tobytes()
 
 
 def _writer(folder: str, vocabulary: str, keeps_space: bool, end_id: int):

@@ -18,6 +18,8 @@ special strings are ordinary text; texts of any length are counted whole.
 from __future__ import annotations
 
 import re
+from array import array
+from operator import sub
 
 import numpy as np
 import pyarrow as pa
@@ -27,13 +29,26 @@ from .common import ship
 from .tokens import slices
 
 _SPACE = "▁"
-_MOST = 200_000
+_MOST = 600_000
 _LONGEST = 64
 _words = re.compile(r" *[^ ]+| +").findall
 
 _tables: dict[str, "PrefixTables"] = {}
 
 
+class _Known(dict):
+    """Steps of word forms, worked out when first asked for; long ones are not kept."""
+
+    def __init__(self, steps) -> None:
+        self.steps = steps
+
+    def __missing__(self, word: str) -> bytes:
+        found = self.steps(word)
+        if len(word) <= _LONGEST:
+            self[word] = found
+        return found
+
+
 class PrefixTables:
     def __init__(self, path: str) -> None:
         import sentencepiece
@@ -45,68 +60,59 @@ class PrefixTables:
         model.normalizer_spec.add_dummy_prefix = False
         self.library = sentencepiece.SentencePieceProcessor(model_file=path)
         self.bare = sentencepiece.SentencePieceProcessor(model_proto=model.SerializeToString())
-        self.pieces = {p.piece for p in model.pieces if p.type == 1}
-        self.longest = max(map(len, self.pieces), default=1)
-        self.alone: dict[str, bool] = {}
+        pieces = [p.piece for p in model.pieces if p.type == 1]
+        self.longest = max(map(len, pieces), default=1)
+        #: Pieces that the library makes of their own text.
+        self.pieces = {p for p, found in zip(pieces, self.bare.encode(pieces, out_type=str)) if found == [p]}
         self.follow: dict[tuple[str, str], bool] = {}
-        self.known: dict[str, bytes] = {}
-
-    def _stands(self, piece: str) -> bool:
-        found = self.alone.get(piece)
-        if found is None:
-            found = self.alone[piece] = self.bare.encode_as_pieces(piece) == [piece]
-        return found
+        self.known = _Known(self._steps)
 
-    def _follows(self, last: str, piece: str) -> bool:
-        pair = (last, piece)
-        found = self.follow.get(pair)
-        if found is None:
-            if len(self.follow) > 4 * _MOST:
-                self.follow.clear()
-            found = self.follow[pair] = self.bare.encode_as_pieces(last + piece) == [last, piece]
+    def _learn_pair(self, pair: tuple[str, str]) -> bool:
+        if len(self.follow) >= _MOST:
+            self.follow.clear()
+        found = self.follow[pair] = self.bare.encode(pair[0] + pair[1], out_type=str) == [*pair]
         return found
 
     def counts(self, text: str) -> list[int]:
         """Tokens of every prefix of ``text``, encoded without a space put before it."""
         text = text.replace(" ", _SPACE)
-        count, last = [0] * (len(text) + 1), [""] * (len(text) + 1)
+        pieces, follow, longest = self.pieces, self.follow, self.longest
+        count, last = [0], [""]
         for end in range(1, len(text) + 1):
-            if text[end - 1] not in self.pieces:
-                count[end] = count[end - 1] + len(text[end - 1].encode("utf-8", "replace"))
-                continue
-            for begin in range(max(0, end - self.longest), end):
+            for begin in range(max(0, end - longest), end):
                 piece = text[begin:end]
-                if piece not in self.pieces or not self._stands(piece):
+                if piece not in pieces:
                     continue
-                if begin == 0 or not last[begin] or self._follows(last[begin], piece):
-                    count[end], last[end] = count[begin] + 1, piece
-                    break
-            else:
-                return self._plain(text)
-        return count if count[-1] == len(self.bare.encode_as_ids(text)) else self._plain(text)
+                before = last[begin]
+                if before:
+                    pair = (before, piece)
+                    found = follow.get(pair)
+                    if not (self._learn_pair(pair) if found is None else found):
+                        continue
+                count.append(count[begin] + 1)
+                last.append(piece)
+                break
+            else:  # no piece of the vocabulary: one token a byte, and nothing merges with it
+                count.append(count[-1] + len(text[end - 1].encode()))
+                last.append("")
+        return count if count[-1] == len(self.bare.encode(text)) else self._plain(text)
 
     def _plain(self, text: str) -> list[int]:
-        return [len(self.bare.encode_as_ids(text[:end])) for end in range(len(text) + 1)]
+        return [len(self.bare.encode(text[:end])) for end in range(len(text) + 1)]
 
     def _steps(self, word: str) -> bytes:
-        return np.diff(self.counts(word)).astype("<i2").tobytes()
+        count = self.counts(word)
+        return array("h", map(sub, count[1:], count)).tobytes()
 
     def steps(self, text: str) -> bytes:
         """Steps of a text as the library counts it: with a space put before a text that is not empty."""
         if not text:
             return b""
         words = [" " + text] if _SPACE in text else _words(" " + text)
-        known, parts = self.known, []
-        for word in words:
-            part = known.get(word)
-            if part is None:
-                part = self._steps(word)
-                if len(word) <= _LONGEST:
-                    if len(known) >= _MOST:
-                        known.clear()
-                    known[word] = part
-            parts.append(part)
-        joined = np.frombuffer(b"".join(parts), dtype="<i2")
+        known = self.known
+        joined = np.frombuffer(b"".join(map(known.__getitem__, words)), dtype="<i2")
+        if len(known) > _MOST:
+            known.clear()
         first = joined[1:].copy()
         first[0] += joined[0]
         return first.tobytes()
@@ -139,7 +145,7 @@ def _counter(path: str, keep_steps: bool, budgets: tuple[int, ...]):
                 yield pa.RecordBatch.from_arrays(
                     [
                         keys.slice(a, b - a),
-                        pa.array([len(t.encode("utf-8", "replace")) for t in texts[a:b]], pa.int64()),
+                        pa.array([len(t.encode("utf-8")) for t in texts[a:b]], pa.int64()),
                         pa.array([prefix_count(s, len(s)) for s in steps], pa.int64()),
                         *(pa.array([longest_within(s, n) for s in steps], pa.int64()) for n in budgets),
                         *([pa.array(steps, pa.binary())] if keep_steps else []),

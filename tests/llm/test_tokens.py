@@ -33,7 +33,8 @@ def test_pieces_encode_as_whole_texts(name, keeps):
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(vocabulary(name))
-    texts = [t or "" for t in TEXTS] + random_texts(400)
+    words = ["Àé", "ß,", "ÿ.", "a b", " A", "Mot. Ça, là", "it,", "x.y", "über,,", "ñandú Ñ."]
+    texts = [t or "" for t in TEXTS] + random_texts(400) + words
     got = tokens.coder(vocabulary(name), keeps).encode(texts)
     for t, ids in zip(texts, got):
         assert tokens.as_ids(ids).tolist() == library.encode(t, add_special_tokens=False).ids, repr(t)
