@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, records, slots, token_counts
+from . import licenses, packing, records, slots, token_counts, warc
 from .common import fresh_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,12 +50,40 @@ def op4_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+@_query("op6_license_scan")
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base_list", ",").alias("base_labels"),
+        F.array_join("label_list", ",").alias("labels"), "score",
+    )
+
+
 @_query("op7_packing")
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), 1)
     return placed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+@_query(
+    "op9_warc",
+    """
+    WITH p AS (
+        SELECT page_id, COALESCE(html, '') AS payload, octet_length(encode(COALESCE(html, ''))) AS payload_bytes,
+               sha1(COALESCE(html, '')) AS payload_digest FROM pages),
+    g AS (SELECT payload AS same, max(page_id) AS keep FROM p WHERE payload_bytes >= 1000 GROUP BY 1)
+    SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+           CASE WHEN keep IS NULL OR keep = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN keep <> page_id THEN keep END AS refers_to
+    FROM p LEFT JOIN g ON payload = same
+    """,
+)
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, index = warc.write_archives(table(spark, sf_dir, "pages"))
+    back = warc.read_archives(folder, index, keep_payload=False)
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @_query("op10_token_counts")
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.prefix_counts(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))

@@ -94,7 +94,7 @@ def _writer(folder: str, vocabulary: str, keeps_space: bool, end_id: int):
                 for a, b in slices(texts):
                     if out is None:
                         store.create_dir(base, recursive=True)
-                        out = store.open_output_stream(f"{base}/{name}")
+                        out = store.open_output_stream(f"{base}/{name}", compression=None)
                     framed, rows = [], []
                     for key, ids in zip(keys[a:b], coder(vocabulary, keeps_space).encode(texts[a:b])):
                         ids += end
