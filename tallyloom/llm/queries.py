@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, packing, records, slots, token_counts, warc
+from . import licenses, packing, parity_join, quality, records, slots, tiling, token_counts, warc
 from .common import fresh_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,14 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@_query("op2_quality")
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.scores(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) == 1
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @_query("op3_sharding")
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = slots.shard_by_slots(table(spark, sf_dir, "documents"), fresh_folder(spark, "slot_map"), 24)
@@ -50,6 +58,12 @@ def op4_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+@_query("op5_jaccard_join")
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = parity_join.components_of(table(spark, sf_dir, "documents"), parity_join.Rule(size=4, part=85, whole=100))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 @_query("op6_license_scan")
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan(table(spark, sf_dir, "documents"))
@@ -65,6 +79,12 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+@_query("op8_decontamination")
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = tiling.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "item_words", "covered", "coverage")
+
+
 @_query(
     "op9_warc",
     """
