@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, packing, parity_join, quality, records, slots, tiling, token_counts, warc
+from . import forest, licenses, packing, parity_join, quality, records, slots, tiling, token_counts, warc
 from .common import fresh_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,28 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@_query(
+    "op1_near_copies",
+    """
+    WITH RECURSIVE e AS (
+        SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v, label IS NOT NULL AND embedding IS NOT NULL
+               AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+               AND len(list_filter(embedding, x -> x <> 0)) > 0 AS good FROM embeddings),
+    l AS (
+        SELECT a.vec_id AS a, b.vec_id AS b FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+        WHERE a.good AND b.good AND list_cosine_similarity(a.v, b.v) >= 0.98),
+    r AS (SELECT vec_id AS a, vec_id AS b FROM e UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+    c AS (SELECT a, min(b) AS component_id FROM r GROUP BY a),
+    n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+    SELECT vec_id, COALESCE(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+    FROM e JOIN c ON c.a = vec_id LEFT JOIN n ON n.a = vec_id
+    """,
+)
+def op1_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = forest.near_copies(table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 @_query("op2_quality")
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -108,3 +130,10 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.prefix_counts(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
+
+
+@_query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
