@@ -29,26 +29,13 @@ from .common import ship
 from .tokens import slices
 
 _SPACE = "▁"
-_MOST = 600_000
+_MOST = 1_000_000
 _LONGEST = 64
 _words = re.compile(r" *[^ ]+| +").findall
 
 _tables: dict[str, "PrefixTables"] = {}
 
 
-class _Known(dict):
-    """Steps of word forms, worked out when first asked for; long ones are not kept."""
-
-    def __init__(self, steps) -> None:
-        self.steps = steps
-
-    def __missing__(self, word: str) -> bytes:
-        found = self.steps(word)
-        if len(word) <= _LONGEST:
-            self[word] = found
-        return found
-
-
 class PrefixTables:
     def __init__(self, path: str) -> None:
         import sentencepiece
@@ -65,7 +52,7 @@ class PrefixTables:
         #: Pieces that the library makes of their own text.
         self.pieces = {p for p, found in zip(pieces, self.bare.encode(pieces, out_type=str)) if found == [p]}
         self.follow: dict[tuple[str, str], bool] = {}
-        self.known = _Known(self._steps)
+        self.known: dict[str, bytes] = {}
 
     def _learn_pair(self, pair: tuple[str, str]) -> bool:
         if len(self.follow) >= _MOST:
@@ -73,12 +60,17 @@ class PrefixTables:
         found = self.follow[pair] = self.bare.encode(pair[0] + pair[1], out_type=str) == [*pair]
         return found
 
-    def counts(self, text: str) -> list[int]:
-        """Tokens of every prefix of ``text``, encoded without a space put before it."""
+    def counts(self, text: str, shared: int = 0, count: list[int] | None = None, last: list[str] | None = None) -> list[int]:
+        """Tokens of every prefix of ``text``, encoded without a space put before it.
+
+        The pass depends on what lies before only: ``count`` and ``last`` of a
+        text with the same first ``shared`` code points are taken over.
+        """
         text = text.replace(" ", _SPACE)
         pieces, follow, longest = self.pieces, self.follow, self.longest
-        count, last = [0], [""]
-        for end in range(1, len(text) + 1):
+        count, last = ([0], [""]) if count is None else (count, last)
+        del count[shared + 1 :], last[shared + 1 :]
+        for end in range(shared + 1, len(text) + 1):
             for begin in range(max(0, end - longest), end):
                 piece = text[begin:end]
                 if piece not in pieces:
@@ -95,27 +87,46 @@ class PrefixTables:
             else:  # no piece of the vocabulary: one token a byte, and nothing merges with it
                 count.append(count[-1] + len(text[end - 1].encode()))
                 last.append("")
-        return count if count[-1] == len(self.bare.encode(text)) else self._plain(text)
+        return count
+
+    def learn(self, words: set[str]) -> None:
+        """Steps of new word forms in order, so that each takes over what it shares with the one before;
+        the last count of each is held against the library's own."""
+        new = sorted(words.difference(self.known))
+        if len(self.known) + len(new) > _MOST:
+            self.known.clear()
+            new = sorted(words)
+        count, last, before = [0], [""], ""
+        for word, ids in zip(new, self.bare.encode(new)):
+            shared = 0
+            for a, b in zip(word, before):
+                if a != b:
+                    break
+                shared += 1
+            self.counts(word, shared, count, last)
+            before = word
+            right = count if count[-1] == len(ids) else self._plain(word)
+            self.known[word] = array("h", map(sub, right[1:], right)).tobytes()
 
     def _plain(self, text: str) -> list[int]:
         return [len(self.bare.encode(text[:end])) for end in range(len(text) + 1)]
 
-    def _steps(self, word: str) -> bytes:
-        count = self.counts(word)
-        return array("h", map(sub, count[1:], count)).tobytes()
-
-    def steps(self, text: str) -> bytes:
-        """Steps of a text as the library counts it: with a space put before a text that is not empty."""
-        if not text:
-            return b""
-        words = [" " + text] if _SPACE in text else _words(" " + text)
-        known = self.known
-        joined = np.frombuffer(b"".join(map(known.__getitem__, words)), dtype="<i2")
-        if len(known) > _MOST:
-            known.clear()
-        first = joined[1:].copy()
-        first[0] += joined[0]
-        return first.tobytes()
+    def steps(self, texts: list[str]) -> list[bytes]:
+        """Steps of texts as the library counts them: with a space put before a text that is not empty."""
+        cut = [[] if not t else [" " + t] if _SPACE in t else _words(" " + t) for t in texts]
+        self.learn(set().union(*cut))
+        out = []
+        for words in cut:
+            if not words:
+                out.append(b"")
+                continue
+            joined = np.frombuffer(b"".join(map(self.known.__getitem__, words)), dtype="<i2")
+            first = joined[1:].copy()
+            first[0] += joined[0]
+            out.append(first.tobytes())
+        for word in {w for words in cut for w in words if len(w) > _LONGEST}:
+            self.known.pop(word, None)
+        return out
 
 
 def tables(path: str) -> PrefixTables:
@@ -141,7 +152,7 @@ def _counter(path: str, keep_steps: bool, budgets: tuple[int, ...]):
         for batch in batches:
             keys, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
             for a, b in slices(texts):
-                steps = [own.steps(t) for t in texts[a:b]]
+                steps = own.steps(texts[a:b])
                 yield pa.RecordBatch.from_arrays(
                     [
                         keys.slice(a, b - a),

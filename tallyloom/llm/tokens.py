@@ -22,7 +22,7 @@ import numpy as np
 
 #: Python calls these white space; the vocabularies' patterns may not.
 _ODD = ("\x1c", "\x1d", "\x1e", "\x1f", "\x85")
-_MOST = 600_000
+_MOST = 1_000_000
 _LONGEST = 64
 
 _plain = re.compile(r"( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)").fullmatch
@@ -67,9 +67,11 @@ class PieceCoder:
             space, word, stop = found.groups()
             ids = known.get(space + word) if stop else None
             if ids is None:
-                run = space + word if self.keeps_space else word.lower()
-                if not run.isascii() or space:
+                run = word if self.keeps_space else word.lower()
+                if not run.isascii():
                     run = "".join(map(_named.__getitem__, run.encode().decode("latin-1")))
+                if space:
+                    run = _named[" "] + run
                 ids = array("I", [t.id for t in merges(run)]).tobytes()
             known[piece] = ids + self.stops[stop]
         known.update(zip(rest, self._library(rest)))

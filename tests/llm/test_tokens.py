@@ -42,8 +42,8 @@ def test_pieces_encode_as_whole_texts(name, keeps):
 
 def test_prefix_counts_are_the_librarys(spark):
     own = token_counts.tables(vocabulary("piece_bpe_32k.model"))
-    for t in [t or "" for t in TEXTS] + random_texts(200):
-        steps = own.steps(t)
+    texts = [t or "" for t in TEXTS] + random_texts(200)
+    for t, steps in zip(texts, own.steps(texts)):
         assert len(steps) == 2 * len(t)
         for end in range(len(t) + 1):
             assert token_counts.prefix_count(steps, end) == len(own.library.encode(t[:end])), repr(t[:end])
