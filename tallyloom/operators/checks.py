@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import ColumnOrName, as_col
 from .compare import beyond_tolerance, ne_or_null
+from .mutate import require_keys
 from .shape import key_text
 
 EXCEPTION_SCHEMA = "check_id string, key string, expected string, actual string, reason string"
@@ -111,6 +112,7 @@ def prepack_mismatch(headers: DataFrame, scales: DataFrame, bulk: str = "00") ->
     a mismatch too.
     """
     totals = scales.select(F.col("SIZE_SCALE_CODE").alias("HFC_SIZE_SCALE"), "TTL_QTY")
+    totals = require_keys(totals, ["HFC_SIZE_SCALE"], "size scales")
     return (
         headers.join(totals, "HFC_SIZE_SCALE", "left")
         .withColumn("PPK_DIFF", F.col("CARTON_SIZE") - F.col("TTL_QTY"))

@@ -124,6 +124,7 @@ def piece_differences(details: DataFrame, po_headers: DataFrame, shipped: DataFr
     """
     pieces = details.groupBy("INVOICE_NBR", "HFC").agg(F.sum("PCS").alias("PCS"))
     sizes = live(po_headers).select(F.col("HFC_NBR").alias("HFC"), "CARTON_SIZE")
+    sizes = require_keys(sizes, ["HFC"], "purchase order headers")
     cartons = shipped.groupBy("INVOICE_NBR", F.col("HFC_NBR").alias("HFC")).agg(
         F.sum("CARTON_CTN").alias("CTN_SUM")
     )

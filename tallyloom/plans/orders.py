@@ -287,7 +287,7 @@ def mark_offprice_by_season(
 
     A style without a known season is off-price. Manual fixes come last.
     """
-    seasons = styles.select("STYLE", F.col("SEASON").alias("_style_season"))
+    seasons = require_keys(styles.select("STYLE", F.col("SEASON").alias("_style_season")), ["STYLE"], "styles")
     bought = (
         live(details)
         .select("HFC_NBR", "STYLE")
