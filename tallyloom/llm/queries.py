@@ -40,8 +40,8 @@ def vocabulary(name: str) -> str:
     """
     WITH RECURSIVE e AS (
         SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v, label IS NOT NULL AND embedding IS NOT NULL
-               AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-               AND len(list_filter(embedding, x -> x <> 0)) > 0 AS good FROM embeddings),
+               AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+               AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS good FROM embeddings),
     l AS (
         SELECT a.vec_id AS a, b.vec_id AS b FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
         WHERE a.good AND b.good AND list_cosine_similarity(a.v, b.v) >= 0.98),
