@@ -23,7 +23,7 @@ WIDTH = 8
 _WORD = r"(?<![^ ])([^ /]*)/([^ /]*)[^ ]*"
 # one "qty/size" part of a dashed text, blanks around both trimmed
 _PART = r"(?:^|-) *([^-/]*?) */ *([^-/]*?) *(?=/|-|$)"
-_QUANTITIES = r"^[+-]?[0-9]{1,9}(?:,[+-]?[0-9]{1,9})*$"
+_QUANTITIES = r"^[+-]?[0-9]+(?:,[+-]?[0-9]+)*$"
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -45,6 +45,11 @@ def _readable(quantities: Column) -> Column:
     return (F.size(quantities) == 0) | F.array_join(quantities, ",").rlike(_QUANTITIES)
 
 
+def _numbers(quantities: Column) -> Column:
+    """Quantities as longs; one beyond a long, or no number, is null."""
+    return quantities.try_cast("array<bigint>")
+
+
 def _padded(values: Column, filler: Column) -> Column:
     return F.slice(F.concat(values, F.array_repeat(filler, WIDTH)), 1, WIDTH)
 
@@ -53,39 +58,50 @@ def parse_scale(desc: ColumnOrName) -> Column:
     """``'2/S 4/M …'`` -> struct(sizes, quantities, error).
 
     Words without a slash are skipped; short scales are padded with NONE and
-    zero. More than eight sizes, or a quantity that is no whole number, set
-    ``error`` instead of stopping the load.
+    zero. More than eight sizes, or a quantity that is no whole number or
+    beyond a long, set ``error`` instead of stopping the load.
     """
 
     def result(pair: Column) -> Column:
         sizes, quantities = pair["sizes"], pair["quantities"]
+        numbers = F.when(_readable(quantities), _numbers(quantities))
+        return F.struct(sizes.alias("sizes"), numbers.alias("quantities"))
+
+    def judged(pair: Column) -> Column:
+        sizes, numbers = pair["sizes"], pair["quantities"]
         error = (
             F.when(sizes.isNull(), "no description")
-            .when(~_readable(quantities), "quantity is not a whole number")
+            .when(numbers.isNull(), "quantity is not a whole number")
+            .when(F.exists(numbers, lambda n: n.isNull()), "quantity is too large")
             .when(F.size(sizes) > WIDTH, "more than eight sizes")
         )
-        return F.struct(sizes.alias("sizes"), quantities.alias("quantities"), error.alias("error"))
+        return F.struct(sizes.alias("sizes"), numbers.alias("quantities"), error.alias("error"))
 
     def finished(found: Column) -> Column:
         fine = found["error"].isNull()
-        quantities = found["quantities"].cast("array<int>")
         return F.struct(
             F.when(fine, _padded(found["sizes"], F.lit("NONE"))).alias("sizes"),
-            F.when(fine, _padded(quantities, F.lit(0))).alias("quantities"),
+            F.when(fine, _padded(found["quantities"], F.lit(0).cast("bigint"))).alias("quantities"),
             found["error"].alias("error"),
         )
 
-    return _let(_let(_pairs(spaced(desc), _WORD), result), finished)
+    return _let(_let(_let(_pairs(spaced(desc), _WORD), result), judged), finished)
 
 
 def _last_wins_map(pairs: Column, parts: Column) -> Column:
     """Map of size -> qty where the last of several equal sizes counts.
 
-    NULL when a part has no slash or no whole quantity.
+    NULL when a part has no slash or no whole quantity, or one beyond a long.
     """
 
+    def read(pair: Column) -> Column:
+        quantities = pair["quantities"]
+        numbers = F.when(_readable(quantities), _numbers(quantities))
+        return F.struct(pair["sizes"].alias("sizes"), numbers.alias("quantities"))
+
     def result(pair: Column) -> Column:
-        sizes, numbers = pair["sizes"], pair["quantities"].cast("array<int>")
+        sizes, numbers = pair["sizes"], pair["quantities"]
+        known = F.coalesce(~F.exists(numbers, lambda n: n.isNull()), F.lit(False))
         distinct = F.array_distinct(sizes)
         # rare: look the last position of each size up in the reversed arrays
         latest = F.transform(
@@ -95,13 +111,13 @@ def _last_wins_map(pairs: Column, parts: Column) -> Column:
         mapped = F.when(F.size(distinct) == F.size(sizes), F.map_from_arrays(sizes, numbers)).otherwise(
             F.map_from_arrays(distinct, latest)
         )
-        return F.when((F.size(sizes) == parts) & _readable(pair["quantities"]), mapped)
+        return F.when((F.size(sizes) == parts) & known, mapped)
 
-    return _let(pairs, result)
+    return _let(_let(pairs, read), result)
 
 
 def _no_sizes() -> Column:
-    return F.create_map(F.lit("none"), F.lit(0))
+    return F.create_map(F.lit("none"), F.lit(0).cast("bigint"))
 
 
 def scale_map(desc: ColumnOrName) -> Column:
@@ -136,7 +152,8 @@ def align_curve(curve: ColumnOrName, labels: ColumnOrName) -> Column:
     """
     curve, labels = as_col(curve), as_col(labels)
     places = [
-        F.coalesce(F.try_element_at(curve, F.get(labels, F.lit(i))), F.lit(0)) for i in range(WIDTH)
+        F.coalesce(F.try_element_at(curve, F.get(labels, F.lit(i))), F.lit(0).cast("bigint"))
+        for i in range(WIDTH)
     ]
     return F.when(curve.isNotNull() & (F.size(labels) <= WIDTH), F.array(*places))
 
@@ -154,7 +171,7 @@ def pack_size(scale: ColumnOrName) -> Column:
 def explode_prepack(scale: ColumnOrName, packs: ColumnOrName) -> Column:
     """Scale quantities times the number of cartons."""
     packs = as_col(packs)
-    return F.transform_values(as_col(scale), lambda _, v: (v * packs).cast("int"))
+    return F.transform_values(as_col(scale), lambda _, v: (v * packs).cast("bigint"))
 
 
 def fold_to_columns(values: ColumnOrName, names: list[str]) -> list[Column]:

@@ -17,7 +17,7 @@ WHITE_SPACE = (
 )
 
 # fixed values: container number format and the carriers exempt from it
-WHOLE_NUMBER = "^[+-]?[0-9]{1,9}$"
+WHOLE_NUMBER = "^[+-]?[0-9]+$"
 CONTAINER_PATTERN = "^[A-Z]{4}[0-9]{7}$"
 CONTAINER_EXEMPT = ("AIR", "FEDEX")
 
@@ -40,24 +40,19 @@ def spaced(c: ColumnOrName) -> Column:
     return F.translate(as_col(c), WHITE_SPACE, " " * len(WHITE_SPACE))
 
 
-def words(c: ColumnOrName) -> Column:
-    """Split at white space of every kind; no empty words."""
-    return F.filter(F.split(spaced(c), " "), lambda w: w != "")
-
-
 def is_blank(c: ColumnOrName) -> Column:
     c = as_col(c)
     return c.isNull() | (strip(c) == "")
 
 
 def whole_number(c: ColumnOrName) -> Column:
-    """Text -> int; NULL for any other text.
+    """Text -> long; NULL for any other text and for numbers beyond a long.
 
     The text is looked at before it is cast: a failing ``try_cast`` raises
     and catches an exception for every row.
     """
     c = strip(c)
-    return F.when(c.rlike(WHOLE_NUMBER), c.cast("int"))
+    return F.when(c.rlike(WHOLE_NUMBER), c.try_cast("long"))
 
 
 def numeric_code(c: ColumnOrName, width: int) -> Column:

@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 
 Assignments = Mapping[str, "str | Column"]
 
-_SCOPE_LIMIT = 10_000
-
 
 @dataclass(frozen=True)
 class Scope:
@@ -75,23 +73,20 @@ def _value(v: "str | Column") -> Column:
     return F.col(f"`_s_{v}`") if isinstance(v, str) else v
 
 
-def scope_values(df: DataFrame, column: str, limit: int = _SCOPE_LIMIT) -> list | None:
-    """Distinct values of a column when there are few of them, else ``None``."""
-    rows = df.select(column).filter(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
-    return None if len(rows) > limit else sorted(r[0] for r in rows)
+def scope_values(df: DataFrame, column: str) -> DataFrame:
+    """Distinct values of a column, without null."""
+    return df.select(column).filter(F.col(column).isNotNull()).distinct()
 
 
 def _with_scope(target: DataFrame, scope: Scope) -> DataFrame:
     """Flag target rows in scope; a null value is never in scope.
 
-    Few values become a literal list, so the big table is not shuffled on a
-    column with few, uneven values. More than that are joined.
+    The distinct values are joined. Their side holds one row per value: Spark
+    broadcasts it where it is small, and can split a frequent value of the
+    target where it is not.
     """
-    values = scope_values(scope.source, scope.source_column)
-    if values is not None:
-        hit = F.col(scope.column).isin(*values) if values else F.lit(False)
-        return target.withColumn("_scope", F.coalesce(hit, F.lit(False)))
-    listed = scope.source.select(F.col(scope.source_column).alias("_v")).distinct().withColumn("_hit", F.lit(True))
+    listed = scope_values(scope.source.select(F.col(scope.source_column).alias("_v")), "_v")
+    listed = listed.withColumn("_hit", F.lit(True))
     return (
         target.join(listed, F.col(scope.column) == F.col("_v"), "left")
         .withColumn("_scope", F.coalesce(F.col("_hit"), F.lit(False)))

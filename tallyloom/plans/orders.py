@@ -180,12 +180,11 @@ def load_orders(
     return merged.select(*state.columns)
 
 
-def touched_seasons(state: DataFrame, orders: DataFrame, open_orders: DataFrame) -> list | None:
+def touched_seasons(state: DataFrame, orders: DataFrame, open_orders: DataFrame) -> DataFrame:
     """Seasons whose rows a load can change; the others need no rewrite.
 
     Seasons of the feed, old seasons of lines the feeds mention, and seasons
-    holding closed lines whose balance is not zero yet. ``None`` means too
-    many to list: rewrite everything.
+    holding closed lines whose balance is not zero yet; one row each.
     """
     mentioned = orders.select(*LINE_KEY).unionByName(open_orders.select(*LINE_KEY))
     moved = state.select("SEASON", *LINE_KEY).join(mentioned, LINE_KEY, "left_semi")

@@ -144,10 +144,7 @@ def load_orders_gen1(spark, folder):
 )
 def touched_seasons(spark, folder):
     lines = shared_lines(spark, folder)
-    seasons = orders.touched_seasons(
-        stored_orders(lines), feed_orders(lines), open_orders(lines)
-    )
-    return spark.createDataFrame([(s,) for s in seasons], "SEASON string")
+    return orders.touched_seasons(stored_orders(lines), feed_orders(lines), open_orders(lines))
 
 
 def _named_orders(lines):

@@ -241,14 +241,21 @@ def amounts(spark, folder):
 
 
 _QTY = "CAST(CAST(l_quantity AS INTEGER) AS VARCHAR)"
-_SCALE_DESC = f"""(CASE WHEN l_linenumber = 1 AND l_returnflag = 'R' THEN 'x' ELSE {_QTY} END) || '/' || l_returnflag
+_LONG_QTY = f"CASE WHEN l_linenumber = 2 THEN '12345678' || lpad({_QTY}, 2, '0') ELSE {_QTY} END"
+_SCALE_DESC = f"""(CASE WHEN l_linenumber = 1 AND l_returnflag = 'R' THEN 'x' ELSE {_LONG_QTY} END) || '/' || l_returnflag
   || ' junk ' || l_linenumber || '/' || l_linestatus || repeat(' 2/M', l_linenumber)"""
 
 
+def _long_quantity():
+    """Quantity of a line; second lines have ten digits."""
+    q = digits(F.col("l_quantity").cast("int"))
+    return F.when(F.col("l_linenumber") == 2, F.concat(F.lit("12345678"), F.lpad(q, 2, "0"))).otherwise(q)
+
+
 def _scale_desc():
     first = F.when(
         (F.col("l_linenumber") == 1) & (F.col("l_returnflag") == "R"), "x"
-    ).otherwise(digits(F.col("l_quantity").cast("int")))
+    ).otherwise(_long_quantity())
     return F.concat(
         first, F.lit("/"), F.col("l_returnflag"), F.lit("  junk "), digits("l_linenumber"), F.lit("/"),
         F.col("l_linestatus"), F.repeat(F.lit(" 2/M"), F.col("l_linenumber")),
@@ -266,7 +273,7 @@ _LINE = "l_orderkey, l_partkey, l_suppkey, l_linenumber"
       WHEN len(toks) > 8 THEN 'more than eight sizes' END AS problem FROM p)
     SELECT {_LINE}, problem,
       {', '.join(f"CASE WHEN problem IS NULL THEN coalesce(split_part(toks[{i}], '/', 2), 'NONE') END AS S{i}_SIZE" for i in range(1, 9))},
-      {', '.join(f"CASE WHEN problem IS NULL THEN coalesce(TRY_CAST(split_part(toks[{i}], '/', 1) AS INTEGER), 0) END AS S{i}_QTY" for i in range(1, 9))}
+      {', '.join(f"CASE WHEN problem IS NULL THEN coalesce(TRY_CAST(split_part(toks[{i}], '/', 1) AS BIGINT), 0) END AS S{i}_QTY" for i in range(1, 9))}
     FROM q""",
 )
 def parse_scale(spark, folder):
@@ -281,16 +288,16 @@ def parse_scale(spark, folder):
 
 @case(
     "q_align_curve",
-    f"""WITH t AS (SELECT {_LINE}, CAST(l_quantity AS INTEGER) AS q, l_returnflag AS rf, l_linestatus AS ls FROM lineitem)
-    SELECT {_LINE}, CASE WHEN rf = 'A' THEN l_linenumber ELSE 0 END AS s1, CASE WHEN rf = 'N' THEN q ELSE 0 END AS s2,
-      CASE WHEN rf = 'R' THEN q ELSE 0 END AS s3, CASE WHEN ls = 'F' THEN l_linenumber ELSE 0 END AS s4,
-      CASE WHEN ls = 'O' THEN l_linenumber ELSE 0 END AS s5, 0 AS s6, 0 AS s7, 0 AS s8,
+    f"""WITH t AS (SELECT {_LINE}, CAST({_LONG_QTY} AS BIGINT) AS q, l_returnflag AS rf, l_linestatus AS ls FROM lineitem)
+    SELECT {_LINE}, CAST(CASE WHEN rf = 'A' THEN l_linenumber ELSE 0 END AS BIGINT) AS s1, CASE WHEN rf = 'N' THEN q ELSE 0 END AS s2,
+      CASE WHEN rf = 'R' THEN q ELSE 0 END AS s3, CAST(CASE WHEN ls = 'F' THEN l_linenumber ELSE 0 END AS BIGINT) AS s4,
+      CAST(CASE WHEN ls = 'O' THEN l_linenumber ELSE 0 END AS BIGINT) AS s5, CAST(0 AS BIGINT) AS s6, CAST(0 AS BIGINT) AS s7, CAST(0 AS BIGINT) AS s8,
       CASE WHEN rf = 'A' THEN 0 ELSE 1 END AS adds_up
     FROM t""",
 )
 def align_curve(spark, folder):
     # the size of a returned line is named again: the later quantity counts
-    q, ln = digits(F.col("l_quantity").cast("int")), digits("l_linenumber")
+    q, ln = _long_quantity(), digits("l_linenumber")
     again = F.when(F.col("l_returnflag") == "A", F.concat(F.lit("-"), ln, F.lit("/A"))).otherwise("")
     curve = F.concat(
         q, F.lit("/ "), F.lower("l_returnflag"), F.lit(" - "), ln, F.lit("/"), F.col("l_linestatus"), again
@@ -305,7 +312,7 @@ def align_curve(spark, folder):
         .join(labels, "l_partkey")
         .withColumn("v", nested.align_curve("curve", "labels"))
     )
-    wanted = F.col("l_quantity").cast("long") + F.col("l_linenumber")
+    wanted = _long_quantity().cast("long") + F.col("l_linenumber")
     same = F.col("l_returnflag") != "A"
     return sizes.select(
         *_LINE.split(", "),
@@ -320,8 +327,8 @@ def align_curve(spark, folder):
     p AS (SELECT p_partkey, coalesce(ttl, 0) AS ttl, p_size, p_size % 3 AS extra, p_size + p_size % 3 AS pack
       FROM part LEFT JOIN t ON p_partkey = l_partkey)
     SELECT p_partkey, ttl, CAST(pack AS BIGINT) AS pack, CASE WHEN ttl % pack = 0 THEN CAST(ttl // pack AS BIGINT) END AS packs,
-      CASE WHEN ttl % pack = 0 THEN CAST(ttl // pack * p_size AS INTEGER) END AS s_qty,
-      CASE WHEN ttl % pack = 0 THEN CAST(ttl // pack * extra AS INTEGER) END AS m_qty FROM p""",
+      CASE WHEN ttl % pack = 0 THEN CAST(ttl // pack * p_size AS BIGINT) END AS s_qty,
+      CASE WHEN ttl % pack = 0 THEN CAST(ttl // pack * extra AS BIGINT) END AS m_qty FROM p""",
 )
 def prepack(spark, folder):
     totals = (

@@ -168,6 +168,8 @@ def test_parse_scale(spark, desc):
         ("10S-20/M", None),
         ("x/S", None),
         ("5/S/M", {"S": 5}),
+        ("1234567890123/S-1/M", {"S": 1234567890123, "M": 1}),
+        ("9223372036854775808/S-1/M", None),
     ],
 )
 def test_curve_map(spark, text_, expected):
@@ -181,12 +183,22 @@ def test_curve_map(spark, text_, expected):
         ("ASSORTED", {"none": 0}),
         ("1/S junk", None),
         ("1/S 3/S", {"S": 3}),
+        ("1234567890/S 1/M", {"S": 1234567890, "M": 1}),
     ],
 )
 def test_scale_map(spark, text_, expected):
     assert one(spark, nested.scale_map("c"), c=text_) == expected
 
 
+def test_long_quantities(spark):
+    scale = one(spark, nested.parse_scale("c"), c="1234567890/S 2/M")
+    assert (scale["quantities"][:2], scale["error"]) == ([1234567890, 2], None)
+    scale = one(spark, nested.parse_scale("c"), c="1/S 99999999999999999999/M")
+    assert (scale["quantities"], scale["error"]) == (None, "quantity is too large")
+    assert one(spark, text.whole_number("c"), c=" 1234567890 ") == 1234567890
+    assert one(spark, text.whole_number("c"), c="99999999999999999999") is None
+
+
 def test_labels_and_alignment(spark):
     labels = nested.range_labels([F.lit(v) for v in ("S", "", "M", "S", "", "", "", "")])
     assert one(spark, labels, c="x") == ["S", "", "M"]

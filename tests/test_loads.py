@@ -94,7 +94,7 @@ def test_load_orders(spark, rows, order_feeds, tmp_path):
         "GY000901": ("ACTIVE", None, 9, 9, None, 0),
         "GZ000902": ("COMPLETE", None, 9, 0, None, 0),
     }
-    seasons = orders.touched_seasons(state, dated, oo)
+    seasons = [r[0] for r in rows(orders.touched_seasons(state, dated, oo))]
     assert seasons == ["FA-18", "SP-20"]
     # only the touched seasons are read and rewritten
     store = Warehouse(spark, str(tmp_path / "store"))

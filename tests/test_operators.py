@@ -53,11 +53,20 @@ def test_soft_delete_scoped_by_old_season(rows, state, feed):
     ]
 
 
-def test_scope_beyond_the_listing_limit_gives_the_same(rows, state, feed, monkeypatch):
+def test_scope_joined_by_broadcast_and_by_shuffle_gives_the_same(spark, rows, state, feed):
     scope = Scope("SEASON", feed, "SEASON")
     few = rows(mutate.upsert_soft_delete(state, feed, ["K"], VALUES, scope=scope))
-    monkeypatch.setattr(mutate, "scope_values", lambda *_, **__: None)
-    assert rows(mutate.upsert_soft_delete(state, feed, ["K"], VALUES, scope=scope)) == few
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert rows(mutate.upsert_soft_delete(state, feed, ["K"], VALUES, scope=scope)) == few
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_scope_stays_lazy(spark, state, feed):
+    broken = feed.withColumn("SEASON", F.raise_error(F.lit("boom")).cast("string"))
+    mutate.upsert_soft_delete(state, feed, ["K"], VALUES, scope=Scope("SEASON", broken, "SEASON"))
 
 
 def test_unscoped_soft_delete(rows, state, feed):
