@@ -15,7 +15,7 @@ parameters. Scoring reads every text whole.
 
 Defined cases: a null text is an empty one, with shape terms alone; labels
 without a quality or without a document are left out, repeated ones averaged
-(0.5 counts as 1); without any labelled row, or nothing similar, the score is
+(0.5 counts as 1); of documents that repeat a labelled id one text is fitted; without any labelled row, or nothing similar, the score is
 the labelled mean, 0.5 if there is none; repeated rows are scored one by one;
 an empty table gives no rows; further columns are kept out of the score.
 """
@@ -148,7 +148,10 @@ def training_rows(docs: DataFrame, labels: DataFrame, bound: int = LABELLED) ->
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(bound)
     )
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    # an id may be repeated any number of times: one text of each, by its hash
+    best = F.min(F.struct(F.xxhash64("text").alias("_hash"), "text")).alias("_best")
+    return texts.groupBy("doc_id", "_label").agg(best).select("doc_id", "_best.text", "_label")
 
 
 def _distinct_words(batches):
