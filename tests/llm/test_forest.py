@@ -28,10 +28,11 @@ def brute(rows):
     return [(k, links[i], best[find(i)]) for i, (k, _, _) in enumerate(rows)]
 
 
-@pytest.mark.parametrize("leaf,block", [(256, 1024), (24, 16)])
-def test_links_and_components_are_those_of_all_pairs(spark, monkeypatch, leaf, block):
+@pytest.mark.parametrize("leaf,cell,chunk", [(256, 16384, 20000), (24, 16384, 20000), (24, 40, 50)])
+def test_links_and_components_are_those_of_all_pairs(spark, monkeypatch, leaf, cell, chunk):
     monkeypatch.setattr(forest, "LEAF", leaf)
-    monkeypatch.setattr(forest, "_BLOCK", block)
+    monkeypatch.setattr(forest, "CELL", cell)
+    monkeypatch.setattr(forest, "_CHUNK", chunk)
     rng = np.random.default_rng(3)
     rows, k = [], 0
     for label in (1, 2):
@@ -54,8 +55,10 @@ def test_links_and_components_are_those_of_all_pairs(spark, monkeypatch, leaf, b
     assert forest.near_copies(data.limit(0)).count() == 0
 
 
-def test_deep_trees_keep_pairs_at_the_threshold(spark, monkeypatch):
+@pytest.mark.parametrize("cell,share", [(16384, 0.995), (300, 0.99)])
+def test_deep_trees_keep_pairs_at_the_threshold(spark, monkeypatch, cell, share):
     monkeypatch.setattr(forest, "LEAF", 16)
+    monkeypatch.setattr(forest, "CELL", cell)
     monkeypatch.setattr(forest, "SAMPLE", 512)
     rng = np.random.default_rng(5)
     rows = []
@@ -68,5 +71,5 @@ def test_deep_trees_keep_pairs_at_the_threshold(spark, monkeypatch):
         rows += [(2 * i, a.tolist(), 1), (2 * i + 1, (0.981 * a + np.sqrt(1 - 0.981**2) * b).tolist(), 1)]
     data = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
     got = forest.near_copies(data)
-    assert got.where("n_links = 1").count() >= 0.995 * len(rows)
+    assert got.where("n_links = 1").count() >= share * len(rows)
     assert got.where("n_links > 1").count() == 0
