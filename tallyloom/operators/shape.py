@@ -15,7 +15,7 @@ def unpivot_pairs(df: DataFrame, code_name: str = "SIZE_SCALE_CODE", desc_name:
     """Repeated (…SCALE…, …DESC…) column pairs -> one row per complete pair.
 
     Columns are found by name, SCALE before DESC, and the k-th of one kind
-    belongs to the k-th of the other.
+    belongs to the k-th of the other; a column without its partner is an error.
     """
     codes = [c for c in df.columns if "SCALE" in c]
     descs = [c for c in df.columns if "SCALE" not in c and "DESC" in c]
@@ -24,7 +24,7 @@ def unpivot_pairs(df: DataFrame, code_name: str = "SIZE_SCALE_CODE", desc_name:
             F.col(f"`{code}`").cast("string").alias(code_name),
             F.col(f"`{desc}`").cast("string").alias(desc_name),
         )
-        for code, desc in zip(codes, descs)
+        for code, desc in zip(codes, descs, strict=True)
     ]
     return df.select(F.inline(F.array(*pairs))).na.drop()
 
@@ -96,10 +96,6 @@ def tagged_union(frames: Mapping[str, DataFrame], tag: str = "TYPE") -> DataFram
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
 
 
-def union_all(*frames: DataFrame) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-
-
 def require_complete(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     """Drop rows with a null (in the subset)."""
     return df.na.drop(subset=list(subset) if subset else None)

@@ -14,7 +14,6 @@ from ..operators.shape import drop_last
 Positions = Mapping[int, tuple[str, str]]
 
 POSITION = ("_file", "_block", "_row")
-_FILE_LIMIT = 50_000
 
 
 class MissingFeed(FileNotFoundError):
@@ -87,8 +86,7 @@ def numbered_lines(spark: SparkSession, path: str, skip: int) -> DataFrame:
 
     Positions order the lines of a file: blocks by their offset, lines within
     a block as they are read. Only each file's first row number is joined
-    back; the number of files is known from the listing and decides whether
-    that small frame is broadcast.
+    back.
     """
     raw = _guarded(lambda: spark.read.text(path), path)
     lines = raw.select(
@@ -99,8 +97,6 @@ def numbered_lines(spark: SparkSession, path: str, skip: int) -> DataFrame:
     )
     if skip:
         first = lines.filter("_block = 0").groupBy("_file").agg(F.min("_row").alias("_first"))
-        if len(raw.inputFiles()) <= _FILE_LIMIT:
-            first = F.broadcast(first)
         lines = (
             lines.join(first, "_file", "left")
             .filter((F.col("_block") > 0) | (F.col("_row") - F.col("_first") >= skip))
@@ -115,13 +111,14 @@ def read_headered(spark: SparkSession, path: str, columns: Mapping[str, str]) ->
     return rows.select(*[typed(F.col(f"`{name}`"), kind).alias(name) for name, kind in columns.items()])
 
 
-def _decoded(c: Column) -> Column:
+def decoded(c: Column) -> Column:
+    """A path as it is stored; Spark gives it in encoded form."""
     return F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
 
 
 def file_name() -> Column:
     """Name of the file a row came from; Spark gives paths in encoded form."""
-    return _decoded(F.substring_index(F.col("_file"), "/", -1))
+    return decoded(F.substring_index(F.col("_file"), "/", -1))
 
 
 def season_first(name: Column) -> Column:
@@ -163,7 +160,7 @@ def read_sheet_family(
     """All tabs whose name contains a text; ``SHEET`` tells them apart."""
     rows = read_positional(spark, f"{folder}/sheet=*{contains}*", positions, skip)
     tab = F.regexp_extract("_file", r"/sheet=([^/]*)/", 1)
-    return rows.withColumn("SHEET", _decoded(tab)).drop(*POSITION)
+    return rows.withColumn("SHEET", decoded(tab)).drop(*POSITION)
 
 
 def trim_footer(df: DataFrame, n: int = 1) -> DataFrame:

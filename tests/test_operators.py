@@ -160,6 +160,8 @@ def test_unpivot_pairs(spark, rows):
         "SCALE string, DESC string, OTHER string, `SCALE 2` string, `DESC 2` string",
     )
     assert rows(shape.unpivot_pairs(df)) == [("1", "2/S"), ("3", "1/M"), ("4", "9/L")]
+    with pytest.raises(ValueError):
+        shape.unpivot_pairs(df.drop("DESC 2"))
 
 
 def test_null_comparisons(spark):

@@ -112,6 +112,15 @@ def test_publish_is_atomic_and_versioned(spark, rows, tmp_path):
         store.publish({"T": t}, {"T": Split("SEASON", ["SP-20"])})
 
 
+def test_part_names_of_every_kind_read_back(spark, rows, tmp_path):
+    store = Warehouse(spark, str(tmp_path))
+    names = ["A<1", "a b+c", "50%", "x=y", "SP-20"]
+    t = spark.createDataFrame([(n, n) for n in names], "K string, SEASON string")
+    store.publish({"T": t}, {"T": Split("SEASON")})
+    assert rows(store.read("T")) == rows(t)
+    assert rows(store.read("T", ["A<1", "50%"])) == [("50%", "50%"), ("A<1", "A<1")]
+
+
 def test_second_writer_is_told(spark, tmp_path, monkeypatch):
     one, two = Warehouse(spark, str(tmp_path)), Warehouse(spark, str(tmp_path))
     t = spark.createDataFrame([("a",)], "K string")
