@@ -68,8 +68,9 @@ def count_by_check(exceptions: DataFrame) -> dict[str, int]:
 def review_gate(exceptions: DataFrame, policy: str = "fail", accepted: Sequence[str] = ()) -> dict[str, int]:
     """Stop the load unless every check that found something is accepted.
 
-    ``proceed`` accepts everything, ``quarantine`` too (the plan has already
-    set the rows aside); ``fail`` accepts only the checks named.
+    ``proceed`` accepts everything, ``fail`` only the checks named;
+    ``quarantine`` goes on as well, and the caller publishes the states
+    without the rows of the checks that are not accepted.
     """
     if policy not in POLICIES:
         raise ValueError(f"policy: {policy}")
@@ -80,6 +81,11 @@ def review_gate(exceptions: DataFrame, policy: str = "fail", accepted: Sequence[
     return counts
 
 
+def hold_back(old: DataFrame, new: DataFrame, held: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """New state in which the held keys stay as they are stored; unstored ones are left out."""
+    return missing_reference(new, held, keys).unionByName(with_reference(old, held, keys).select(*new.columns))
+
+
 def null_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.filter(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys]))
 

@@ -75,19 +75,26 @@ def carry_forward(
     return joined.withColumns(filled).select(*df.columns)
 
 
-def drop_last(df: DataFrame, group: Sequence[str], order: Sequence[ColumnOrName]) -> DataFrame:
-    """Remove the last row of each group (the totals row of a sheet).
+def drop_last(df: DataFrame, group: Sequence[str], order: Sequence[ColumnOrName], n: int = 1) -> DataFrame:
+    """Remove the last n rows of each group (the totals rows of a sheet), and rows at the same positions.
 
-    The last position is an aggregate, so no group is ever sorted.
+    Spark keeps n rows per group and task before it ranks them. The rows are
+    matched on group and position together, so a group of any size is spread
+    over all tasks, in whatever follows too.
     """
-    rank = F.struct(*[as_col(o).alias(f"o{i}") for i, o in enumerate(order)])
-    ranked = df.withColumn("_rank", rank)
-    last = ranked.groupBy(*group).agg(F.max("_rank").alias("_last"))
-    return (
-        ranked.join(last, list(group), "left")
-        .filter(F.col("_rank") < F.col("_last"))
-        .select(*df.columns)
+    if n < 1:
+        return df
+    place = {f"_o{i}": as_col(o) for i, o in enumerate(order)}
+    placed = df.withColumns(place)
+    backwards = Window.partitionBy(*group).orderBy(*[F.col(p).desc() for p in place])
+    last = (
+        placed.select(*group, *place)
+        .withColumn("_back", F.row_number().over(backwards))
+        .filter(F.col("_back") <= n)
+        .select(*[F.col(c).alias(f"_l_{c}") for c in [*group, *place]])
     )
+    same = [F.col(f"`{c}`").eqNullSafe(F.col(f"`_l_{c}`")) for c in [*group, *place]]
+    return placed.join(last, same, "left_anti").select(*df.columns)
 
 
 def tagged_union(frames: Mapping[str, DataFrame], tag: str = "TYPE") -> DataFrame:

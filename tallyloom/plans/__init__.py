@@ -5,13 +5,14 @@ Only :func:`commit` writes. A load whose checks fail publishes nothing.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.checks import review_gate
+from ..operators.checks import CheckFailed, review_gate
 from ..schemas import SEASON_TABLES
 from ..sources.warehouse import Split, Warehouse
 
@@ -21,12 +22,14 @@ class Load:
     """Outcome of a load before it is written.
 
     ``parts`` lists, per table stored by season, the seasons the new state
-    covers (``None``: all of them).
+    covers (``None``: all of them). ``without`` gives the states without the
+    rows that the named checks report; it is asked only under quarantine.
     """
 
     states: dict[str, DataFrame]
     exceptions: DataFrame | None = None
     parts: dict[str, Sequence | None] = field(default_factory=dict)
+    without: Callable[[Collection[str]], dict[str, DataFrame]] | None = None
 
 
 def write_exceptions(exceptions: DataFrame, folder: str, check: str) -> None:
@@ -37,15 +40,31 @@ def write_exceptions(exceptions: DataFrame, folder: str, check: str) -> None:
 def commit(
     warehouse: Warehouse, load: Load, policy: str = "fail", accepted: Sequence[str] = ()
 ) -> dict[str, int]:
-    """Run the checks, then publish every new state in one commit."""
+    """Run the checks, then publish every new state in one commit.
+
+    Under ``quarantine`` the rows of checks that are not accepted are left
+    out; a load that cannot leave them out stops.
+    """
     counts = {} if load.exceptions is None else review_gate(load.exceptions, policy, accepted)
-    splits = {
-        name: Split("SEASON", load.parts.get(name)) for name in load.states if name in SEASON_TABLES
-    }
-    warehouse.publish(load.states, splits)
+    states = load.states
+    blocking = {k: v for k, v in counts.items() if k not in accepted}
+    if policy == "quarantine" and blocking:
+        if load.without is None:
+            raise CheckFailed(blocking)
+        states = {**states, **load.without(set(blocking))}
+    splits = {name: Split("SEASON", load.parts.get(name)) for name in states if name in SEASON_TABLES}
+    warehouse.publish(states, splits)
     return counts
 
 
+def held_keys(
+    found: Mapping[str, DataFrame], checks: Collection[str], keys: Sequence[str]
+) -> DataFrame | None:
+    """Keys of the rows that the named checks found; none of the checks: ``None``."""
+    named = [rows.select(*keys) for check, rows in found.items() if check in checks]
+    return reduce(lambda a, b: a.unionByName(b), named) if named else None
+
+
 def empty_table(spark, ddl: str) -> DataFrame:
     return spark.createDataFrame([], ddl)
 

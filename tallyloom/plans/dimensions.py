@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from ..functions import nested, rules, text
 from ..functions.amounts import bucket_sum, buckets, fill, override
-from ..operators.checks import all_exceptions, attribute_conflict, exception_rows
+from ..operators.checks import all_exceptions, attribute_conflict, exception_rows, hold_back
 from ..operators.compare import ne_or_null
 from ..operators.mutate import upsert, upsert_soft_delete
 from ..operators.shape import unpivot_pairs
-from . import Load
+from ..schemas import KEYS
+from . import Load, held_keys
 
 _STYLE_SET = {
     **{
@@ -119,9 +120,12 @@ def load_styles(
 ) -> Load:
     classified = classify_styles(feed, overrides)
     new = upsert_soft_delete(state, finish_styles(classified), ["STYLE"], _STYLE_SET)
+    offending = {
+        f"style_{name.lower()}": attribute_conflict(classified, name, f"{name}_2") for name in ("CAT", "SLV")
+    }
     found = [
         exception_rows(
-            attribute_conflict(classified, name, f"{name}_2"),
+            offending[f"style_{name.lower()}"],
             f"style_{name.lower()}",
             ["STYLE"],
             "manual list and description disagree",
@@ -131,9 +135,10 @@ def load_styles(
         for name in ("CAT", "SLV")
     ]
     if details is not None and headers is not None:
+        offending["style_season"] = season_conflicts(new, details, headers)
         found.append(
             exception_rows(
-                season_conflicts(new, details, headers),
+                offending["style_season"],
                 "style_season",
                 ["STYLE"],
                 "bought in another season",
@@ -141,7 +146,12 @@ def load_styles(
                 actual="HFC_SSN",
             )
         )
-    return Load({"STYLE_MASTER": new}, all_exceptions(found))
+
+    def without(checks):
+        held = held_keys(offending, checks, KEYS["STYLE_MASTER"])
+        return {} if held is None else {"STYLE_MASTER": hold_back(state, new, held, KEYS["STYLE_MASTER"])}
+
+    return Load({"STYLE_MASTER": new}, all_exceptions(found), without=without)
 
 
 def scale_totals(scales: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.shape import drop_last
+from ..session import stage
 
 Positions = Mapping[int, tuple[str, str]]
 
@@ -85,15 +87,18 @@ def numbered_lines(spark: SparkSession, path: str, skip: int) -> DataFrame:
     """Raw lines with (file, block, row) positions, without the preamble.
 
     Positions order the lines of a file: blocks by their offset, lines within
-    a block as they are read. Only each file's first row number is joined
-    back.
+    a block as they are read. The feed is read once: the numbered lines are
+    written, so that all branches see the same numbers. Only each file's first
+    row number is joined back.
     """
     raw = _guarded(lambda: spark.read.text(path), path)
-    lines = raw.select(
-        "value",
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_row"),
+    lines = stage(
+        raw.select(
+            "value",
+            F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_row"),
+        )
     )
     if skip:
         first = lines.filter("_block = 0").groupBy("_file").agg(F.min("_row").alias("_first"))
@@ -134,9 +139,16 @@ def season_last(name: Column) -> Column:
 def read_feed_family(
     spark: SparkSession, folder: str, pattern: str, positions: Positions, skip: int = 1
 ) -> DataFrame:
-    """All files of a feed in one scan; ``FILE`` tells them apart."""
+    """All files of a feed in one scan; ``FILE`` tells them apart.
+
+    A member may be a folder of part files, as Spark writes it; its rows carry
+    the name of the folder.
+    """
+    folder = folder.rstrip("/")
     rows = read_positional(spark, f"{folder}/{pattern}", positions, skip)
-    return rows.withColumn("FILE", file_name()).drop("_file")
+    base = re.escape(folder.rpartition("/")[2])
+    member = F.regexp_extract(decoded(F.col("_file")), f"^.*/{base}/([^/]+)", 1)
+    return rows.withColumn("FILE", F.coalesce(F.nullif(member, F.lit("")), file_name())).drop("_file")
 
 
 def not_cancelled(df: DataFrame, name: Column) -> DataFrame:
@@ -165,6 +177,4 @@ def read_sheet_family(
 
 def trim_footer(df: DataFrame, n: int = 1) -> DataFrame:
     """Drop the last n rows of each file."""
-    for _ in range(n):
-        df = drop_last(df, ["_file"], ["_block", "_row"])
-    return df
+    return drop_last(df, ["_file"], ["_block", "_row"], n)

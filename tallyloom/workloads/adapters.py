@@ -168,9 +168,9 @@ def feed_orders(lines: DataFrame) -> DataFrame:
 FEED_ORDERS = f"fd AS (SELECT * FROM ol WHERE STATUS <> 'F' AND ORDER_DATE >= DATE '{FEED_FROM}')"
 
 
-def as_text(lines: DataFrame) -> DataFrame:
-    """Order lines as the extract spells them: month/day/year, short codes."""
-    us = lambda c: F.date_format(c, "M/d/yyyy")
+def as_text(lines: DataFrame, dates: str = "M/d/yyyy") -> DataFrame:
+    """Order lines as the extract spells them: dates in a pattern, short codes."""
+    us = lambda c: F.date_format(c, dates)
     bare = lambda c: F.regexp_replace(c, "^0+(?=.)", "")
     return lines.withColumns(
         {

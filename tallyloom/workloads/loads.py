@@ -8,8 +8,8 @@ from .. import schemas
 from ..functions import text
 from ..functions.amounts import buckets
 from ..session import stage
-from ..plans import conform, dimensions, movements, orders, purchase_orders
-from . import case
+from ..plans import conform, dimensions, movements, orders, purchase_orders, write_exceptions
+from . import ORACLES, case
 from .adapters import (
     AS_OF,
     CUSTOMER_NAMES,
@@ -35,6 +35,7 @@ from .adapters import (
     with_clause,
     z,
 )
+from .shape import scratch
 
 KEY = "GREEN_BAR, STYLE, COLOR"
 EIGHT = range(1, 9)
@@ -85,6 +86,9 @@ def _status_sql(generation: int) -> str:
         WHEN bal0 > 0 AND SHIP_ON_DATE IS NOT NULL THEN 'PARTIAL' {unconfirmed} ELSE 'ACTIVE' END"""
 
 
+_BY_ORDER_NUMBER = """im AS (SELECT * REPLACE (max(SHIP_ON_DATE) OVER (PARTITION BY SEASON, GREEN_BAR) AS SHIP_ON_DATE) FROM fd)"""
+
+
 def _load_sql(generation: int) -> str:
     """SQL of the order load as the sequence of statements it stands for."""
     copied = [
@@ -95,7 +99,8 @@ def _load_sql(generation: int) -> str:
     lost = "s.GREEN_BAR IS NULL AND t.SEASON IN (SELECT SEASON FROM src)"
     zero = lost if generation > 1 else "FALSE"
     closed = "('COMPLETE', 'DEACTIVE')" if generation > 1 else "('COMPLETE')"
-    return f"""{with_clause(ORDER_LINES, STORED_ORDERS, FEED_ORDERS, OPEN_ORDERS, _imputed('fd'))},
+    imputed = _BY_ORDER_NUMBER if generation == 2 else _imputed("fd")
+    return f"""{with_clause(ORDER_LINES, STORED_ORDERS, FEED_ORDERS, OPEN_ORDERS, imputed)},
     b AS (SELECT im.* EXCLUDE (BAL, UNCONFIRMED), im.UNCONFIRMED, coalesce(oo.BAL, 0) AS bal0 FROM im
       LEFT JOIN oo ON im.GREEN_BAR = oo.GREEN_BAR AND im.STYLE = oo.STYLE AND im.COLOR = oo.COLOR),
     src AS (SELECT * EXCLUDE (UNCONFIRMED), CASE WHEN {mark} THEN 1 ELSE 0 END AS UNCONFIRMED, {_status_sql(generation)} AS COMMENT FROM b),
@@ -113,9 +118,12 @@ def _load_sql(generation: int) -> str:
 
 def _load_orders(spark, folder, generation):
     lines = shared_lines(spark, folder)
-    feed = as_text(feed_orders(lines))
+    feed = as_text(feed_orders(lines), "yyyy-MM-dd HH:mm:ss" if generation == 2 else "M/d/yyyy")
     cleaned = stage(orders.clean_orders(feed.withColumn("FILE", F.col("SEASON")), generation))
-    dated = orders.impute_ship_date(cleaned, AS_OF, green_bar_customers=BY_ORDER)
+    if generation == 2:
+        dated = orders.impute_ship_date_by_order(cleaned)
+    else:
+        dated = orders.impute_ship_date(cleaned, AS_OF, green_bar_customers=BY_ORDER)
     return orders.load_orders(
         stored_orders(lines),
         dated,
@@ -135,6 +143,11 @@ def load_orders_gen1(spark, folder):
     return _load_orders(spark, folder, 1)
 
 
+@case("q_load_orders_gen2", _load_sql(2))
+def load_orders_gen2(spark, folder):
+    return _load_orders(spark, folder, 2)
+
+
 @case(
     "q_touched_seasons",
     f"""{with_clause(ORDER_LINES, STORED_ORDERS, FEED_ORDERS, OPEN_ORDERS)},
@@ -342,6 +355,14 @@ def inventory_check(spark, folder):
     return load.exceptions
 
 
+@case("q_exception_report", ORACLES["q_inventory_check"])
+def exception_report(spark, folder):
+    """The exceptions of a load, written as a report and read back."""
+    reports = scratch(spark, "reports")
+    write_exceptions(inventory_check(spark, folder), reports, "inventory_sizes")
+    return spark.read.parquet(f"{reports}/inventory_sizes")
+
+
 @case(
     "q_load_assoc",
     f"""{with_clause(ORDER_LINES)},
@@ -354,6 +375,11 @@ def inventory_check(spark, folder):
     SELECT {KEY}, CASE WHEN COLOR = '003' THEN '197218' ELSE HFC END AS HFC, SEASON, CASE WHEN COLOR = '004' THEN 0 ELSE CXL END AS CXL FROM m""",
 )
 def load_assoc(spark, folder):
+    fixes = [({"COLOR": "003"}, {"HFC": "197218"}), ({"COLOR": "004"}, {"CXL": 0})]
+    return _load_assoc(spark, folder, F.concat(F.lower("SEASON"), F.lit(" ASSOC.csv")), 3, fixes)
+
+
+def _load_assoc(spark, folder, file, generation, fixes=()):
     lines = shared_lines(spark, folder)
     state = lines.filter("STATUS <> 'O'").select(
         "GREEN_BAR", "STYLE", "COLOR", F.lit("0000AA").alias("HFC"),
@@ -361,10 +387,30 @@ def load_assoc(spark, folder):
     )
     ref = F.when(F.col("STATUS") == "P", F.concat(F.col("CUST_PO"), F.lit("-1"))).otherwise("longer than six-2")
     feed = lines.filter("STATUS <> 'F' AND SEASON IN ('SP-99', 'FA-99')").select(
-        "GREEN_BAR", "STYLE", "COLOR", ref.alias("HFC"), F.concat(F.lower("SEASON"), F.lit(" ASSOC.csv")).alias("FILE")
+        "GREEN_BAR", "STYLE", "COLOR", ref.alias("HFC"), file.alias("FILE")
     )
-    fixes = [({"COLOR": "003"}, {"HFC": "197218"}), ({"COLOR": "004"}, {"CXL": 0})]
-    return movements.load_assoc(state, movements.clean_assoc(feed), corrections=fixes).states["HFC_ASSOC"]
+    links = movements.clean_assoc(feed, generation)
+    return movements.load_assoc(state, links, generation, corrections=fixes).states["HFC_ASSOC"]
+
+
+_OLDER_ASSOC = f"""{with_clause(ORDER_LINES)},
+    t AS (SELECT {KEY}, '0000AA' AS HFC, {season_sql('START_SHIP')} AS SEASON FROM ol WHERE STATUS <> 'O'),
+    s AS (SELECT {KEY}, CASE WHEN STATUS = 'P' THEN CUST_PO ELSE 'longer than six' END AS HFC, SEASON FROM ol
+      WHERE STATUS <> 'F' AND SEASON IN ('SP-99', 'FA-99'))
+    SELECT coalesce(t.GREEN_BAR, s.GREEN_BAR) AS GREEN_BAR, coalesce(t.STYLE, s.STYLE) AS STYLE, coalesce(t.COLOR, s.COLOR) AS COLOR,
+      coalesce(s.HFC, t.HFC) AS HFC, coalesce(s.SEASON, t.SEASON) AS SEASON, CASE WHEN s.HFC IS NULL THEN 1 ELSE 0 END AS CXL
+    FROM t FULL OUTER JOIN s ON t.GREEN_BAR = s.GREEN_BAR AND t.STYLE = s.STYLE AND t.COLOR = s.COLOR"""
+
+
+@case("q_load_assoc_gen1", _OLDER_ASSOC)
+def load_assoc_gen1(spark, folder):
+    name = F.concat(F.lit("SOURCE_HFC_ASSOC_"), F.col("SEASON"), F.lit(".csv"))
+    return _load_assoc(spark, folder, name, 1)
+
+
+@case("q_load_assoc_gen2", _OLDER_ASSOC)
+def load_assoc_gen2(spark, folder):
+    return _load_assoc(spark, folder, F.concat(F.lower("SEASON"), F.lit(" ASSOC.csv")), 2)
 
 
 _STYLE_FEED = """f AS (
@@ -578,6 +624,23 @@ _RECEIPTS = f"""rc AS (SELECT {z('l_orderkey', 6)} AS HFC, {z('l_partkey', 6)} A
 )
 def load_receiving(spark, folder):
     """Stored receipts of marked lines; the feed lacks the returned ones' number."""
+    state, receipts = _receipts(spark, folder)
+    order = text.zfill(digits("l_orderkey"), 6)
+    raw = receipts.select(
+        F.when(F.col("fl") != "R", order).alias("CTRL_NBR"),
+        digits("l_orderkey").alias("HFC"), digits("l_partkey").alias("STYLE"), digits("l_suppkey").alias("COLOR"),
+        F.col("u").alias("REC_UNITS"), *[F.col("u").alias(b) for b in buckets()],
+        F.lit("BOX").alias("CONTAINER_NBR"), F.date_format("d", "yyyy-MM-dd HH:mm:ss").alias("REC_DATE"),
+        F.concat(F.lit("I"), order).alias("INVOICE_NBR"),
+    )
+    new = movements.load_receiving(state, movements.clean_receiving(raw)).states["RECEIVING"]
+    return new.select(
+        "CTRL_NBR", "HFC_NBR", "STYLE", "COLOR", "CONTAINER_NBR", "REC_DATE", "REC_UNITS", "REC_S1", "INVOICE_NBR"
+    )
+
+
+def _receipts(spark, folder):
+    """(stored receipts, lines as receipts)"""
     receipts = (
         table(spark, folder, "lineitem")
         .groupBy("l_orderkey", "l_partkey", "l_suppkey")
@@ -593,18 +656,27 @@ def load_receiving(spark, folder):
         text.zfill(digits("l_partkey"), 6).alias("STYLE"), text.zfill(digits("l_suppkey"), 3).alias("COLOR"),
         F.lit("BOX").alias("CONTAINER_NBR"), F.lit("1990-01-01").cast("date").alias("REC_DATE"), F.lit(0).alias("REC_UNITS"),
     )
-    raw = receipts.select(
-        F.when(F.col("fl") != "R", order).alias("CTRL_NBR"),
-        digits("l_orderkey").alias("HFC"), digits("l_partkey").alias("STYLE"), digits("l_suppkey").alias("COLOR"),
-        F.col("u").alias("REC_UNITS"), *[F.col("u").alias(b) for b in buckets()],
-        F.lit("BOX").alias("CONTAINER_NBR"), F.date_format("d", "yyyy-MM-dd HH:mm:ss").alias("REC_DATE"),
-        F.concat(F.lit("I"), order).alias("INVOICE_NBR"),
-    )
-    new = movements.load_receiving(
-        conform(state, schemas.TABLES["RECEIVING"]), movements.clean_receiving(raw)
-    ).states["RECEIVING"]
+    return conform(state, schemas.TABLES["RECEIVING"]), receipts
+
+
+@case(
+    "q_load_receiving_gen1",
+    f"""WITH {_RECEIPTS} SELECT HFC AS CTRL_NBR, HFC AS HFC_NBR, STYLE, COLOR, CASE WHEN fl <> 'N' THEN 'BOX' END AS CONTAINER_NBR,
+      CASE WHEN fl <> 'R' THEN STYLE END AS REC_NBR, CASE WHEN fl = 'R' THEN DATE '1990-01-01' ELSE d END AS REC_DATE,
+      CASE WHEN fl = 'R' THEN 0 ELSE u END AS REC_UNITS FROM rc""",
+)
+def load_receiving_gen1(spark, folder):
+    """The older feed names no container; returned lines are not in it."""
+    state, receipts = _receipts(spark, folder)
+    style = digits("l_partkey")
+    raw = receipts.filter("fl <> 'R'").select(
+        text.zfill(digits("l_orderkey"), 6).alias("CTRL_NBR"), style.alias("REC_NBR"),
+        F.date_format("d", "M/d/yyyy").alias("REC_DATE"), digits("l_orderkey").alias("HFC"),
+        style.alias("STYLE"), digits("l_suppkey").alias("COLOR"), F.col("u").alias("REC_UNITS"),
+    )
+    new = movements.load_receiving(state, movements.clean_receiving(raw, 1), 1).states["RECEIVING"]
     return new.select(
-        "CTRL_NBR", "HFC_NBR", "STYLE", "COLOR", "CONTAINER_NBR", "REC_DATE", "REC_UNITS", "REC_S1", "INVOICE_NBR"
+        "CTRL_NBR", "HFC_NBR", "STYLE", "COLOR", "CONTAINER_NBR", "REC_NBR", "REC_DATE", "REC_UNITS"
     )
 
 

@@ -22,6 +22,7 @@ from .adapters import (
     customer_names,
     digits,
     order_lines,
+    season_of,
     season_sql,
     stored_orders,
     table,
@@ -285,6 +286,36 @@ def headered_feed(spark, folder):
     return _read_back(shape.renamed(rows, {"b": "ORDER", "c": "DAY", "o_totalprice": "PRICE", "e": "NOTE", "f": "STATUS"}))
 
 
+@case(
+    "q_feed_family",
+    f"""SELECT {season_sql('o_orderdate')} AS season, count(*) AS orders, CAST(sum(o_orderkey) AS BIGINT) AS keys, 'RETURNS' AS missing
+    FROM orders GROUP BY 1""",
+)
+def feed_family(spark, folder):
+    """One feed per season, the season in its name; another feed did not arrive."""
+    path = scratch(spark, "family")
+    orders = table(spark, folder, "orders")
+    name = F.concat(F.lit("ORDERS_"), season_of(F.to_date("o_orderdate")), F.lit(".csv"))
+    (
+        orders.select(digits("o_orderkey"), "o_orderstatus", name.alias("feed"))
+        .write.partitionBy("feed")
+        .option("header", True)
+        .csv(path)
+    )
+    delimited.require_feed(spark, f"{path}/feed=ORDERS*")
+    missing = None
+    try:
+        delimited.require_feed(spark, f"{path}/feed=RETURNS*")
+    except delimited.MissingFeed:
+        missing = "RETURNS"
+    rows = delimited.read_feed_family(spark, path, "feed=ORDERS*", {0: ("KEY", "long")})
+    return (
+        rows.groupBy(delimited.season_last(F.col("FILE")).alias("season"))
+        .agg(F.count("*").alias("orders"), F.sum("KEY").alias("keys"))
+        .withColumn("missing", F.lit(missing))
+    )
+
+
 @case(
     "q_sheet_family",
     f"""SELECT {season_sql('o_orderdate')} AS season, count(*) AS orders, CAST(sum(o_orderkey) AS BIGINT) AS keys

@@ -173,6 +173,15 @@ def test_inventory_clamps_and_reports(spark, rows, tmp_path):
         commit(store, load)
     assert not store.exists("INV")
     assert commit(store, load, accepted=["inventory_sizes"]) == {"inventory_sizes": 1}
+    assert rows(store.read("INV"), "STYLE") == [("000012",), ("000013",), ("000099",)]
+    commit(store, load, "quarantine")
+    assert rows(store.read("INV"), "STYLE") == [("000012",), ("000099",)]
+    commit(store, load, "quarantine", accepted=["inventory_sizes"])
+    assert store.read("INV").count() == 3
+    commit(store, load, "proceed")
+    assert store.read("INV").count() == 3
+    with pytest.raises(CheckFailed):
+        commit(store, Load(load.states, load.exceptions), "quarantine")
     write_exceptions(load.exceptions, str(tmp_path / "reports"), "inventory")
     assert spark.read.parquet(str(tmp_path / "reports" / "inventory")).count() == 1
 
@@ -247,6 +256,10 @@ def test_containers(spark, rows):
     assert load.exceptions.count() == 0
     blank = movements.load_containers(state, *container_inputs(spark, hfc2=None))
     assert count_by_check(blank.exceptions) == {"container_order_blank": 1, "container_control_total": 1, "invoice_pair_unknown": 1}
+    strange = movements.load_containers(state, *container_inputs(spark, hfc2="13"))
+    assert count_by_check(strange.exceptions) == {"container_order_unknown": 1, "invoice_pair_unknown": 1}
+    kept = strange.without({"container_order_unknown"})["HFC_CONTAINER"]
+    assert rows(kept, "HFC_NBR", "CONTAINER_NBR") == [("000011", "ABCD1234567"), ("000011", "AIR"), ("000099", "OLDD1234567")]
 
 
 def test_invoices(spark, rows):
@@ -278,6 +291,11 @@ def test_invoices(spark, rows):
     ]
     assert rows(load.states["INVOICE_HEADER"], "INVOICE_NBR", "ACH_AMT") == [("I1", 5.0), ("I2", 5.0), ("I3", None), ("I4", None), ("I9", None)]
     assert rows(load.states["HFC_CONTAINER"], "CONTAINER_NBR", "INVOICE_NBR") == [("C1", "I1"), ("C2", None)]
+    kept = load.without({"invoice_totals", "invoice_unbilled"})
+    assert rows(kept["INVOICE_HEADER"], "INVOICE_NBR") == [("I1",), ("I3",), ("I4",)]
+    assert rows(kept["INVOICE_DETAIL"], "INVOICE_NBR") == [("I1",)]
+    assert rows(kept["HFC_CONTAINER"], "CONTAINER_NBR", "INVOICE_NBR") == [("C1", "I1"), ("C2", None)]
+    assert load.without({"another check"}) == {}
     twice = paid.unionByName(paid.filter("INVOICE_NBR = 'I1'"))
     with pytest.raises(Exception, match="repeated key in bank transfers"):
         invoices.clean_payments(twice).collect()

@@ -151,7 +151,33 @@ def test_carry_forward_across_slices(spark, rows):
 def test_drop_last_and_first_by(spark, rows):
     df = spark.createDataFrame([("f", 0, 1), ("f", 1, 0), ("g", 0, 5)], "file string, block int, row int")
     assert rows(shape.drop_last(df, ["file"], ["block", "row"])) == [("f", 0, 1)]
+    assert shape.drop_last(df, ["file"], ["block", "row"], 2).count() == 0
+    assert shape.drop_last(df, ["file"], ["block", "row"], 0).count() == 3
     assert rows(shape.first_by(df, ["file"], ["block", "row"])) == [("f", 0, 1), ("g", 0, 5)]
+    blanks = spark.createDataFrame([(None, 1), (None, 2), ("g", None), ("g", 1)], "file string, row int")
+    assert rows(shape.drop_last(blanks, ["file"], ["row"])) == [(None, 1), ("g", None)]
+
+
+def test_a_group_of_any_size_is_spread(spark):
+    """No join on the group alone feeds the slices of a group."""
+    df = spark.createDataFrame([("f", 0, 1, "x")], "file string, block int, row int, v string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        kept = shape.drop_last(df, ["file"], ["block", "row"])
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert joins and all("row" in line for line in joins)
+
+
+def test_hold_back(spark, rows):
+    old = spark.createDataFrame([("a", 1), ("b", 1)], "k string, n int")
+    new = spark.createDataFrame([("a", 2), ("b", 2), ("c", 2), (None, 2)], "k string, n int")
+    held = spark.createDataFrame([("b",), ("c",), ("b",), (None,)], "k string")
+    assert rows(checks.hold_back(old, new, held, ["k"])) == [(None, 2), ("a", 2), ("b", 1)]
 
 
 def test_unpivot_pairs(spark, rows):

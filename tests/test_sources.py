@@ -128,3 +128,21 @@ def test_second_writer_is_told(spark, tmp_path, monkeypatch):
     one.publish({"T": t})
     with pytest.raises(PublishConflict):
         two.publish({"T": t})
+    # two records in one commit: nobody guesses which one counts
+    t.selectExpr("'{}' AS value").write.mode("append").text(str(tmp_path / "_commits" / "c=1"))
+    with pytest.raises(PublishConflict, match="2 records"):
+        one.read("T")
+
+
+def test_latest_commit_by_number(spark, rows, tmp_path):
+    store = Warehouse(spark, str(tmp_path))
+    for i in range(11):
+        store.publish({"T": spark.createDataFrame([(i,)], "n int")})
+    assert store.version() == 11 and rows(store.read("T")) == [(10,)]
+
+
+def test_family_of_folders(spark, rows, tmp_path):
+    rows_out = spark.createDataFrame([("1", "A_SP-20.csv"), ("2", "A_FA-20.csv")], "k string, feed string")
+    rows_out.write.partitionBy("feed").option("header", True).csv(str(tmp_path / "x"))
+    back = delimited.read_feed_family(spark, str(tmp_path / "x") + "/", "feed=A*", {0: ("K", "long")})
+    assert rows(back.select("K", delimited.season_last(F.col("FILE")))) == [(1, "SP-20"), (2, "FA-20")]
