@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import words
 from .common import ship, stage
 from .tokens import coder, slices
 
@@ -41,6 +42,7 @@ def _cutter(vocabulary: str, end_id: int, capacity: int):
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def cut(batches):
+        words.forget()
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
             for a, b in slices(texts):

@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import tokens
 from .common import ship, stage
 from .components import components
 from .words import hashed, mixed, windows
@@ -123,6 +124,7 @@ _SETS = "d1 long, d2 long, shingles array<long>, bits binary"
 
 def _sketcher(rule: Rule):
     def sketch(batches):
+        tokens.forget()
         for batch in batches:
             for begin in range(0, batch.num_rows, 1000):
                 part = batch.slice(begin, 1000)
@@ -142,6 +144,7 @@ def _sketcher(rule: Rule):
 
 def _set_maker(rule: Rule, wanted):
     def make(batches):
+        tokens.forget()
         there = wanted.value
         for batch in batches:
             place = batch.column(0).to_numpy(zero_copy_only=False)

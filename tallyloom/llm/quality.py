@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import tokens, words
 from .common import ship
 
 LABELLED = 5000
@@ -211,6 +212,8 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = LABELLED, size: int = T
 
 def _scorer(model):
     def score(batches):
+        tokens.forget()
+        words.forget()
         own = model.value
         codes = _Codes(own.vocabulary)
         for batch in batches:
@@ -234,6 +237,8 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
 
 def _filter(model, least: float):
     def keep(batches):
+        tokens.forget()
+        words.forget()
         own = model.value
         codes = _Codes(own.vocabulary)
         for batch in batches:

@@ -99,6 +99,11 @@ def coder(path: str, keeps_space: bool) -> PieceCoder:
     return _coders[key]
 
 
+def forget() -> None:
+    """Free the coders of a worker and all they know: workers outlive their operators."""
+    _coders.clear()
+
+
 def slices(texts, size: int = 1 << 22):
     """(begin, end) of runs of rows with about ``size`` characters, one row at least."""
     begin, held = 0, 0

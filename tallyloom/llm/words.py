@@ -22,6 +22,11 @@ class _Hashes(dict):
 _hashes = _Hashes()
 
 
+def forget() -> None:
+    """Free what a worker remembers of words: workers outlive their operators."""
+    _hashes.clear()
+
+
 def hashed(words: list) -> np.ndarray:
     return np.fromiter(map(_hashes.__getitem__, words), dtype=np.uint64, count=len(words))
 
