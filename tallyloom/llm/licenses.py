@@ -2,8 +2,9 @@
 
 Words are runs of letters, digits and characters beyond ASCII, A-Z lowered.
 Rules are regular expressions over the words joined by single spaces. Each has
-a keyword: only where the text holds it is the expression run, and only where
-the text holds one of a few stems are keywords looked for. Rules are ordered
+a keyword that all its matches hold: only where the text holds it is the
+expression run, and only where the text holds one of a few stems are keywords
+looked for, so neither gate loses a match. Rules are ordered
 by priority; a detection is suppressed where another one of the same or a
 higher priority contains its interval, the first rule winning among equals.
 
@@ -29,12 +30,23 @@ BASE = (
     ("mit license", "mit"),
 )
 
-#: Stems one of which every keyword holds.
-STEMS = ("licen", "cc ", "creative commons", "public domain", "copyright", "unlicense", "spdx")
+#: How names of Creative Commons begin, each a keyword of its own, and how they go on, with labels.
+_CC = ("cc by", "cc attribution", "creative commons by", "creative commons attribution")
+_CC_PARTS = (
+    ("cc-by-nc-nd", r" (?:nc|non ?commercial) (?:nd|no ?deriv(?:ative)?s?)(?: \d 0)?"),
+    ("cc-by-nc-sa", r" (?:nc|non ?commercial) (?:sa|share ?alike)(?: \d 0)?"),
+    ("cc-by-nc", r" (?:nc|non ?commercial)(?: \d 0)?"),
+    ("cc-by-nd", r" (?:nd|no ?deriv(?:ative)?s?)(?: \d 0)?"),
+    ("cc-by-sa", r" (?:sa|share ?alike)(?: \d 0)?"),
+    ("cc-by-4.0", r" 4 0"),
+    ("cc-by-3.0", r" 3 0"),
+)
 
-#: Label, keyword, name as an expression over words. Versions are optional digits as written in headers.
+#: Label, keyword that every match holds, name as an expression over words without alternatives outside of groups.
+#: Versions are optional digits as written in headers.
 FAMILIES = (
-    ("agpl-3.0", "affero", r"gnu affero general public licen[cs]e(?: version 3| v3)?|agpl(?: ?v?3(?: 0)?)?"),
+    ("agpl-3.0", "affero", r"gnu affero general public licen[cs]e(?: version 3| v3)?"),
+    ("agpl-3.0", "agpl", r"agpl(?: ?v?3(?: 0)?)?"),
     ("lgpl-2.1", "lesser", r"gnu lesser general public licen[cs]e (?:version |v )?2(?: 1)?"),
     ("lgpl-3.0", "lesser", r"gnu lesser general public licen[cs]e (?:version |v )?3(?: 0)?"),
     ("lgpl", "lesser", r"gnu lesser general public licen[cs]e"),
@@ -46,15 +58,15 @@ FAMILIES = (
     ("apache-1.1", "apache", r"apache (?:software )?licen[cs]e (?:version |v )?1 1"),
     ("apache-2.0", "apache", r"apache (?:software )?licen[cs]e (?:version |v )?2(?: 0)?"),
     ("apache", "apache", r"apache (?:software )?licen[cs]e"),
-    ("mit-0", "mit", r"mit no attribution licen[cs]e"),
-    ("mit", "mit", r"mit (?:x11 |expat )?licen[cs]e"),
+    ("mit-0", " mit ", r"mit no attribution licen[cs]e"),
+    ("mit", " mit ", r"mit (?:x11 |expat )?licen[cs]e"),
     ("x11", "x11", r"x11 licen[cs]e"),
     ("expat", "expat", r"expat licen[cs]e"),
     ("bsd-2-clause", "bsd", r"(?:bsd 2 clause|2 clause bsd|simplified bsd|freebsd) licen[cs]e"),
     ("bsd-3-clause", "bsd", r"(?:bsd 3 clause|3 clause bsd|new bsd|modified bsd|revised bsd) licen[cs]e"),
     ("bsd-4-clause", "bsd", r"(?:bsd 4 clause|4 clause bsd|original bsd) licen[cs]e"),
     ("bsd", "bsd", r"bsd(?: style)? licen[cs]e"),
-    ("isc", "isc", r"isc licen[cs]e"),
+    ("isc", " isc ", r"isc licen[cs]e"),
     ("mpl-1.1", "mozilla", r"mozilla public licen[cs]e (?:version |v )?1 1"),
     ("mpl-2.0", "mozilla", r"mozilla public licen[cs]e (?:version |v )?2(?: 0)?"),
     ("mpl", "mozilla", r"mozilla public licen[cs]e"),
@@ -84,20 +96,29 @@ FAMILIES = (
     ("sspl", "server side", r"server side public licen[cs]e"),
     ("bsl-source", "business source", r"business source licen[cs]e"),
     ("elastic", "elastic", r"elastic licen[cs]e"),
-    ("cc-by-nc-nd", "nd", r"(?:cc|creative commons) (?:by|attribution) (?:nc|non ?commercial) (?:nd|no ?deriv(?:ative)?s?)(?: \d 0)?"),
-    ("cc-by-nc-sa", "sa", r"(?:cc|creative commons) (?:by|attribution) (?:nc|non ?commercial) (?:sa|share ?alike)(?: \d 0)?"),
-    ("cc-by-nc", "nc", r"(?:cc|creative commons) (?:by|attribution) (?:nc|non ?commercial)(?: \d 0)?"),
-    ("cc-by-nd", "nd", r"(?:cc|creative commons) (?:by|attribution) (?:nd|no ?deriv(?:ative)?s?)(?: \d 0)?"),
-    ("cc-by-sa", "sa", r"(?:cc|creative commons) (?:by|attribution) (?:sa|share ?alike)(?: \d 0)?"),
-    ("cc-by-4.0", "by", r"(?:cc|creative commons) (?:by|attribution) 4 0"),
-    ("cc-by-3.0", "by", r"(?:cc|creative commons) (?:by|attribution) 3 0"),
+    *((label, start, start + rest) for label, rest in _CC_PARTS for start in _CC),
     ("cc-by", "cc by", r"cc by(?: \d 0)?"),
-    ("cc-by", "attribution", r"creative commons attribution(?: licen[cs]e)?"),
+    ("cc-by", "creative commons attribution", r"creative commons attribution(?: licen[cs]e)?"),
     ("cc0", "cc0", r"cc0(?: 1 0)?(?: universal)?"),
     ("public-domain", "public domain", r"(?:in|into|to) the public domain"),
     ("proprietary", "rights reserved", r"copyright (?:[^ ]+ ){1,6}all rights reserved"),
 )
 
+
+
+def _stems() -> tuple[str, ...]:
+    """Texts one of which every match of a rule holds: "licen" where it stands in a name outside of groups, else the keyword."""
+    stems = {"licen"}
+    for _, keyword, name in FAMILIES:
+        while (bare := re.sub(r"\([^()]*\)", "|", name)) != name:
+            name = bare
+        if "licen" not in name:
+            stems.add(keyword)
+    return tuple(sorted(stems))
+
+
+STEMS = _stems()
+
 #: How a name stands in a text: expression around it, priority, weight. A notice outranks a bare name.
 FORMS = (
     (r"(?:licensed|released|distributed|available|published|provided|covered|dual licensed) under (?:the )?(?:terms of )?(?:the )?(?:{})", 3, 1.0),
@@ -131,15 +152,15 @@ def _spaces(text: Column) -> Column:
 
 
 def _rule_literals() -> Column:
-    return F.array(
-        *(
-            F.struct(
-                F.lit(i).alias("rule"), F.lit(label).alias("label"), F.lit(keyword).alias("keyword"),
-                F.lit(expression).alias("expression"), F.lit(priority).alias("priority"), F.lit(weight).alias("weight"),
-            )
-            for i, label, keyword, expression, priority, weight in rules()
+    """Rules by their keywords."""
+    groups: dict[str, list[Column]] = {}
+    for i, label, keyword, expression, priority, weight in rules():
+        rule = F.struct(
+            F.lit(i).alias("rule"), F.lit(label).alias("label"), F.lit(expression).alias("expression"),
+            F.lit(priority).alias("priority"), F.lit(weight).alias("weight"),
         )
-    )
+        groups.setdefault(keyword, []).append(rule)
+    return F.array(*(F.struct(F.lit(keyword).alias("keyword"), F.array(*own).alias("rules")) for keyword, own in groups.items()))
 
 
 def _spans_of(padded: Column, rule: Column) -> Column:
@@ -199,7 +220,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     gate = F.lit(False)
     for stem in STEMS:
         gate = gate | text.contains(stem)
-    chosen = F.filter(_rule_literals(), lambda r: F.contains(text, r["keyword"]))
+    chosen = F.flatten(F.transform(F.filter(_rule_literals(), lambda g: F.contains(text, g["keyword"])), lambda g: g["rules"]))
     gated = padded.withColumn("_chosen", F.when(gate, chosen))
     count, firsts, lasts, labels = [], [], [], []
     for k, (phrase, label) in enumerate(BASE):

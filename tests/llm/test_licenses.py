@@ -65,3 +65,61 @@ def test_labels_of_headers(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = [r.label_list for r in licenses.scan(docs).orderBy("doc_id").collect()]
     assert got == [["apache", "apache-2.0"], ["cc-by", "cc-by-nc"], ["mit"], []]
+
+
+NAMED = [
+    ("This code is released under the WTFPL.", ["wtfpl"]), ("Released under CC0 1.0.", ["cc0"]), ("Licensed under AGPLv3", ["agpl-3.0"]),
+    ("the AGPL v3", ["agpl-3.0"]), ("Creative Commons Attribution-ShareAlike 4.0", ["cc-by-sa"]), ("Creative Commons Attribution 4.0", ["cc-by-4.0"]),
+    ("Creative Commons Attribution-NonCommercial 3.0", ["cc-by-nc"]), ("Creative Commons Attribution No Derivatives", ["cc-by-nd"]),
+    ("Creative Commons Attribution-NonCommercial-NoDerivs", ["cc-by-nc-nd"]), ("CC Attribution Share Alike", ["cc-by-sa"]),
+]
+
+
+def samples(expression):
+    """Strings that an expression matches, with every alternative in it, an optional part left out and put in."""
+    def of(parts):
+        out = [""]
+        for op, value in parts:
+            name = str(op)
+            if name == "LITERAL":
+                more = [chr(value)]
+            elif name == "IN":
+                more = ["7" if str(kind) == "CATEGORY" else "z" if str(kind) == "NEGATE" else chr(v) for kind, v in value[:2] if str(kind) != "RANGE"][:1]
+            elif name == "NOT_LITERAL":
+                more = ["z"]
+            elif name == "MAX_REPEAT":
+                more = sorted({x * n for x in of(value[2]) for n in {value[0], min(value[1], max(value[0], 1))}})
+            elif name == "SUBPATTERN":
+                more = of(value[3])
+            elif name == "BRANCH":
+                more = [x for branch in value[1] for x in of(branch)]
+            else:
+                assert name == "ASSERT", name
+                more = [""]
+            out = [a + b for a in out for b in more]
+        return out
+
+    return of(re._parser.parse(expression))
+
+
+def test_gates_hold_for_all_that_rules_match():
+    for _, label, keyword, expression, _, _ in licenses.rules():
+        for sample in samples(expression):
+            text = f" {sample} "
+            assert re.search(expression, text), (expression, sample)
+            assert keyword in text, (label, keyword, sample)
+            assert any(s in text for s in licenses.STEMS), (label, sample)
+
+
+def test_scan_agrees_with_a_plain_scan_without_gates(spark, monkeypatch):
+    short = [t for t in TEXTS if len(t or "") < 1000]
+    texts = short + [t for t, _ in NAMED] + [samples(rule[3])[-1] for rule in licenses.rules()[4::5]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.label_list, sorted(tuple(d) for d in r.detections), r.score) for r in licenses.scan(docs).collect()}
+    rules = [(i, label, "", *rest) for i, label, _, *rest in licenses.rules()]
+    monkeypatch.setattr(licenses, "rules", lambda: rules)
+    monkeypatch.setattr(licenses, "STEMS", ("",))
+    for i, t in enumerate(texts):
+        assert got[i] == brute(t)[5:], repr(t)[:80]
+    for i, (_, labels) in enumerate(NAMED, len(short)):
+        assert got[i][0] == labels, texts[i]
