@@ -6,8 +6,9 @@ parted by few cuts, and by all trees hardly ever. Vectors sharing a leaf are
 compared exactly, in blocks, in double precision.
 
 The upper levels of a tree are cut across tasks: a label of more than ``CELL``
-vectors is dealt into cells by ``UPPER`` trees, fitted on at most ``SAMPLE``
-rows per cell, by as many rounds as cells need to become small; all rows are
+vectors is dealt into cells by as many upper trees as vote below that size,
+so recall does not fall with it; they are fitted on at most ``SAMPLE`` rows per
+cell, by as many rounds as cells need to become small; all rows are
 dealt by them. A cell goes to one task, which grows ``TREES`` lower trees in
 it, down to leaves of ``LEAF``, so a vector travels once per cell and not once
 per leaf. A cell that no cut makes smaller (near copies beyond number) is dealt
@@ -17,7 +18,8 @@ Equal vectors are one node with a multiplicity. A pair counts in the first
 cell and leaf it shares only, so links are summed where they are found and
 never listed; for components each task gives one edge per node. Recall is not
 certain by construction: parted in a tree with a chance of a few hundredths at
-the threshold, a pair is lost if all trees part it; tests measure it. Equal
+the threshold, a pair is lost if all upper or all lower trees part it; tests
+measure it. Equal
 vectors are told apart by 128-bit hashes.
 
 Defined cases: vectors that are null or zero, or hold null or non-finite
@@ -41,7 +43,6 @@ from .components import components
 
 THRESHOLD = 0.98
 TREES = 6
-UPPER = 2
 LEAF = 256
 CELL = 16_384
 SAMPLE = 8192
@@ -143,12 +144,12 @@ def _dealer(threshold: float):
     return split
 
 
-def upper_cells(nodes: DataFrame, large: DataFrame, threshold: float, limit: int) -> DataFrame:
+def upper_cells(nodes: DataFrame, large: DataFrame, threshold: float, limit: int, trees: int = TREES) -> DataFrame:
     """``node, cell`` of every cell that a node of a large part lies in; ``nodes`` has ``node, part, vector``.
 
     Trees travel as rows, one for each ``_CHUNK`` rows of their cell, and never with each row.
     """
-    roots = nodes.join(large.select("part"), "part").select("node", F.explode(F.array(*map(F.lit, range(UPPER)))).alias("_tree"), "part")
+    roots = nodes.join(large.select("part"), "part").select("node", F.explode(F.array(*map(F.lit, range(trees)))).alias("_tree"), "part")
     rows = stage(roots.select("node", F.xxhash64("part", "_tree").alias("cell"), F.lit(False).alias("final")))
     vectors = nodes.select("node", "vector")
     done = None
@@ -166,11 +167,11 @@ def upper_cells(nodes: DataFrame, large: DataFrame, threshold: float, limit: int
         data = open_rows.join(vectors, "node").select(
             "cell", F.pmod(F.xxhash64("node"), chunks).cast("int").alias("chunk"), "node", "vector", F.lit(None).cast("binary").alias("tree")
         )
-        trees = stage(fitted).select(
+        fits = stage(fitted).select(
             "cell", F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk"), F.lit(None).cast("long").alias("node"),
             F.lit(None).cast(nodes.schema["vector"].dataType).alias("vector"), "tree",
         )
-        both = data.unionByName(trees).repartition("cell", "chunk").sortWithinPartitions("cell", "chunk", F.col("tree").isNull())
+        both = data.unionByName(fits).repartition("cell", "chunk").sortWithinPartitions("cell", "chunk", F.col("tree").isNull())
         dealt = both.mapInArrow(_dealer(threshold), "node long, cell long, path long, final boolean")
         rows = stage(dealt.select("node", F.xxhash64("cell", "path").alias("cell"), "final"))
 
@@ -300,7 +301,7 @@ def _comparer(threshold: float, trees: int, leaf: int):
     return compare
 
 
-def _dealt(nodes: DataFrame, threshold: float, limit: int) -> DataFrame:
+def _dealt(nodes: DataFrame, threshold: float, limit: int, trees: int) -> DataFrame:
     """``cell, x, y, side, node, times, cells, vector``: the rows of each task of the comparison."""
     # at most one row for every CELL rows of the table
     large = stage(nodes.groupBy("part").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > limit))
@@ -311,7 +312,7 @@ def _dealt(nodes: DataFrame, threshold: float, limit: int) -> DataFrame:
     )
     if large.isEmpty():
         return out
-    found = stage(upper_cells(nodes, large, threshold, limit))
+    found = stage(upper_cells(nodes, large, threshold, limit, trees))
     lists = found.groupBy("node").agg(F.array_sort(F.collect_list("cell")).alias("cells"))
     sizes = found.groupBy("cell").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     blocks = F.when(F.col("size") <= limit, 1).otherwise(F.ceil(F.col("size") / (limit // 2))).cast("int")
@@ -349,7 +350,7 @@ def near_copies(embeddings: DataFrame, threshold: float = THRESHOLD, trees: int
     nodes = classes.select("node", "part", "vector", "times")
 
     # a fixed number of parts: the work is in the comparison, not in the bytes that a coalesced part would be measured by
-    tasks = _dealt(nodes, threshold, CELL).repartition(partitions(spark), "cell", "x", "y")
+    tasks = _dealt(nodes, threshold, CELL, trees).repartition(partitions(spark), "cell", "x", "y")
     linked = stage(tasks.groupBy("cell", "x", "y").applyInPandas(_comparer(threshold, trees, LEAF), "node long, links long, root long"))
     links = linked.groupBy("node").agg(F.sum("links").alias("links"))
     roots = components(linked.select(F.col("node").alias("u"), F.col("root").alias("v")))

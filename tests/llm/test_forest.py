@@ -73,3 +73,19 @@ def test_deep_trees_keep_pairs_at_the_threshold(spark, monkeypatch, cell, share)
     got = forest.near_copies(data)
     assert got.where("n_links = 1").count() >= share * len(rows)
     assert got.where("n_links > 1").count() == 0
+
+
+def test_upper_trees_part_no_pair_that_as_many_lower_trees_would_keep(spark):
+    rng = np.random.default_rng(11)
+    n, d = 6000, 64
+    center = forest.unit(rng.standard_normal((1, d)))
+    a = forest.unit(np.sqrt(0.8) * center + np.sqrt(0.2) * forest.unit(rng.standard_normal((n, d))))
+    b = rng.standard_normal((n, d))
+    b = forest.unit(b - (a * b).sum(axis=1, keepdims=True) * a)
+    rows = np.concatenate([a, 0.98 * a + np.sqrt(1 - 0.98**2) * b])
+    nodes = spark.createDataFrame([(i, 7, r.tolist()) for i, r in enumerate(rows)], "node long, part long, vector array<double>").localCheckpoint()
+    large = nodes.groupBy("part").count().select("part")
+    found = forest.upper_cells(nodes, large, 0.98, 512).toPandas()
+    cells = found.groupby("node")["cell"].agg(set)
+    assert len(cells) == 2 * n and found.groupby("cell").size().max() < 2 * n
+    assert sum(cells[i].isdisjoint(cells[n + i]) for i in range(n)) == 0
