@@ -105,11 +105,72 @@ FAMILIES = (
 )
 
 
+#: Label, keyword, and an expression over words of a licence's own text or of the notice that it asks for.
+_MIT_OPENING = (
+    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files (?:the software )?to deal"
+)
+_GNU_NOTICE = r" public licen[cs]e as published by the free software foundation (?:either )?(?:version|v) "
+NOTICES = (
+    ("mit-0", "permission is hereby granted", _MIT_OPENING + r" in the software without restriction (?:[^ ]+ ){20,40}furnished to do so the software is provided as is"),
+    ("mit", "permission is hereby granted", _MIT_OPENING + r" in the software"),
+    ("ncsa", "permission is hereby granted", _MIT_OPENING + r" with the software"),
+    ("bsl-1.0", "permission is hereby granted", r"permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this licen[cs]e"),
+    ("bsd", "redistribution and use in source", r"redistribution and use in source and binary forms(?: with or without modification)?"),
+    ("bsd-3-clause", "neither the name of", r"neither the name of (?:[^ ]+ ){1,20}may be used to endorse or promote products derived from this software"),
+    ("bsd-4-clause", "advertising materials mentioning", r"all advertising materials mentioning features or use of this software must display the following acknowledge?ment"),
+    ("0bsd", "permission to use copy modify", r"permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee is hereby granted the software is provided as is"),
+    ("isc", "permission to use copy modify", r"permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee is hereby granted provided that"),
+    ("apache-2.0", "irrevocable copyright licen", r"grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable copyright licen[cs]e"),
+    *(
+        (label, f"gnu {name} public licen", f"gnu {name}{_GNU_NOTICE}{version}")
+        for name, label, version in (
+            ("affero general", "agpl-3.0", "3(?: 0)?"), ("lesser general", "lgpl-2.1", "2 1"), ("lesser general", "lgpl-3.0", "3(?: 0)?"),
+            ("library general", "lgpl-2.0", "2(?: 0)?"), ("general", "gpl-2.0", "2(?: 0)?"), ("general", "gpl-3.0", "3(?: 0)?"),
+        )
+    ),
+    ("mpl-2.0", "source code form is subject to", r"this source code form is subject to the terms of the mozilla public licen[cs]e (?:version|v) 2 0"),
+    ("zlib", "without any express or implied warranty", r"this software is provided as is without any express or implied warranty in no event will the authors? be held liable"),
+    ("unlicense", "free and unencumbered software", r"this is free and unencumbered software released into the public domain"),
+    ("wtfpl", "what the fuck you want to", r"do what the fuck you want to public licen[cs]e"),
+    ("cc0", "with this deed has dedicated", r"the person who associated a work with this deed has dedicated the work to the public domain"),
+)
+
+#: Label and SPDX identifier over words ("GPL-2.0-only" is "gpl 2 0 only", "GPL-2.0+" is "gpl 2 0").
+_LATER = "(?: only| or later)?"
+SPDX = (
+    ("agpl-3.0", "agpl 3 0" + _LATER), ("agpl", "agpl 1 0" + _LATER), ("lgpl-2.0", "lgpl 2 0" + _LATER), ("lgpl-2.1", "lgpl 2 1" + _LATER),
+    ("lgpl-3.0", "lgpl 3 0" + _LATER), ("gfdl", r"gfdl 1 \d(?:(?: no)? invariants)?" + _LATER), ("gpl", "gpl 1 0" + _LATER),
+    ("gpl-2.0", "gpl 2 0" + _LATER), ("gpl-3.0", "gpl 3 0" + _LATER), ("apache", "apache 1 0"), ("apache-1.1", "apache 1 1"), ("apache-2.0", "apache 2 0"),
+    ("mit-0", "mit 0"), ("mit", "mit"), ("x11", "x11"), ("0bsd", "0bsd"), ("bsd", "bsd 1 clause"), ("bsd-2-clause", "bsd 2 clause"),
+    ("bsd-3-clause", "bsd 3 clause"), ("bsd-4-clause", "bsd 4 clause"), ("isc", "isc"), ("mpl", "mpl 1 0"), ("mpl-1.1", "mpl 1 1"),
+    ("mpl-2.0", "mpl 2 0"), ("epl-1.0", "epl 1 0"), ("epl-2.0", "epl 2 0"), ("cddl", r"cddl 1 \d"), ("eupl", r"eupl 1 \d"),
+    ("artistic", "artistic 1 0"), ("artistic-2.0", "artistic 2 0"), ("bsl-1.0", "bsl 1 0"), ("zlib", "zlib"), ("openssl", "openssl"),
+    ("python", "(?:python|psf) 2 0"), ("php", "php 3 01?"), ("ruby", "ruby"), ("wtfpl", "wtfpl"), ("unlicense", "unlicense"), ("ofl-1.1", "ofl 1 1"),
+    ("odbl", "odbl 1 0"), ("ms-pl", "ms pl"), ("ncsa", "ncsa"), ("afl", r"afl \d \d"), ("osl", r"osl \d \d"), ("cpl", "cpl 1 0"), ("qpl", "qpl 1 0"),
+    ("sspl", "sspl 1 0"), ("bsl-source", "busl 1 1"), ("elastic", "elastic 2 0"), ("cc-by-nc-nd", r"cc by nc nd \d \d"),
+    ("cc-by-nc-sa", r"cc by nc sa \d \d"), ("cc-by-nc", r"cc by nc \d \d"), ("cc-by-nd", r"cc by nd \d \d"), ("cc-by-sa", r"cc by sa \d \d"),
+    ("cc-by-4.0", "cc by 4 0"), ("cc-by-3.0", "cc by 3 0"), ("cc-by", r"cc by [12] \d"), ("cc0", "cc0 1 0"),
+)
+_SPDX_START = "spdx license identifier"
+#: Identifiers of an expression joined by "or" and "and" that are read.
+_OPERANDS = 4
+
+
+def _spdx_rules() -> list[tuple[str, str, str, int, float]]:
+    """One rule for each identifier and place in an expression; an earlier place has the higher priority, as later spans contain it."""
+    some = "|".join(name for _, name in SPDX)
+    before = rf"(?:(?:{some})(?: with (?:[^ ]+ ){{1,3}}exception(?: \d \d)?)? (?:or|and) )"
+    return [
+        (label, _SPDX_START, f"(?<= ){_SPDX_START} {before + f'{{{place}}}' if place else ''}{name}(?= )", 3 + _OPERANDS - place, 1.0)
+        for label, name in SPDX
+        for place in range(_OPERANDS)
+    ]
+
 
 def _stems() -> tuple[str, ...]:
     """Texts one of which every match of a rule holds: "licen" where it stands in a name outside of groups, else the keyword."""
     stems = {"licen"}
-    for _, keyword, name in FAMILIES:
+    for _, keyword, name in FAMILIES + NOTICES:
         while (bare := re.sub(r"\([^()]*\)", "|", name)) != name:
             name = bare
         if "licen" not in name:
@@ -124,7 +185,6 @@ FORMS = (
     (r"(?:licensed|released|distributed|available|published|provided|covered|dual licensed) under (?:the )?(?:terms of )?(?:the )?(?:{})", 3, 1.0),
     (r"under the (?:terms|conditions) (?:and conditions )?of (?:the )?(?:{})", 3, 0.9),
     (r"(?:subject to|governed by|see) (?:the )?(?:terms of )?(?:the )?(?:{})", 2, 0.7),
-    (r"spdx license identifier (?:{})", 3, 1.0),
     (r"(?:{})", 2, 0.6),
 )
 
@@ -132,13 +192,14 @@ _EMPTY = "array<struct<first:int,last:int,label:string,rule:int,priority:int,wei
 
 
 def rules() -> list[tuple[int, str, str, str, int, float]]:
-    """(order, label, keyword, expression, priority, weight): every family in every form, in order."""
+    """(order, label, keyword, expression, priority, weight): every family in every form, notices, SPDX identifiers, in order."""
     made = [
         (label, keyword, f"(?<= ){form.format(name)}(?= )", priority, weight)
         for label, keyword, name in FAMILIES
         for form, priority, weight in FORMS
     ]
-    return [(i, *rule) for i, rule in enumerate(made)]
+    made += [(label, keyword, f"(?<= ){expression}(?= )", 3, 1.0) for label, keyword, expression in NOTICES]
+    return [(i, *rule) for i, rule in enumerate(made + _spdx_rules())]
 
 
 def joined_words(text: Column) -> Column:
@@ -192,7 +253,7 @@ def _kept(spans: Column) -> Column:
             ),
         )
     )
-    levels = sorted({p for _, p, _ in FORMS})
+    levels = sorted({rule[4] for rule in rules()})
     start = F.struct(*(F.lit(-1).alias(f"end{p}") for p in levels), F.array().cast(_EMPTY).alias("kept"))
 
     def step(state: Column, item: Column) -> Column:

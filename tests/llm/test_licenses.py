@@ -116,10 +116,28 @@ def test_scan_agrees_with_a_plain_scan_without_gates(spark, monkeypatch):
     texts = short + [t for t, _ in NAMED] + [samples(rule[3])[-1] for rule in licenses.rules()[4::5]]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: (r.label_list, sorted(tuple(d) for d in r.detections), r.score) for r in licenses.scan(docs).collect()}
-    rules = [(i, label, "", *rest) for i, label, _, *rest in licenses.rules()]
+    rules = [(i, label, "", re.compile(expression), *rest) for i, label, _, expression, *rest in licenses.rules()]
     monkeypatch.setattr(licenses, "rules", lambda: rules)
     monkeypatch.setattr(licenses, "STEMS", ("",))
     for i, t in enumerate(texts):
         assert got[i] == brute(t)[5:], repr(t)[:80]
     for i, (_, labels) in enumerate(NAMED, len(short)):
         assert got[i][0] == labels, texts[i]
+
+
+def test_labels_of_spdx_identifiers_and_licence_texts(spark):
+    spdx, mit = "// SPDX-License-Identifier: ", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "
+    texts = [
+        (spdx + "MIT", ["mit"]), (spdx + "Apache-2.0", ["apache-2.0"]), (spdx + "BSD-3-Clause", ["bsd-3-clause"]), (spdx + "GPL-2.0-only", ["gpl-2.0"]),
+        (spdx + "MIT-0", ["mit-0"]), (spdx + "GPL-2.0-or-later WITH Classpath-exception-2.0 OR (MIT AND ISC)", ["gpl-2.0", "isc", "mit"]),
+        (spdx + "foo. Permit", []), (mit + '"Software"), to deal in the Software without restriction', ["mit"]),
+        (mit + '"Software"), to deal with the Software without restriction', ["ncsa"]),
+        ("Redistribution and use in source and binary forms, with or without modification, are permitted. Neither the name of Some Body nor the names of "
+         "its contributors may be used to endorse or promote products derived from this software", ["bsd", "bsd-3-clause"]),
+        ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that", ["isc"]),
+        ("This is free and unencumbered software released into the public domain.", ["unlicense"]),
+    ]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: (r.label_list, sorted(tuple(d) for d in r.detections)) for r in licenses.scan(docs).collect()}
+    for i, (t, labels) in enumerate(texts):
+        assert got[i] == (labels, brute(t)[6]), t
