@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
 import weakref
 import zipfile
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom.session import shared_dir, stage
 
-__all__ = ["fresh_folder", "open_store", "partitions", "ship", "shared_dir", "stage", "table"]
+__all__ = ["fresh_folder", "open_store", "partitions", "release", "ship", "shared_dir", "stage", "table", "text_slices"]
 
 _shipped: weakref.WeakSet = weakref.WeakSet()
 
@@ -50,5 +55,26 @@ def open_store(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
+def text_slices(batch: pa.RecordBatch, column: int, rows: int = 512, size: int = 1 << 22):
+    """Slices of a batch of at most ``rows`` rows and about ``size`` bytes of that column, one row at least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    begin = 0
+    while begin < batch.num_rows:
+        passed = ends[begin - 1] if begin else 0
+        end = min(max(begin + 1, int(np.searchsorted(ends, passed + size, side="right"))), begin + rows, batch.num_rows)
+        yield batch.slice(begin, end - begin)
+        begin = end
+
+
+def release() -> None:
+    """Give memory that a worker has freed back to its machine: workers outlive their operators."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not every C library has it
+        pass
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -32,8 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import tokens
-from .common import ship, stage
+from . import tokens, words
+from .common import release, ship, stage, text_slices
 from .components import components
 from .words import hashed, mixed, windows
 
@@ -51,6 +51,11 @@ class Rule:
     part: int = 80
     whole: int = 100
 
+    def __post_init__(self) -> None:
+        # a partner lies at most one band of sizes up
+        if not 0 < self.part <= self.whole or self.part * _RATIO < self.whole:
+            raise ValueError(f"similarity of {self.part} / {self.whole}: a third or more is needed, and no more than all")
+
     def shingles(self, text: str | None) -> np.ndarray:
         """Sorted distinct shingle hashes. Words: runs free of ASCII white space, A-Z lowered."""
         words = hashed((text or "").encode().lower().split())
@@ -126,8 +131,7 @@ def _sketcher(rule: Rule):
     def sketch(batches):
         tokens.forget()
         for batch in batches:
-            for begin in range(0, batch.num_rows, 1000):
-                part = batch.slice(begin, 1000)
+            for part in text_slices(batch, 2):
                 n, d1, d2, keys = [], [], [], []
                 for text in part.column(2).to_pylist():
                     shingles = rule.shingles(text)
@@ -138,6 +142,8 @@ def _sketcher(rule: Rule):
                     keys.append(rule.keys(shingles) if len(shingles) else np.empty(0, dtype=np.int64))
                 columns = [part.column(0), part.column(1), *(pa.array(x, pa.int64()) for x in (n, d1, d2)), pa.array(keys, pa.list_(pa.int64()))]
                 yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in _SKETCHED.split(", ")])
+        words.forget()
+        release()
 
     return sketch
 
@@ -149,9 +155,8 @@ def _set_maker(rule: Rule, wanted):
         for batch in batches:
             place = batch.column(0).to_numpy(zero_copy_only=False)
             chosen = np.flatnonzero(there[place >> 3] >> (place & 7) & 1)
-            texts = batch.column(1).take(pa.array(chosen)).to_pylist()
-            for begin in range(0, len(texts), 1000):
-                sets = [rule.shingles(t) for t in texts[begin : begin + 1000]]
+            for part in text_slices(batch.take(pa.array(chosen)), 1):
+                sets = [rule.shingles(t) for t in part.column(1).to_pylist()]
                 own = [digest(s) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -161,6 +166,8 @@ def _set_maker(rule: Rule, wanted):
                     ],
                     names=["d1", "d2", "shingles", "bits"],
                 )
+        words.forget()
+        release()
 
     return make
 
@@ -309,9 +316,12 @@ def keep_first(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_hash")
     best = found.where("n_shingles > 0").groupBy("root").agg(F.min(key).alias("_k")).select("_k.doc_id", "_k.row_hash")
     # a component keeps one row of a given id and text; an empty text keeps them all
-    kept = best.distinct().select(F.col("doc_id").alias("_id"), F.col("row_hash").alias("_hash"))
-    hashed_docs = docs.withColumn("_hash0", _row_hash())
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash0") == F.col("_hash"))
-    firsts = hashed_docs.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_hash0"])
+    free = "_"  # no column starts with it, whatever the columns of docs are
+    while any(c.lower().startswith(free) for c in docs.columns):
+        free += "_"
+    kept = best.distinct().select(F.col("doc_id").alias(f"{free}id"), F.col("row_hash").alias(f"{free}hash"))
+    hashed_docs = docs.withColumn(f"{free}own", _row_hash())
+    same = F.col("doc_id").eqNullSafe(F.col(f"{free}id")) & (F.col(f"{free}own") == F.col(f"{free}hash"))
+    firsts = hashed_docs.join(kept, same, "left_semi").dropDuplicates(["doc_id", f"{free}own"])
     bare = ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    return firsts.drop("_hash0").unionByName(docs.where(bare))
+    return firsts.drop(f"{free}own").unionByName(docs.where(bare))

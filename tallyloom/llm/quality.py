@@ -31,13 +31,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens, words
-from .common import ship
+from .common import release, ship, text_slices
 
 LABELLED = 5000
 TERMS = 2048
 DIMENSIONS = 64
 NEIGHBOURS = 15
 _BLOCK = 512
+#: Words that a worker remembers: some 30 MB.
+_MOST = 100_000
+_LONGEST = 64
 _SHAPES = ("lower", "title", "upper", "digit", "symbol", "tailed", "stopped", "shout", "mixed")
 _SHARES = (*_SHAPES, "again", "distinct", "lines")
 _STEPS = np.array([0.0, 0.002, 0.01, 0.03, 0.08, 0.2, 0.4, 0.6, 0.8, 0.95])
@@ -69,9 +72,11 @@ class _Codes(dict):
         self.vocabulary = vocabulary
 
     def __missing__(self, word: str) -> int:
-        if len(self) >= 600_000:
-            self.clear()
-        found = self[word] = self.vocabulary.get(word.strip(".,;:!?\"'()").lower(), 0) * 16 + shape(word)
+        found = self.vocabulary.get(word.strip(".,;:!?\"'()").lower(), 0) * 16 + shape(word)
+        if len(word) <= _LONGEST:
+            if len(self) >= _MOST:
+                self.clear()
+            self[word] = found
         return found
 
 
@@ -217,12 +222,13 @@ def _scorer(model):
         own = model.value
         codes = _Codes(own.vocabulary)
         for batch in batches:
-            for begin in range(0, batch.num_rows, _BLOCK):
-                part = batch.slice(begin, _BLOCK)
+            for part in text_slices(batch, 1, _BLOCK):
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(own.score(own.embed(texts, codes)), pa.float64())], names=["doc_id", "score"]
                 )
+        codes.clear()
+        release()
 
     return score
 
@@ -243,10 +249,11 @@ def _filter(model, least: float):
         codes = _Codes(own.vocabulary)
         for batch in batches:
             at = batch.schema.get_field_index("text")
-            for begin in range(0, batch.num_rows, _BLOCK):
-                part = batch.slice(begin, _BLOCK)
+            for part in text_slices(batch, at, _BLOCK):
                 texts = [t or "" for t in part.column(at).to_pylist()]
                 yield part.filter(pa.array(own.score(own.embed(texts, codes)) >= least))
+        codes.clear()
+        release()
 
     return keep
 

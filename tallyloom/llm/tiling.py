@@ -28,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ship
+from . import words as memory
+from .common import release, ship, text_slices
 from .words import hashed, windows
 
 SEED = 5
@@ -126,10 +127,10 @@ class Items:
 def _finder(items, coverage: float):
     def find(batches):
         own = items.value
-        for batch in batches:
+        for part in (p for batch in batches for p in text_slices(batch, 1)):
             rows = [
                 (key, *leak)
-                for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+                for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist())
                 for leak in own.leaks(text, coverage)
             ]
             key, item, total, covered, share, tiles = zip(*rows) if rows else ([],) * 6
@@ -139,6 +140,8 @@ def _finder(items, coverage: float):
                 [*(pa.array(x, pa.int64()) for x in (key, item, total, covered)), pa.array(share, pa.float64()), pa.array(tiles, kind)],
                 names=["doc_id", "item_id", "item_words", "covered", "coverage", "tiles"],
             )
+        memory.forget()
+        release()
 
     return find
 
@@ -178,8 +181,12 @@ def _cleaner(items, coverage: float):
     def keep(batches):
         own = items.value
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-            yield batch.filter(pa.array([next(own.leaks(t, coverage), None) is None for t in texts], pa.bool_()))
+            at = batch.schema.get_field_index("text")
+            for part in text_slices(batch, at):
+                texts = part.column(at).to_pylist()
+                yield part.filter(pa.array([next(own.leaks(t, coverage), None) is None for t in texts], pa.bool_()))
+        memory.forget()
+        release()
 
     return keep
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-_MOST = 600_000
+#: Words of up to 64 characters that a worker remembers: some 30 MB.
+_MOST = 100_000
+_LONGEST = 64
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -14,7 +16,7 @@ class _Hashes(dict):
         if len(self) >= _MOST:
             self.clear()
         found = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= 64:
+        if len(word) <= _LONGEST:
             self[word] = found
         return found
 

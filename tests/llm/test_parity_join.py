@@ -99,6 +99,17 @@ def test_one_document_of_each_group_stays(spark):
     assert parity_join.keep_first(frame(spark, rows).limit(0), rule).count() == 0
 
 
+def test_any_column_names_and_thresholds_that_lose_links(spark):
+    rows = [(1, "a b c d e f g", 1, 2, 3, 4), (2, "a b c d e f g", 5, 6, 7, 8), (3, None, 1, 2, 3, 4)]
+    names = ["doc_id", "text", "_hash0", "_id", "_hash", "__own"]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, a int, b int, c int, d int").toDF(*names)
+    kept = parity_join.keep_first(docs, parity_join.Rule(5, 80, 100))
+    assert kept.columns == names and sorted(r.doc_id for r in kept.collect()) == [1, 3]
+    for part, whole in [(30, 100), (101, 100), (0, 1)]:
+        with pytest.raises(ValueError):
+            parity_join.Rule(5, part, whole)
+
+
 def test_sketches_bound_the_difference():
     rng = np.random.default_rng(1)
     for _ in range(50):

@@ -101,6 +101,19 @@ def test_leaks_of_odd_tables(spark):
     assert tiling.find_leaks(docs.limit(0), bench).count() == 0 and tiling.find_leaks(docs, bench.limit(0)).count() == 0
 
 
+def test_pipeline_stages_on_odd_rows_and_names(spark):
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").withColumnsRenamed({"lang": "_hash0", "source": "item_id", "n_chars": "score"})
+    odd = spark.createDataFrame([(None, docs.first().text), (9001, None), (9002, ""), (9003, "word " * 200_000)], "doc_id long, text string")
+    docs = docs.unionByName(odd, allowMissingColumns=True)
+    for _, step in corpus_pipeline.STAGES[:-1]:
+        at = step(spark, docs, folder)
+        assert at.columns == docs.columns and 0 < at.count() <= docs.count()
+        assert step(spark, docs.limit(0), folder).count() == 0
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, folder)
+    assert {r.doc_id for r in pieces.select("doc_id").distinct().collect()} == {r.doc_id for r in docs.select("doc_id").collect()}
+
+
 def test_pipeline_stages(spark):
     folder = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{folder}/documents.parquet")
