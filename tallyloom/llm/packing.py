@@ -27,8 +27,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import words
-from .common import ship, stage
-from .tokens import coder, slices
+from .common import release, ship, stage, text_slices
+from .tokens import coder
 
 CAPACITY = 2048
 QUANTUM = 8
@@ -43,19 +43,20 @@ def _cutter(vocabulary: str, end_id: int, capacity: int):
 
     def cut(batches):
         words.forget()
-        for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in slices(texts):
-                rows = []
-                for key, ids in zip(keys[a:b], coder(vocabulary, True).encode(texts[a:b])):
-                    ids += end
-                    total, view = len(ids) // 4, memoryview(ids)
-                    for begin in range(0, total, capacity):
-                        n = min(capacity, total - begin)
-                        rows.append((key, begin, n, zlib.crc32(view[4 * begin : 4 * (begin + n)]), total))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x, pa.int64()) for x in zip(*rows)], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
-                )
+        release()
+        for part in (p for batch in batches for p in text_slices(batch, 1, 1024, 1 << 20)):
+            keys, texts = part.column(0).to_pylist(), [t or "" for t in part.column(1).to_pylist()]
+            rows = []
+            for key, ids in zip(keys, coder(vocabulary, True).encode(texts)):
+                ids += end
+                total, view = len(ids) // 4, memoryview(ids)
+                for begin in range(0, total, capacity):
+                    n = min(capacity, total - begin)
+                    rows.append((key, begin, n, zlib.crc32(view[4 * begin : 4 * (begin + n)]), total))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x, pa.int64()) for x in zip(*rows)], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+            )
+        release()
 
     return cut
 
