@@ -7,6 +7,7 @@ shape so that all checks of a load can be counted and reported together.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -52,6 +53,41 @@ def exception_rows(
     )
 
 
+@dataclass(frozen=True)
+class Rule:
+    """A check on rows of one frame: which are bad, and how they are reported."""
+
+    check_id: str
+    bad: Column
+    key: Sequence[ColumnOrName]
+    reason: str
+    expected: ColumnOrName | None = None
+    actual: ColumnOrName | None = None
+
+
+def stacked_exceptions(df: DataFrame, rules: Sequence[Rule], carry: Sequence[str] = ()) -> DataFrame:
+    """Exceptions of several checks on one frame, found in a single pass over its rows.
+
+    A row gives one exception for each rule that it breaks; a rule whose
+    condition is null is kept. The columns ``carry`` come along.
+    """
+    rows = [
+        F.when(
+            rule.bad,
+            F.struct(
+                F.lit(rule.check_id).alias("check_id"),
+                key_text(*rule.key).alias("key"),
+                _text(rule.expected).alias("expected"),
+                _text(rule.actual).alias("actual"),
+                F.lit(rule.reason).alias("reason"),
+            ),
+        )
+        for rule in rules
+    ]
+    found = df.select(*carry, F.explode(F.array_compact(F.array(*rows))).alias("_found"))
+    return found.select(*carry, "_found.*")
+
+
 def no_exceptions(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame([], EXCEPTION_SCHEMA)
 
@@ -137,8 +173,12 @@ def totals_mismatch(df: DataFrame, pairs: Sequence[tuple[str, str, str]]) -> Dat
 
     Rows without a calculated total are not reported.
     """
-    bad = reduce(lambda a, b: a | b, [beyond_tolerance(c, g, t) for c, g, t in pairs])
-    return df.filter(bad)
+    return df.filter(apart(pairs))
+
+
+def apart(pairs: Sequence[tuple[str, str, str]]) -> Column:
+    """Any (calculated, given, tolerance) pair is too far apart."""
+    return reduce(lambda a, b: a | b, [beyond_tolerance(c, g, t) for c, g, t in pairs])
 
 
 def control_totals(before: DataFrame, after: DataFrame, keys: Sequence[str], measure: str) -> DataFrame:

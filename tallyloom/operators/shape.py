@@ -75,6 +75,36 @@ def carry_forward(
     return joined.withColumns(filled).select(*df.columns)
 
 
+def last_or_match(
+    df: DataFrame,
+    run: Sequence[str],
+    match: Column,
+    group: Sequence[str],
+    order: Sequence[ColumnOrName],
+    slice_by: ColumnOrName,
+) -> DataFrame:
+    """Rows that match, and of runs that nothing matches the last row.
+
+    A run is a stretch of rows, in the given order, with equal ``run``
+    columns. A run has also been matched when the last match before it, in
+    the whole group, had the same columns. Looking ahead needs the first row
+    of the next slice only: slices are as in :func:`carry_forward`.
+    """
+    order, keys = [as_col(o) for o in order], list(group)
+    match = F.coalesce(match, F.lit(False))
+    own = F.struct(*run)
+    marked = df.withColumns({"_key": own, "_match": match, "_found": F.when(match, own)})
+    found = carry_forward(marked, ["_found"], keys, order, slice_by).withColumn("_slice", as_col(slice_by))
+    rank = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])
+    firsts = found.groupBy(*keys, "_slice").agg(F.min_by("_key", rank).alias("_first"))
+    following = Window.partitionBy(*keys).orderBy("_slice")
+    ahead = firsts.select(*keys, "_slice", F.lead("_first").over(following).alias("_ahead"))
+    within = Window.partitionBy(*keys, "_slice").orderBy(*order)
+    looked = found.join(ahead, [*keys, "_slice"]).withColumn("_next", F.coalesce(F.lead("_key").over(within), F.col("_ahead")))
+    last = ~F.col("_next").eqNullSafe(F.col("_key"))
+    return looked.filter(F.col("_match") | (last & ~F.col("_found").eqNullSafe(F.col("_key")))).select(*df.columns)
+
+
 def drop_last(df: DataFrame, group: Sequence[str], order: Sequence[ColumnOrName], n: int = 1) -> DataFrame:
     """Remove the last n rows of each group (the totals rows of a sheet), and rows at the same positions.
 

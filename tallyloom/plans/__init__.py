@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.checks import CheckFailed, review_gate
+from ..operators.checks import CheckFailed, count_by_check, exception_rows, hold_back, review_gate, with_reference
 from ..schemas import SEASON_TABLES
 from ..sources.warehouse import Split, Warehouse
 
@@ -24,12 +24,15 @@ class Load:
     ``parts`` lists, per table stored by season, the seasons the new state
     covers (``None``: all of them). ``without`` gives the states without the
     rows that the named checks report; it is asked only under quarantine.
+    ``held`` gives the keys of these rows: a load of a table that refers to
+    this one takes them, and keeps its own rows for them as they are stored.
     """
 
     states: dict[str, DataFrame]
     exceptions: DataFrame | None = None
     parts: dict[str, Sequence | None] = field(default_factory=dict)
     without: Callable[[Collection[str]], dict[str, DataFrame]] | None = None
+    held: Callable[[Collection[str]], DataFrame] | None = None
 
 
 def write_exceptions(exceptions: DataFrame, folder: str, check: str) -> None:
@@ -65,6 +68,38 @@ def held_keys(
     return reduce(lambda a, b: a.unionByName(b), named) if named else None
 
 
+def quarantined(load: Load, accepted: Sequence[str] = ()) -> DataFrame | None:
+    """Keys that quarantine keeps out of the table of a load; nothing reported: ``None``.
+
+    Loads of tables that refer to this one take them as ``held``, so that a
+    row is not published beside a reference that stayed behind.
+    """
+    counts = {} if load.exceptions is None else count_by_check(load.exceptions)
+    blocking = {k: v for k, v in counts.items() if k not in accepted}
+    if not blocking:
+        return None
+    if load.held is None:
+        raise CheckFailed(blocking)
+    return load.held(set(blocking))
+
+
+def kept_back(
+    state: DataFrame, new: DataFrame, feed: DataFrame, held: DataFrame | None, keys: Mapping[str, str], reported: Sequence[str]
+) -> Load:
+    """A table of which the rows that refer to held keys stay as they are stored.
+
+    ``keys`` maps columns of the table, which ``held`` has too, to those of the
+    feed. Rows of the feed that refer to held keys are reported as ``held_back``.
+    """
+    (table,) = reported[:1]
+    if held is None:
+        return Load({table: new})
+    held = held.select(*keys)
+    found = with_reference(feed, held.withColumnsRenamed(dict(keys)), list(keys.values()))
+    exceptions = exception_rows(found, "held_back", list(reported[1:]), "what it refers to is held back")
+    return Load({table: hold_back(state, new, held, list(keys))}, exceptions, without=lambda checks: {})
+
+
 def empty_table(spark, ddl: str) -> DataFrame:
     return spark.createDataFrame([], ddl)
 

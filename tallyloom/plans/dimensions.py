@@ -74,7 +74,10 @@ def load_size_scales(state: DataFrame, sheet: DataFrame) -> Load:
         },
     )
     reported = exception_rows(bad, "size_scale_text", ["SIZE_SCALE_CODE"], F.col("ERROR"), actual="DESCRIPTION")
-    return Load({"SIZE_SCALE": new}, reported)
+    # unreadable scales never enter the new state, so quarantine has nothing to take out of it
+    return Load(
+        {"SIZE_SCALE": new}, reported, without=lambda checks: {}, held=lambda checks: bad.select("SIZE_SCALE_CODE").distinct()
+    )
 
 
 def classify_styles(feed: DataFrame, overrides: DataFrame) -> DataFrame:

@@ -6,20 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates, text
-from ..functions.amounts import duty_free_amount, fill, line_amount, money_sum
-from ..operators.checks import (
-    all_exceptions,
-    exception_rows,
-    missing_reference,
-    null_key,
-    totals_mismatch,
-)
+from ..functions.amounts import duty_free_amount, fill, line_amount, money, money_sum
+from ..operators.checks import Rule, all_exceptions, apart, missing_reference, stacked_exceptions, totals_mismatch
 from ..operators.compare import live, ne_or_null
 from ..operators.mutate import require_keys, update_from, upsert
 from ..params import MONEY_TOLERANCE
 from ..schemas import KEYS
 from ..session import stage
-from . import Load, held_keys
+from . import Load
 
 _PAIR = ["CONTAINER_NBR", "HFC_NBR"]
 _HEADER_SET = {
@@ -44,6 +38,13 @@ _DETAIL_SET = {
 }
 
 
+_TOTALS = [
+    ("DUTY_FREE_LINE_AMT", "FIRST_SALE_AMT", MONEY_TOLERANCE),
+    ("LINE_AMT", "LC_AMT", MONEY_TOLERANCE),
+    ("PCS", "QTY", "0.000001"),
+]
+
+
 def clean_invoice_headers(raw: DataFrame) -> DataFrame:
     return raw.withColumns({c: text.clean_id(c) for c in ("INVOICE_NBR", "LC_NBR", "OBL_AWB")})
 
@@ -97,14 +98,7 @@ def invoice_totals(headers: DataFrame, details: DataFrame) -> DataFrame:
 
 
 def total_differences(summary: DataFrame) -> DataFrame:
-    return totals_mismatch(
-        summary,
-        [
-            ("DUTY_FREE_LINE_AMT", "FIRST_SALE_AMT", MONEY_TOLERANCE),
-            ("LINE_AMT", "LC_AMT", MONEY_TOLERANCE),
-            ("PCS", "QTY", "0.000001"),
-        ],
-    )
+    return totals_mismatch(summary, _TOTALS)
 
 
 def carton_differences(summary: DataFrame, shipped: DataFrame) -> DataFrame:
@@ -160,6 +154,27 @@ def stamp(containers: DataFrame, shipped: DataFrame) -> DataFrame:
     return update_from(containers, shipped.select(*_PAIR, "INVOICE_NBR"), _PAIR, {"INVOICE_NBR": "INVOICE_NBR"})
 
 
+def order_sums(lines: DataFrame, boxes: DataFrame) -> DataFrame:
+    """Sums of lines and boxes per invoice and order: both are stacked and aggregated once."""
+    amounts = ("LINE_AMT", "DUTY_FREE_LINE_AMT")
+    stacked = lines.select("INVOICE_NBR", "HFC", "PCS", *[money(c).alias(c) for c in amounts], F.lit(1).alias("LINES")).unionByName(
+        boxes.select("INVOICE_NBR", F.col("HFC_NBR").alias("HFC"), "CARTON_CTN", F.lit(1).alias("BOXES")), allowMissingColumns=True
+    )
+    sums = [F.sum(c).alias(c) for c in ("PCS", *amounts)]
+    return stacked.groupBy("INVOICE_NBR", "HFC").agg(
+        *sums, F.sum("CARTON_CTN").alias("CTN_SUM"), F.max("LINES").alias("LINES"), F.max("BOXES").alias("BOXES")
+    )
+
+
+def invoice_sums(orders: DataFrame) -> DataFrame:
+    """Sums per invoice; totals of the lines are null for an invoice without lines."""
+    amounts = [
+        F.when(F.max("LINES") == 1, F.coalesce(F.sum(c), F.lit(0)).cast("decimal(34,6)")).alias(c)
+        for c in ("LINE_AMT", "DUTY_FREE_LINE_AMT")
+    ]
+    return orders.groupBy("INVOICE_NBR").agg(F.sum("PCS").alias("PCS"), *amounts, F.sum("CTN_SUM").alias("CTN_SUM"))
+
+
 def reconcile_invoices(
     headers: DataFrame,
     details: DataFrame,
@@ -174,58 +189,81 @@ def reconcile_invoices(
     """Tie agents' summaries, lines, payments, packing lists and containers
     together; all inputs but the tables are cleaned feeds.
 
+    Lines and packing lists meet what they refer to once, which leaves a flag
+    on each; both are stacked and summed per invoice and order, and those sums
+    per invoice. The seven checks read these four frames once each, and their
+    exceptions are written once for the count, the report and quarantine.
+
     Under quarantine a reported invoice is held back as a whole: its header
     and lines stay as stored and it stamps no container. A single table is
     cheaper by :func:`new_headers`, :func:`new_details` or :func:`stamp`.
     """
-    # every check reads these: written once, not worked out again
+    known = live(po_details).select(F.col("HFC_NBR").alias("HFC"), "STYLE").distinct()
     details = stage(details)
-    billed = stage(bill(headers, payments))
+    lines = details.join(known.withColumn("KNOWN", F.lit(True)), ["HFC", "STYLE"], "left")
     loaded = loaded_boxes(containers)
-    shipped = stage(loaded.join(invoice_containers, _PAIR))
-    summary = stage(invoice_totals(billed, details))
-    known_lines = live(po_details).select(F.col("HFC_NBR").alias("HFC"), "STYLE")
-
-    offending = {
-        "invoice_line_unknown": missing_reference(details, known_lines, ["HFC", "STYLE"]),
-        "invoice_unbilled": null_key(billed, ["LC_NBR"]),
-        "invoice_totals": total_differences(summary),
-        "bill_of_lading_unknown": missing_reference(summary, loaded, ["OBL_AWB"]),
-        "invoice_container_unknown": missing_reference(invoice_containers, loaded, _PAIR),
-        "invoice_cartons": carton_differences(summary, shipped),
-        "invoice_pieces": piece_differences(details, po_headers, shipped),
-    }
-    report = {
-        "invoice_line_unknown": (["INVOICE_NBR", "HFC", "STYLE"], "order and style do not exist", None, None),
-        "invoice_unbilled": (["INVOICE_NBR"], "paid but not in the invoice headers", None, None),
-        "invoice_totals": (["INVOICE_NBR"], "totals of the lines differ from the agent's", "LC_AMT", "LINE_AMT"),
-        "bill_of_lading_unknown": (["INVOICE_NBR", "OBL_AWB"], "bill of lading was never loaded", None, None),
-        "invoice_container_unknown": (
-            ["INVOICE_NBR", *_PAIR], "container and order were never loaded", None, None
+    boxes = stage(invoice_containers.join(loaded, _PAIR, "left"))
+    shipped = boxes.filter(F.col("OBL_AWB").isNotNull())
+    billed = bill(headers, payments)
+    orders = stage(order_sums(details, shipped))
+
+    bills = loaded.select("OBL_AWB").distinct().withColumn("LOADED", F.lit(True))
+    book = billed.join(invoice_sums(orders), "INVOICE_NBR", "left").join(bills, "OBL_AWB", "left")
+    sizes = live(po_headers).select(F.col("HFC_NBR").alias("HFC"), "CARTON_SIZE")
+    sizes = require_keys(sizes, ["HFC"], "purchase order headers")
+    both = (F.col("LINES") == 1) & (F.col("BOXES") == 1) & F.col("HFC").isNotNull()
+    cartons = (
+        orders.filter(both).join(sizes, "HFC", "left").withColumn("CARTONS", F.try_divide(F.col("PCS"), F.col("CARTON_SIZE")))
+    )
+    on_bill = F.col("OBL_AWB").isNotNull()
+    invoice = ["INVOICE_NBR"]
+    rules = [
+        (lines, [Rule("invoice_line_unknown", F.col("KNOWN").isNull(), ["INVOICE_NBR", "HFC", "STYLE"], "order and style do not exist")]),
+        (
+            boxes,
+            [Rule("invoice_container_unknown", F.col("OBL_AWB").isNull(), ["INVOICE_NBR", *_PAIR], "container and order were never loaded")],
+        ),
+        (
+            book.withColumn("CTN_SUM", fill("CTN_SUM", 0)),
+            [
+                Rule("invoice_unbilled", F.col("LC_NBR").isNull(), invoice, "paid but not in the invoice headers"),
+                Rule("invoice_totals", on_bill & apart(_TOTALS), invoice, "totals of the lines differ from the agent's", "LC_AMT", "LINE_AMT"),
+                Rule(
+                    "bill_of_lading_unknown", on_bill & F.col("LOADED").isNull(), ["INVOICE_NBR", "OBL_AWB"],
+                    "bill of lading was never loaded",
+                ),
+                Rule(
+                    "invoice_cartons", on_bill & ne_or_null("CTN_SUM", "CTNS"), invoice, "cartons differ from the containers",
+                    "CTNS", "CTN_SUM",
+                ),
+            ],
+        ),
+        (
+            cartons,
+            [
+                Rule(
+                    "invoice_pieces", ne_or_null("CARTONS", "CTN_SUM"), ["INVOICE_NBR", "HFC"], "pieces do not fill the cartons",
+                    "CTN_SUM", "CARTONS",
+                )
+            ],
         ),
-        "invoice_cartons": (["INVOICE_NBR"], "cartons differ from the containers", "CTNS", "CTN_SUM"),
-        "invoice_pieces": (["INVOICE_NBR", "HFC"], "pieces do not fill the cartons", "CTN_SUM", "CARTONS"),
-    }
-    found = [
-        exception_rows(offending[check], check, keys, reason, expected=expected, actual=actual)
-        for check, (keys, reason, expected, actual) in report.items()
     ]
+    found = stage(all_exceptions([stacked_exceptions(frame, of_frame, invoice) for frame, of_frame in rules]))
     states = {
         "INVOICE_HEADER": new_headers(state_headers, billed),
         "INVOICE_DETAIL": new_details(state_details, details),
         "HFC_CONTAINER": stamp(containers, shipped),
     }
 
+    def held(checks):
+        return found.filter(F.col("check_id").isin(*checks)).select("INVOICE_NBR").distinct()
+
     def without(checks):
-        held = held_keys(offending, checks, ["INVOICE_NBR"])
-        if held is None:
-            return {}
-        # three tables leave them out
-        held = stage(held.distinct())
+        kept_back = held(checks)
         return {
-            "INVOICE_HEADER": new_headers(state_headers, missing_reference(billed, held, ["INVOICE_NBR"])),
-            "INVOICE_DETAIL": new_details(state_details, missing_reference(details, held, ["INVOICE_NBR"])),
-            "HFC_CONTAINER": stamp(containers, missing_reference(shipped, held, ["INVOICE_NBR"])),
+            "INVOICE_HEADER": new_headers(state_headers, missing_reference(billed, kept_back, ["INVOICE_NBR"])),
+            "INVOICE_DETAIL": new_details(state_details, missing_reference(details, kept_back, ["INVOICE_NBR"])),
+            "HFC_CONTAINER": stamp(containers, missing_reference(shipped, kept_back, ["INVOICE_NBR"])),
         }
 
-    return Load(states, all_exceptions(found), without=without)
+    return Load(states, found.drop("INVOICE_NBR"), without=without, held=held)

@@ -8,7 +8,8 @@ from .. import schemas
 from ..functions import text
 from ..functions.amounts import buckets
 from ..session import stage
-from ..plans import conform, dimensions, movements, orders, purchase_orders, write_exceptions
+from ..plans import commit, conform, dimensions, movements, orders, purchase_orders, quarantined, write_exceptions
+from ..sources.warehouse import Warehouse
 from . import ORACLES, case
 from .adapters import (
     AS_OF,
@@ -732,3 +733,127 @@ def load_size_scales(spark, folder):
     return new.select(
         "SIZE_SCALE_CODE", "SIZE_SCALE_DESC", "S1_SIZE", "S2_SIZE", "S3_SIZE", "S1_QTY", "S2_QTY", "S8_QTY"
     )
+
+
+# --- quarantine along references: part sizes as size scales, orders as purchase orders, their lines
+
+_HELD_CHAIN = f"""sc AS (SELECT k, CASE WHEN k % 7 <> 0 THEN k WHEN k <= 20 THEN 99 END AS ttl FROM (SELECT DISTINCT p_size AS k FROM part)),
+    fo AS (SELECT o_orderkey AS ok, {z('o_orderkey', 6)} AS HFC, {season_sql('o_orderdate')} AS SSN, o_orderstatus AS st, o_custkey % 50 + 1 AS k,
+      o_custkey % 50 + 1 + CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END AS cs FROM orders),
+    hd AS (SELECT HFC, fo.k % 7 = 0 AS by_scale, ttl IS NULL OR cs <> ttl AS by_carton FROM fo LEFT JOIN sc ON sc.k = fo.k
+      WHERE st <> 'F' AND (fo.k % 7 = 0 OR ttl IS NULL OR cs <> ttl)),
+    ss AS (SELECT DISTINCT SSN FROM fo WHERE st <> 'F')"""
+
+
+def _scale_sheet(spark, folder):
+    """(stored scales, sheet): every seventh description cannot be read."""
+    sizes = table(spark, folder, "part").select("p_size").distinct()
+    unreadable = F.col("p_size") % 7 == 0
+    sheet = sizes.select(
+        digits("p_size").alias("SCALE"), F.when(unreadable, "some/S").otherwise(F.concat(digits("p_size"), F.lit("/S"))).alias("DESC")
+    )
+    stored = sizes.filter("p_size <= 20").select(
+        text.zfill(digits("p_size"), 2).alias("SIZE_SCALE_CODE"), F.lit("99/S").alias("SIZE_SCALE_DESC"), F.lit(99).alias("S1_QTY")
+    )
+    return conform(stored, schemas.TABLES["SIZE_SCALE"]), sheet
+
+
+def _buy_orders(spark, folder):
+    """(stored headers, headers of the feed)"""
+    od = table(spark, folder, "orders").withColumns(
+        {
+            "HFC": text.zfill(digits("o_orderkey"), 6),
+            "SSN": season_of(F.to_date("o_orderdate")),
+            "HFC_SIZE_SCALE": text.zfill(digits(F.col("o_custkey") % 50 + 1), 2),
+            "CARTON_SIZE": (F.col("o_custkey") % 50 + 1 + F.when(F.col("o_orderpriority") == "1-URGENT", 1).otherwise(0)).cast("int"),
+        }
+    )
+    feed = od.filter("o_orderstatus <> 'F'").select(
+        "HFC", "SSN", "HFC_SIZE_SCALE", "CARTON_SIZE", F.lit(1).alias("DIV"), F.lit("00001").alias("CUST_NBR"),
+        *[F.lit(None).cast("date").alias(c) for c in ("X_SHIP", "X_ORIENT")], *[F.lit("x").alias(c) for c in ("AGENT", "COO", "CAT")],
+    )
+    stored = od.filter("o_orderstatus <> 'O'").select(
+        F.col("HFC").alias("HFC_NBR"), F.col("SSN").alias("SEASON"), F.lit(0).alias("CARTON_SIZE"), F.lit("OL").alias("HFC_SIZE_SCALE_CODE"), F.lit(0).alias("CXL")
+    )
+    return conform(stored, schemas.TABLES["HFC_HEADER"]), feed
+
+
+def _buy_lines(spark, folder):
+    """(stored lines, lines of the feed)"""
+    units = F.sum(F.col("l_quantity").cast("long")).alias("UNITS")
+    sums = table(spark, folder, "lineitem").groupBy("l_orderkey", "l_partkey", "l_suppkey").agg(units)
+    lines = sums.join(table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).select(
+        text.zfill(digits("l_orderkey"), 6).alias("HFC"), text.zfill(digits("l_partkey"), 6).alias("STYLE"), digits("l_suppkey").alias("COLOR"),
+        "UNITS", season_of(F.to_date("o_orderdate")).alias("SSN"), "o_orderstatus",
+    )
+    feed = lines.filter("o_orderstatus <> 'F'").select(
+        "HFC", "STYLE", "COLOR", "UNITS", "SSN", *[F.lit("x").alias(c) for c in ("COLOR_DESC", "HFC_LINE_SIZE_SCALE", "ASST")],
+        *[F.lit(1.0).alias(c) for c in ("FOB", "ELC", "SP", "MSRP")],
+    )
+    stored = lines.filter("o_orderstatus <> 'O'").select(
+        F.col("HFC").alias("HFC_NBR"), "STYLE", F.col("COLOR").alias("COLOR_CODE"), F.lit(0).alias("TTL_QTY"), F.lit(0).alias("CXL")
+    )
+    return conform(stored, schemas.TABLES["HFC_DETAIL"]), feed
+
+
+def _held_headers(spark, folder, store):
+    """Publish scales, then headers, under quarantine; the load of the headers."""
+    scales = dimensions.load_size_scales(*_scale_sheet(spark, folder))
+    commit(store, scales, "quarantine")
+    totals = dimensions.scale_totals(store.read("SIZE_SCALE"))
+    headers = purchase_orders.load_po_headers(*_buy_orders(spark, folder), totals, held_scales=quarantined(scales))
+    commit(store, headers, "quarantine")
+    return headers
+
+
+@case(
+    "q_header_quarantine",
+    f"""WITH {_HELD_CHAIN}, t AS (SELECT HFC, SSN FROM fo WHERE st <> 'O'), n AS (SELECT * FROM fo WHERE st <> 'F' AND HFC NOT IN (SELECT HFC FROM hd))
+    SELECT coalesce(t.HFC, n.HFC) AS HFC_NBR, coalesce(n.SSN, t.SSN) AS SEASON, coalesce(cs, 0) AS CARTON_SIZE,
+      coalesce(lpad(CAST(k AS VARCHAR), 2, '0'), 'OL') AS HFC_SIZE_SCALE_CODE,
+      CASE WHEN n.HFC IS NULL AND t.SSN IN (SELECT SSN FROM ss) AND t.HFC NOT IN (SELECT HFC FROM hd) THEN 1 ELSE 0 END AS CXL
+    FROM t FULL OUTER JOIN n ON t.HFC = n.HFC""",
+)
+def header_quarantine(spark, folder):
+    """Orders published without those whose carton or scale is reported; these stay as stored."""
+    store = Warehouse(spark, scratch(spark, "store"))
+    _held_headers(spark, folder, store)
+    return store.read("HFC_HEADER").select("HFC_NBR", "SEASON", "CARTON_SIZE", "HFC_SIZE_SCALE_CODE", "CXL")
+
+
+@case(
+    "q_line_quarantine",
+    f"""WITH {_HELD_CHAIN}, ln AS (SELECT HFC, SSN, st, {z('l_partkey', 6)} AS STYLE, CAST(l_suppkey AS VARCHAR) AS COLOR, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS u
+      FROM lineitem JOIN fo ON ok = l_orderkey GROUP BY HFC, SSN, st, l_partkey, l_suppkey),
+    t AS (SELECT * FROM ln WHERE st <> 'O'), n AS (SELECT * FROM ln WHERE st <> 'F' AND HFC NOT IN (SELECT HFC FROM hd)),
+    ls AS (SELECT DISTINCT SSN FROM ln WHERE st <> 'F')
+    SELECT coalesce(t.HFC, n.HFC) AS HFC_NBR, coalesce(t.STYLE, n.STYLE) AS STYLE, coalesce(t.COLOR, n.COLOR) AS COLOR_CODE, coalesce(n.u, 0) AS TTL_QTY,
+      CASE WHEN n.u IS NULL AND t.SSN IN (SELECT SSN FROM ls) AND t.HFC NOT IN (SELECT HFC FROM hd) THEN 1 ELSE 0 END AS CXL
+    FROM t FULL OUTER JOIN n ON t.HFC = n.HFC AND t.STYLE = n.STYLE AND t.COLOR = n.COLOR""",
+)
+def line_quarantine(spark, folder):
+    """Lines published without those of orders that are held back themselves."""
+    store = Warehouse(spark, scratch(spark, "store"))
+    headers = _held_headers(spark, folder, store)
+    seasons = store.read("HFC_HEADER").select("HFC_NBR", "SEASON")
+    lines = purchase_orders.load_po_lines(*_buy_lines(spark, folder), seasons, held=quarantined(headers))
+    commit(store, lines, "quarantine")
+    return store.read("HFC_DETAIL").select("HFC_NBR", "STYLE", "COLOR_CODE", "TTL_QTY", "CXL")
+
+
+@case(
+    "q_held_reports",
+    f"""WITH {_HELD_CHAIN} SELECT check_id, count(*) AS n FROM (
+      SELECT 'size_scale_text' AS check_id FROM sc WHERE k % 7 = 0
+      UNION ALL SELECT 'prepack_carton' FROM hd WHERE by_carton UNION ALL SELECT 'scale_held' FROM hd JOIN fo ON fo.HFC = hd.HFC JOIN sc ON sc.k = fo.k WHERE by_scale
+      UNION ALL SELECT 'held_back' FROM (SELECT DISTINCT l_orderkey, l_partkey, l_suppkey FROM lineitem) JOIN fo ON ok = l_orderkey WHERE HFC IN (SELECT HFC FROM hd)) GROUP BY check_id""",
+)
+def held_reports(spark, folder):
+    """What the loads along the references report."""
+    scales = dimensions.load_size_scales(*_scale_sheet(spark, folder))
+    totals = dimensions.scale_totals(scales.states["SIZE_SCALE"])
+    headers = purchase_orders.load_po_headers(*_buy_orders(spark, folder), totals, held_scales=quarantined(scales))
+    seasons = headers.states["HFC_HEADER"].select("HFC_NBR", "SEASON")
+    lines = purchase_orders.load_po_lines(*_buy_lines(spark, folder), seasons, held=quarantined(headers))
+    found = scales.exceptions.unionByName(headers.exceptions).unionByName(lines.exceptions)
+    return found.groupBy("check_id").agg(F.count("*").alias("n"))

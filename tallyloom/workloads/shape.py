@@ -368,6 +368,24 @@ def numbered_preamble(spark, folder):
     )
 
 
+@case(
+    "q_last_or_match",
+    """WITH r AS (SELECT l_suppkey AS s, l_orderkey % 3 AS run, l_partkey % 4 = 0 AS hit, l_orderkey AS o, l_partkey AS p, sum(l_linenumber) AS n
+      FROM lineitem GROUP BY l_suppkey, l_orderkey, l_partkey),
+    w AS (SELECT *, lead(run) OVER (PARTITION BY s ORDER BY o, p) AS next, last_value(CASE WHEN hit THEN run END IGNORE NULLS)
+      OVER (PARTITION BY s ORDER BY o, p ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS found FROM r)
+    SELECT s AS supplier, o AS order_id, p AS part, CAST(n AS BIGINT) AS n FROM w WHERE hit OR ((next IS NULL OR next <> run) AND (found IS NULL OR found <> run))""",
+)
+def last_or_match(spark, folder):
+    """Per supplier, parts of runs of orders: those of a kind, or the last one of a run without any."""
+    lines = table(spark, folder, "lineitem").groupBy("l_suppkey", "l_orderkey", "l_partkey").agg(F.sum("l_linenumber").alias("n"))
+    lines = lines.withColumn("run", F.col("l_orderkey") % 3)
+    kept = shape.last_or_match(
+        lines, ["run"], F.col("l_partkey") % 4 == 0, ["l_suppkey"], ["l_orderkey", "l_partkey"], F.floor(F.col("l_orderkey") / 5000)
+    )
+    return kept.select(F.col("l_suppkey").alias("supplier"), F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("part"), "n")
+
+
 _FORM_ROWS = """
 cells AS (
   SELECT CAST(l_orderkey AS VARCHAR) AS file, l_linenumber + 21 AS rw, CAST(CAST(sum(l_quantity) AS BIGINT) AS VARCHAR) AS qty,
@@ -386,8 +404,12 @@ ends AS (
 )"""
 
 
-def form_cells(spark, folder):
-    """Orders laid out as purchase-order forms, one per order."""
+def form_cells(spark, folder, mixed=False):
+    """Orders laid out as purchase-order forms, one per order.
+
+    ``mixed``: prepack forms name one of three scales, and those with an even
+    number name scales line by line, though not on every line.
+    """
     from ..sources.forms import BODY_COLUMNS, HEADER_CELLS
 
     orders = table(spark, folder, "orders")
@@ -397,7 +419,9 @@ def form_cells(spark, folder):
         "hfc_nbr": digits("o_orderkey"),
         "season_text": F.concat(F.lit("SEASON: SP "), F.year("o_orderdate").cast("string")),
         "customer_text": F.concat(digits("o_custkey"), F.when(status == "P", ": SHOP E-COM").otherwise(": STORE")),
-        "scale_text": F.when(status == "F", "A1/pack").otherwise("00"),
+        "scale_text": F.when(
+            status == "F", F.concat(F.lit("A"), digits(F.col("o_custkey") % 3 + 1), F.lit("/pack")) if mixed else F.lit("A1/pack")
+        ).otherwise("00"),
         "kind_text": F.when((status == "F") | (priority == "5"), "PREPACK").otherwise("BULK ORDER"),
         "div": priority,
         "carton_text": F.concat(F.lit("CARTON: "), F.dayofmonth("o_orderdate").cast("string"), F.lit("X")),
@@ -431,7 +455,11 @@ def form_cells(spark, folder):
     curve = F.concat(digits(half), F.lit("/s-"), digits(F.col("q") - half), F.lit("/M"))
     body_values = {
         "style": digits("p"),
-        "style_desc": F.concat(F.lit("STYLE "), digits("p")),
+        "style_desc": F.concat_ws(
+            " @ ",
+            F.concat(F.lit("STYLE "), digits("p")),
+            F.when(F.lit(mixed) & (F.col("l_orderkey") % 2 == 0) & (F.col("p") % 5 != 0), F.concat(F.lit("A"), digits(F.col("p") % 4 + 1))),
+        ),
         "color_code": F.lpad(digits("l_linenumber"), 3, "0"),
         "ttl_qty": digits("q"),
         "size_curve": curve,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyloom import schemas
 from tallyloom.functions.amounts import buckets
 from tallyloom.operators.checks import CheckFailed, count_by_check
-from tallyloom.plans import Load, commit, conform, dimensions, empty_table, forms, invoices, movements, orders, purchase_orders, write_exceptions
+from tallyloom.plans import Load, commit, conform, dimensions, empty_table, forms, invoices, movements, orders, purchase_orders, quarantined, write_exceptions
 from tallyloom.sources.delimited import read_feed_family, read_positional
 from tallyloom.sources.warehouse import Warehouse
 
@@ -219,6 +219,41 @@ def test_purchase_orders(spark, rows):
     assert [r[0] for r in rows(load.exceptions, "key")] == ["000012"]
 
 
+def test_what_refers_to_held_rows_stays_as_stored(spark, rows, tmp_path):
+    store = Warehouse(spark, str(tmp_path / "store"))
+    old = table(spark, "SIZE_SCALE", "SIZE_SCALE_CODE string, S1_QTY int", ("02", 9))
+    scales = dimensions.load_size_scales(old, frame(spark, "SCALE string, DESC string", ("1", "4/S 8/M"), ("2", "x/S")))
+    with pytest.raises(CheckFailed):
+        commit(store, scales)
+    commit(store, scales, "quarantine")
+    assert rows(quarantined(scales)) == [("02",)] and quarantined(scales, ["size_scale_text"]) is None
+    totals = dimensions.scale_totals(store.read("SIZE_SCALE"))
+    feed = frame(spark, "HFC string, SSN string, CARTON_SIZE int, HFC_SIZE_SCALE string", ("a", "SP-20", 12, "01"), ("b", "SP-20", 9, "02"), ("c", "SP-20", 7, "01"), ("d", "SP-20", 1, "00"))
+    feed = feed.select("*", *[F.lit(None).cast(k).alias(n) for n, k in [("X_SHIP", "date"), ("X_ORIENT", "date"), ("DIV", "int"), ("CUST_NBR", "string"), ("AGENT", "string"), ("COO", "string"), ("CAT", "string")]])
+    stored = table(spark, "HFC_HEADER", "HFC_NBR string, SEASON string, CARTON_SIZE int, CXL int", ("b", "SP-20", 5, 0), ("e", "SP-20", 5, 0))
+    headers = purchase_orders.load_po_headers(stored, feed, totals, held_scales=quarantined(scales))
+    assert count_by_check(headers.exceptions) == {"prepack_carton": 2, "scale_held": 1}
+    commit(store, headers, "quarantine")
+    assert rows(store.read("HFC_HEADER"), "HFC_NBR", "CARTON_SIZE", "CXL") == [("a", 12, 0), ("b", 5, 0), ("d", 1, 0), ("e", 5, 1)]
+    held = quarantined(headers)
+    assert rows(held) == [("b",), ("c",)]
+    lines = frame(spark, "HFC string, SSN string, STYLE string, COLOR string, UNITS int", *[(k, "SP-20", "1", "1", 6) for k in "abc"])
+    lines = lines.select("*", *[F.lit(None).cast("string").alias(c) for c in ("COLOR_DESC", "HFC_LINE_SIZE_SCALE", "ASST")], *[F.lit(1.0).alias(c) for c in ("FOB", "ELC", "SP", "MSRP")])
+    detail = table(spark, "HFC_DETAIL", "HFC_NBR string, STYLE string, COLOR_CODE string, TTL_QTY long, CXL int", ("a", "2", "1", 3, 0), ("b", "1", "1", 3, 0), ("b", "2", "1", 3, 0))
+    load = purchase_orders.load_po_lines(detail, lines, store.read("HFC_HEADER"), held=held)
+    assert rows(load.exceptions, "check_id", "key") == [("held_back", "b|1|1"), ("held_back", "c|1|1")]
+    commit(store, load, "quarantine")
+    assert rows(store.read("HFC_DETAIL"), "HFC_NBR", "STYLE", "TTL_QTY", "CXL") == [("a", "1", 6, 0), ("a", "2", 3, 1), ("b", "1", 3, 0), ("b", "2", 3, 0)]
+    breaks = frame(spark, "HFC string, STYLE string, COLOR string, " + ", ".join(f"{b} long" for b in buckets()), ("a", "1", "1", *[2] * 8), ("b", "1", "1", *[2] * 8))
+    split = purchase_orders.load_size_breaks(store.read("HFC_DETAIL"), breaks, held=held)
+    assert dict(rows(split.states["HFC_DETAIL"].filter("STYLE = '1'"), "HFC_NBR", "S1_QTY")) == {"a": 2, "b": None}
+    links = frame(spark, "GREEN_BAR string, STYLE string, COLOR string, HFC string, SEASON string", ("g", "1", "1", "a", "SP-20"), ("h", "1", "1", "b", "SP-20"))
+    assoc = table(spark, "HFC_ASSOC", "GREEN_BAR string, STYLE string, COLOR string, HFC string, SEASON string, CXL int", ("h", "1", "1", "old", "SP-20", 0), ("i", "1", "1", "old", "SP-20", 0))
+    tied = movements.load_assoc(assoc, links, corrections=[], held=held)
+    assert rows(tied.states["HFC_ASSOC"], "GREEN_BAR", "HFC", "CXL") == [("g", "a", 0), ("h", "old", 0), ("i", "old", 1)]
+    assert rows(tied.exceptions, "key") == [("h|1|1|b",)]
+
+
 def test_cartons_to_come(spark, rows):
     details = frame(spark, "HFC_NBR string, STYLE string, COLOR_CODE string, TTL_QTY long, CXL int", ("a", "1", "1", 25, 0), ("a", "2", "1", 10, 0), ("a", "3", "1", 99, 1), ("b", "1", "1", 5, 0), ("z", "1", "1", 5, 0))
     headers = frame(spark, "HFC_NBR string, SEASON string, DIV int, CARTON_SIZE int", ("a", "SP-20", 1, 10), ("b", "SP-20", 8, 10), ("z", "SP-20", 1, 0))

@@ -148,6 +148,35 @@ def test_carry_forward_across_slices(spark, rows):
     assert out == sorted(expected, key=lambda r: tuple(str(v) for v in r))
 
 
+def test_last_or_match_is_that_of_a_plain_scan(spark, rows):
+    rng = random.Random(5)
+    cells = [(g, i // 6, i, rng.choice([None, "a", "b", "c"]), rng.random() < 0.2) for g in ("f", "g") for i in range(80)]
+    cells.append(("h", 0, 0, "a", None))
+    df = spark.createDataFrame(cells, "file string, block int, row int, k string, hit boolean")
+    want = []
+    for file in ("f", "g", "h"):
+        own, found = [c for c in cells if c[0] == file], "nothing"
+        for c, following in zip(own, [*own[1:], None]):
+            if c[4]:
+                found = c[3]
+                want.append((file, c[2]))
+            elif (following is None or following[3] != c[3]) and c[3] != found:
+                want.append((file, c[2]))
+    got = shape.last_or_match(df, ["k"], F.col("hit"), ["file"], ["block", "row"], "block")
+    assert got.columns == df.columns and sorted((r.file, r.row) for r in got.collect()) == sorted(want)
+    assert shape.last_or_match(df.limit(0), ["k"], F.col("hit"), ["file"], ["block", "row"], "block").count() == 0
+
+
+def test_stacked_exceptions_are_those_of_single_checks(spark, rows):
+    df = spark.createDataFrame([("x", 1, 5), ("y", None, 7), ("z", 9, None)], "k string, a int, b int")
+    rules = [checks.Rule("small", F.col("a") < 5, ["k"], "too small", "b", "a"), checks.Rule("unknown", F.col("b").isNull(), ["k", "a"], "no b")]
+    got = checks.stacked_exceptions(df, rules, ["a"])
+    assert rows(got) == [(1, "small", "x", "5", "1", "too small"), (9, "unknown", "z|9", None, None, "no b")]
+    single = [checks.exception_rows(df.filter(r.bad), r.check_id, r.key, r.reason, r.expected, r.actual) for r in rules]
+    assert rows(got.drop("a")) == rows(checks.all_exceptions(single))
+    assert checks.stacked_exceptions(df.limit(0), rules).count() == 0
+
+
 def test_drop_last_and_first_by(spark, rows):
     df = spark.createDataFrame([("f", 0, 1), ("f", 1, 0), ("g", 0, 5)], "file string, block int, row int")
     assert rows(shape.drop_last(df, ["file"], ["block", "row"])) == [("f", 0, 1)]
