@@ -34,11 +34,12 @@ CAPACITY = 2048
 QUANTUM = 8
 BUCKETS = 256
 TOLERANCE = 0.0005
+REMEMBERED = 1_000_000
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
-def _cutter(vocabulary: str, end_id: int, capacity: int):
+def _cutter(vocabulary: str, end_id: int, capacity: int, remembered: int):
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def cut(batches):
@@ -47,7 +48,7 @@ def _cutter(vocabulary: str, end_id: int, capacity: int):
         for part in (p for batch in batches for p in text_slices(batch, 1, 1024, 1 << 20)):
             keys, texts = part.column(0).to_pylist(), [t or "" for t in part.column(1).to_pylist()]
             rows = []
-            for key, ids in zip(keys, coder(vocabulary, True).encode(texts)):
+            for key, ids in zip(keys, coder(vocabulary, True, remembered).encode(texts)):
                 ids += end
                 total, view = len(ids) // 4, memoryview(ids)
                 for begin in range(0, total, capacity):
@@ -61,10 +62,10 @@ def _cutter(vocabulary: str, end_id: int, capacity: int):
     return cut
 
 
-def cut_pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int = CAPACITY) -> DataFrame:
-    """Encode every document and cut it at multiples of the capacity."""
+def cut_pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int = CAPACITY, remembered: int = REMEMBERED) -> DataFrame:
+    """Encode every document and cut it at multiples of the capacity. ``remembered``: word forms a worker keeps, some 200 bytes each."""
     ship(docs.sparkSession)
-    return docs.select("doc_id", "text").mapInArrow(_cutter(vocabulary, end_id, capacity), PIECES)
+    return docs.select("doc_id", "text").mapInArrow(_cutter(vocabulary, end_id, capacity, remembered), PIECES)
 
 
 def price(duals: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
@@ -189,6 +190,6 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, quantum: int = QUANTUM, bu
     return placed.drop("_class", "_bucket", "_n", "_base", "_rank", "_use", "_first", "_after", "_per", "_sequence")
 
 
-def pack_documents(docs: DataFrame, vocabulary: str, end_id: int = 1, capacity: int = CAPACITY) -> DataFrame:
+def pack_documents(docs: DataFrame, vocabulary: str, end_id: int = 1, capacity: int = CAPACITY, remembered: int = REMEMBERED) -> DataFrame:
     """Encode, cut and pack all documents; the pieces are written once, as they are read for counts and places."""
-    return pack(stage(cut_pieces(docs, vocabulary, end_id, capacity)), capacity)
+    return pack(stage(cut_pieces(docs, vocabulary, end_id, capacity, remembered)), capacity)

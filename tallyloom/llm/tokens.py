@@ -49,6 +49,7 @@ class PieceCoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.keeps_space = keeps_space
+        self.most = _MOST
         self.pieces = re.compile(r"\s*\S+|\s+").findall if keeps_space else str.split
         self.known: dict[str, bytes] = {}
         self.stops = {"": b""} | {c: self._library([c])[0] for c in ",."}
@@ -79,7 +80,7 @@ class PieceCoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [None if any(c in t for c in _ODD) else self.pieces(t) for t in texts]
         new = list(set().union(*(c for c in cut if c is not None)).difference(self.known))
-        if len(self.known) + len(new) > _MOST:
+        if len(self.known) + len(new) > self.most:
             self.known = {}
             new = list(set().union(*(c for c in cut if c is not None)))
         self._learn(new)
@@ -91,11 +92,15 @@ class PieceCoder:
         return out
 
 
-def coder(path: str, keeps_space: bool) -> PieceCoder:
-    """One coder per worker process and vocabulary. ``keeps_space``: white space is part of the tokens."""
+def coder(path: str, keeps_space: bool, most: int = _MOST) -> PieceCoder:
+    """One coder per worker process and vocabulary. ``keeps_space``: white space is part of the tokens.
+
+    ``most``: pieces it remembers, some 200 bytes each.
+    """
     key = (path, keeps_space)
     if key not in _coders:
         _coders[key] = PieceCoder(path, keeps_space)
+    _coders[key].most = most
     return _coders[key]
 
 
