@@ -32,8 +32,8 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents with their sequences."""
-    return packing.pack_documents(docs, vocabulary("byte_bpe_50k.json"), 1)
+    """Pieces of the documents with their sequences; workers of the stages before are still there, so these remember less."""
+    return packing.pack_documents(docs, vocabulary("byte_bpe_50k.json"), 1, remembered=400_000)
 
 
 STAGES = [
