@@ -7,6 +7,9 @@ expression run, and only where the text holds one of a few stems are keywords
 looked for, so neither gate loses a match. Rules are ordered
 by priority; a detection is suppressed where another one of the same or a
 higher priority contains its interval, the first rule winning among equals.
+"Not licensed under" a name has the highest priority and no label, so what it
+contains is suppressed. Short names that mean other things as well count only
+where a text is said to be under them.
 
 Base phrases are counted apart, at all their places, and their labels stay.
 
@@ -135,6 +138,57 @@ NOTICES = (
     ("cc0", "with this deed has dedicated", r"the person who associated a work with this deed has dedicated the work to the public domain"),
 )
 
+#: How versions follow short names: "v2", "2.0", "version 2.1", "-3.0".
+_V = "(?: version)? ?v?"
+#: Label, keyword, expression of a short name, and whether it counts by itself or only behind "licensed under" and the like.
+SHORT = (
+    ("lgpl-2.1", " lgpl", rf"(?:gnu )?lgpl{_V}2 1", True), ("lgpl-2.0", " lgpl", rf"(?:gnu )?lgpl{_V}2(?: 0)?", True),
+    ("lgpl-3.0", " lgpl", rf"(?:gnu )?lgpl{_V}3(?: 0)?", True), ("lgpl", " lgpl", "(?:gnu )?lgpl", True),
+    ("gpl-2.0", " gpl", rf"(?:gnu )?gpl{_V}2(?: 0)?", True), ("gpl-3.0", " gpl", rf"(?:gnu )?gpl{_V}3(?: 0)?", True),
+    ("gpl", " gpl", "(?:gnu )?gpl(?: ?v?1)?", True), ("gfdl", " gfdl", rf"(?:gnu )?gfdl(?:{_V}1 [123])?", True), ("gfdl", "gnu fdl", "gnu fdl", True),
+    ("apache-1.1", "apache", f"apache{_V}1 1", True), ("apache-2.0", "apache", f"apache{_V}2 0", True), ("apache-2.0", "apache", "apache ?v?2", False),
+    ("apache-2.0", " asl", f"asl{_V}2(?: 0)?", False), ("apache", "apache", "apache", False), ("mit", " mit ", "mit(?: x11)?", False),
+    ("mit-0", " mit 0", "mit 0", True), ("x11", " x11 ", "x11", False), ("expat", "expat", "expat", False), ("0bsd", " 0bsd", "0bsd(?: licen[cs]e)?", True),
+    ("bsd-2-clause", " bsd", "bsd 2 clause", True), ("bsd-2-clause", " bsd", "bsd(?: style)? licen[cs]e 2 clause", True),
+    ("bsd-2-clause", "clause bsd", "(?:2|two) clause bsd(?: licen[cs]e)?", True), ("bsd-3-clause", " bsd", "bsd 3 clause", True),
+    ("bsd-3-clause", " bsd", "bsd(?: style)? licen[cs]e 3 clause", True), ("bsd-3-clause", "clause bsd", "(?:3|three) clause bsd(?: licen[cs]e)?", True),
+    ("bsd-4-clause", " bsd", "bsd 4 clause", True), ("bsd-4-clause", " bsd", "bsd(?: style)? licen[cs]e 4 clause", True),
+    ("bsd-4-clause", "clause bsd", "(?:4|four) clause bsd(?: licen[cs]e)?", True), ("bsd", " bsd", "bsd", False), ("isc", " isc ", "isc", False),
+    ("mpl-1.1", " mpl", f"mpl{_V}1 1", True), ("mpl-2.0", " mpl", f"mpl{_V}2 0", True), ("mpl-2.0", " mpl", "mpl ?v?2", False), ("mpl", " mpl", "mpl", False),
+    ("epl-1.0", " epl", f"epl{_V}1 0", True), ("epl-2.0", " epl", f"epl{_V}2 0", True), ("epl", " epl", "epl(?: ?v?[12])?", False),
+    ("cddl", " cddl", f"cddl(?:{_V}1 [01])?", True), ("eupl", " eupl", f"eupl(?:{_V}1 [012])?", True), ("cpl", " cpl", f"cpl{_V}1 0", True),
+    ("artistic-2.0", "artistic", f"artistic{_V}2 0", True), ("artistic", "artistic", "artistic", False), ("bsl-1.0", "boost", f"boost(?:{_V}1 0)?", False),
+    ("zlib", " zlib", "zlib", False), ("openssl", "openssl", "openssl", False), ("ofl-1.1", " ofl", f"(?:sil )?ofl(?:{_V}1 [01])?", True),
+    ("odbl", " odbl", f"odbl(?:{_V}1 0)?", True), ("ms-pl", " ms pl", "ms pl", True), ("ms-rl", " ms rl", "ms rl", True),
+    ("ms-rl", "reciprocal", "microsoft reciprocal licen[cs]e", True), ("ncsa", " ncsa", "ncsa", False), ("python", " psf", "psf", False),
+    ("afl", " afl", f"afl{_V}[123] [012]", True), ("osl", " osl", f"osl{_V}[123] [01]", True), ("qpl", " qpl", f"qpl(?:{_V}1 0)?", False),
+    ("sspl", " sspl", f"sspl(?:{_V}1(?: 0)?)?", True), ("bsl-source", " busl", f"busl(?:{_V}1 1)?", True), ("elastic", "elastic", f"elastic{_V}2(?: 0)?", False),
+    ("unlicense", "unlicen", "unlicen[cs]ed", False), ("cc0", "creative commons", "creative commons (?:zero|0)(?: 1 0)?(?: universal)?", True),
+    ("cc0", " cc zero", "cc zero", True), ("cc-sa", " cc sa", r"cc sa(?: \d 0)?", True), ("upl-1.0", " upl", f"upl{_V}1 0", True),
+    ("upl-1.0", "universal permissive", "universal permissive licen[cs]e", True), ("lppl", " lppl", f"lppl(?:{_V}1 [0123][abc]?)?", True),
+    ("lppl", "latex project", "latex project public licen[cs]e", True), ("cecill", " cecill", r"cecill(?: [bc])?(?: ?v?\d(?: \d)?)?", True),
+    ("nasa", "nasa open", "nasa open source agreement", True), ("postgresql", "postgresql", "postgresql licen[cs]e", True),
+    ("mulan", " mulan", f"mulan (?:psl|permissive software licen[cs]e)(?:{_V}[12])?", True), ("vim", " vim ", "vim licen[cs]e", True),
+    ("curl", " curl ", "curl licen[cs]e", True), ("json", " json ", "json licen[cs]e", True), ("beerware", "beerware", "beerware(?: licen[cs]e)?", True),
+    ("beerware", "beer ware", "beer ware licen[cs]e", True), ("zpl", "zope", f"zope public licen[cs]e(?:{_V}[12] [01])?", True),
+    ("w3c", " w3c ", "w3c software (?:notice|and document)", True), ("edl", "eclipse", "eclipse distribution licen[cs]e", True),
+    ("ogl", "open government", "open government licen[cs]e", True), ("odc-by", " odc by", "odc by(?: 1 0)?", True),
+    ("odc-by", "open data", "open data commons attribution licen[cs]e", True), ("pddl", " pddl", "pddl(?: 1 0)?", False),
+    ("pddl", "public domain dedication", "public domain dedication and licen[cs]e", True), ("ipl", "ibm public", "ibm public licen[cs]e", True),
+    ("npl", "netscape", "netscape public licen[cs]e", True), ("spl", "sun public", "sun public licen[cs]e", True),
+    ("apsl", "apple public", "apple public source licen[cs]e", True), ("apsl", " apsl", f"apsl(?:{_V}[12] 0)?", True),
+    ("blueoak", "blue oak", "blue oak model licen[cs]e", True), ("hippocratic", "hippocratic", "hippocratic licen[cs]e", True),
+    ("polyform", "polyform", "polyform (?:noncommercial|small business|shield|strict) licen[cs]e", True),
+    ("commons-clause", "commons clause", "commons clause", True), ("openrail", "rail", "(?:creativeml )?(?:open ?rail|bigscience rail)(?: m)?", False),
+    ("llama", " llama", "llama [23](?: [12])? community licen[cs]e", True), ("opl", "open publication", "open publication licen[cs]e", True),
+    ("rpl", "reciprocal public", "reciprocal public licen[cs]e", True), ("cal", "cryptographic autonomy", "cryptographic autonomy licen[cs]e", True),
+    ("hpnd", "historical permission", "historical permission notice and disclaimer", True), ("ijg", "independent jpeg", "independent jpeg group licen[cs]e", True),
+    ("libpng", " libpng", "libpng licen[cs]e", True), ("imagemagick", "imagemagick", "imagemagick licen[cs]e", True), ("tcl", " tcl", "tcl(?: tk)? licen[cs]e", True),
+    ("ecl", "educational community", "educational community licen[cs]e", True), ("aladdin", "aladdin", "aladdin free public licen[cs]e", True),
+    ("sleepycat", "sleepycat", "sleepycat licen[cs]e", True), ("watcom", "watcom", "(?:sybase )?open watcom public licen[cs]e", True),
+    ("nposl", "non profit open", "non profit open software licen[cs]e", True), ("freetype", "freetype", "freetype(?: project)? licen[cs]e", True),
+)
+
 #: Label and SPDX identifier over words ("GPL-2.0-only" is "gpl 2 0 only", "GPL-2.0+" is "gpl 2 0").
 _LATER = "(?: only| or later)?"
 SPDX = (
@@ -170,7 +224,7 @@ def _spdx_rules() -> list[tuple[str, str, str, int, float]]:
 def _stems() -> tuple[str, ...]:
     """Texts one of which every match of a rule holds: "licen" where it stands in a name outside of groups, else the keyword."""
     stems = {"licen"}
-    for _, keyword, name in FAMILIES + NOTICES:
+    for _, keyword, name, *_ in FAMILIES + NOTICES + SHORT:
         while (bare := re.sub(r"\([^()]*\)", "|", name)) != name:
             name = bare
         if "licen" not in name:
@@ -188,16 +242,24 @@ FORMS = (
     (r"(?:{})", 2, 0.6),
 )
 
+#: A name that is denied: no label, above all others.
+_DENIED = r"not (?:licensed|released|distributed|available|published|provided|covered) under (?:the )?(?:terms of )?(?:the )?(?:{})"
+_DENIAL = 3 + _OPERANDS + 1
+#: The first two forms say that something is under the licence.
+_SAYING = 2
+
 _EMPTY = "array<struct<first:int,last:int,label:string,rule:int,priority:int,weight:double>>"
 
 
 def rules() -> list[tuple[int, str, str, str, int, float]]:
-    """(order, label, keyword, expression, priority, weight): every family in every form, notices, SPDX identifiers, in order."""
+    """(order, label, keyword, expression, priority, weight): names in their forms, notices, SPDX identifiers, in order."""
+    named = [*((*family, True) for family in FAMILIES), *SHORT]
     made = [
         (label, keyword, f"(?<= ){form.format(name)}(?= )", priority, weight)
-        for label, keyword, name in FAMILIES
-        for form, priority, weight in FORMS
+        for label, keyword, name, alone in named
+        for form, priority, weight in FORMS[: len(FORMS) if alone else _SAYING]
     ]
+    made += [("", keyword, f"(?<= ){_DENIED.format(name)}(?= )", _DENIAL, 0.0) for _, keyword, name, _ in named]
     made += [(label, keyword, f"(?<= ){expression}(?= )", 3, 1.0) for label, keyword, expression in NOTICES]
     return [(i, *rule) for i, rule in enumerate(made + _spdx_rules())]
 
@@ -266,7 +328,7 @@ def _kept(spans: Column) -> Column:
         kept = F.when(span["last"] <= reach, state["kept"]).otherwise(F.concat(state["kept"], F.array(span)))
         return F.struct(*ends, kept.alias("kept"))
 
-    return F.aggregate(ordered, start, step, lambda state: state["kept"])
+    return F.filter(F.aggregate(ordered, start, step, lambda state: state["kept"]), lambda s: s["label"] != "")
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

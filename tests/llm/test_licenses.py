@@ -41,7 +41,7 @@ def brute(text):
             t[0] <= s[0] and s[1] <= t[1] and t[4] >= s[4] and (t[:2] != s[:2] or (-t[4], t[3]) < (-s[4], s[3]))
             for j, t in enumerate(spans) if j != k
         )
-        if not beaten:
+        if not beaten and s[2]:
             kept.append(s)
     score = max([s[5] for s in kept] + [0.6 if base else 0.0])
     return (len(w), len(places), min(places, default=None), max(places, default=None), sorted(base), sorted(base | {s[2] for s in kept}), sorted(kept), score)
@@ -71,6 +71,11 @@ NAMED = [
     ("This code is released under the WTFPL.", ["wtfpl"]), ("Released under CC0 1.0.", ["cc0"]), ("Licensed under AGPLv3", ["agpl-3.0"]),
     ("the AGPL v3", ["agpl-3.0"]), ("Creative Commons Attribution-ShareAlike 4.0", ["cc-by-sa"]), ("Creative Commons Attribution 4.0", ["cc-by-4.0"]),
     ("Creative Commons Attribution-NonCommercial 3.0", ["cc-by-nc"]), ("Creative Commons Attribution No Derivatives", ["cc-by-nd"]),
+    ("Released under the GPLv2.", ["gpl-2.0"]), ("GPL-3.0", ["gpl-3.0"]), ("distributed under GPL v3 or later", ["gpl-3.0"]),
+    ("Licensed under LGPL v2.1", ["lgpl-2.1"]), ("Apache-2.0", ["apache-2.0"]), ("GNU GPL", ["gpl"]), ("MPL 2.0", ["mpl-2.0"]), ("CDDL", ["cddl"]),
+    ("EPL-2.0 or LGPL-2.1", ["epl-2.0", "lgpl-2.1"]), ("GPLv3+", ["gpl-3.0"]), ("BSD licence 3-Clause", ["bsd-3-clause"]), ("a 3-clause BSD licence", ["bsd-3-clause"]),
+    ("available under MIT or Apache", ["mit"]), ("he read the EPL table at MIT", []), ("we are not licensed under the Mozilla Public License 2.0", []),
+    ("we are not licensed under the MIT License", ["mit"]), ("not released under GPLv2, but under the terms of the EUPL 1.2", ["eupl"]),
     ("Creative Commons Attribution-NonCommercial-NoDerivs", ["cc-by-nc-nd"]), ("CC Attribution Share Alike", ["cc-by-sa"]),
 ]
 
