@@ -1,6 +1,9 @@
 """WARC archives: exact round trip, and the SQL of the query."""
 
+import glob
+import gzip
 import hashlib
+import re
 
 import pytest
 
@@ -58,3 +61,20 @@ def test_query_agrees_with_sql(spark):
     got = queries.QUERIES["op9_warc"](spark, folder)
     want = con.sql(queries.ORACLES["op9_warc"])
     assert sorted(map(repr, (tuple(r) for r in got.select(*want.columns).collect()))) == sorted(map(repr, want.fetchall()))
+
+
+def test_target_uri_is_the_url():
+    for url, stored in (("http://x.org/a%20b?q={1}|2", "http://x.org/a%20b?q={1}|2"), ("http://x.org/\u00e9 b", "http://x.org/%C3%A9%20b"), ("a\r\nX: y", "a%0D%0AX:%20y")):
+        data = warc.record(1, url, b"", hashlib.sha1(b"").hexdigest(), None, "1970-01-01T00:00:00Z", "f/0")
+        assert f"WARC-Target-URI: {stored}\r\n".encode() in gzip.decompress(data)
+        assert warc.parse(data)["url"] == url
+
+
+def test_record_ids_differ_and_reading_is_spread(spark):
+    folder, index = warc.write_archives(frame(spark, ROWS))
+    ids = set()
+    for file in glob.glob(f"{folder.removeprefix('file:')}/*.warc.gz"):
+        with gzip.open(file) as f:
+            ids |= set(re.findall(rb"WARC-Record-ID: (<urn:uuid:[^>]+>)", f.read()))
+    assert len(ids) == len(ROWS)
+    assert warc.read_archives(folder, index).rdd.getNumPartitions() == 4
