@@ -7,10 +7,11 @@ again, in both, until none of ``SEED`` words is left. Tiles may lie in any
 order, so reordered passages count. A document leaks an item if tiles cover
 ``COVERAGE`` of its words.
 
-Items are a stated query set: they go to the documents in blocks of up to
-``BLOCK_WORDS`` words, one pass over the documents per block, so what is
-broadcast is bounded whatever the benchmark's size (an item longer than a
-block is a block of its own).
+Items are a stated query set: equal texts are tiled once, and distinct ones go
+to the documents in blocks of up to ``BLOCK_WORDS`` words (an item longer than
+that is a block of its own), one pass over the documents per block. A task
+holds one block; the driver keeps the blocks of ``find_leaks``, which are one
+plan, until its result is read, those of ``drop_leaks`` one at a time.
 
 Defined cases: null texts and items are empty; an item without words leaks
 nowhere; one with fewer words than a seed must stand whole; repeated items are
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import words as memory
-from .common import release, ship, text_slices
+from .common import release, ship, stage, text_slices
 from .words import hashed, windows
 
 SEED = 5
@@ -165,7 +166,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
     """One row per document and item that it leaks, with the tiles."""
     spark = docs.sparkSession
     ship(spark)
-    items, n = item_blocks(benchmark, block_words)
+    texts = stage(benchmark.select("text").distinct().select(F.monotonically_increasing_id().alias("item_id"), "text"))
+    same = benchmark.select(F.col("item_id").alias("member"), F.col("text").alias("own"))
+    members = same.join(texts, F.col("own").eqNullSafe(F.col("text"))).select(F.col("item_id").alias("same"), "member")
+    items, n = item_blocks(texts, block_words)
     parts = []
     for block in range(n):
         rows = [(r["item_id"], r["text"]) for r in items.where(F.col("_block") == block).orderBy("item_id", "text").collect()]
@@ -174,7 +178,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
     found = parts[0] if parts else spark.createDataFrame([], LEAKS)
     for part in parts[1:]:
         found = found.unionByName(part)
-    return found
+    names = [c.name for c in found.schema]
+    return found.join(members, found["item_id"] == members["same"]).select(*(F.col("member").alias(c) if c == "item_id" else c for c in names))
 
 
 def _cleaner(items, coverage: float):
@@ -192,11 +197,16 @@ def _cleaner(items, coverage: float):
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, seed: int = SEED, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """Documents that leak no item, with all their columns; one pass per block, no shuffle of documents."""
+    """Documents that leak no item, with all their columns; one pass per block, written between blocks, no shuffle of documents."""
     spark = docs.sparkSession
     ship(spark)
-    items, n = item_blocks(benchmark, block_words)
+    items, n = item_blocks(benchmark.select("text").distinct().withColumn("item_id", F.lit(0)), block_words)
+    shared = None
     for block in range(n):
+        if shared is not None:
+            docs = stage(docs)
+            shared.unpersist()
         rows = [(r["item_id"], r["text"]) for r in items.where(F.col("_block") == block).orderBy("item_id", "text").collect()]
-        docs = docs.mapInArrow(_cleaner(spark.sparkContext.broadcast(Items(rows, seed)), coverage), docs.schema)
+        shared = spark.sparkContext.broadcast(Items(rows, seed))
+        docs = docs.mapInArrow(_cleaner(shared, coverage), docs.schema)
     return docs
