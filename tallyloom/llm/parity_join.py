@@ -312,16 +312,20 @@ def keep_first(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     Rows without shingles all stay. Of repeated rows one stays: copies of the
     kept row are told apart by a row number among rows of the same id and text.
     """
-    found = components_of(docs, rule)
-    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_hash")
-    best = found.where("n_shingles > 0").groupBy("root").agg(F.min(key).alias("_k")).select("_k.doc_id", "_k.row_hash")
-    # a component keeps one row of a given id and text; an empty text keeps them all
+    found = components_of(docs, rule).where("n_shingles > 0")
+    keyed = [F.coalesce("doc_id", F.lit(0)).alias("i"), F.col("doc_id").isNull().alias("none"), F.col("row_hash").alias("h")]
+    keys = found.groupBy("root", *keyed).agg(F.count(F.lit(1)).alias("rows"))
+    best = keys.groupBy("root").agg(F.min(F.struct("none", "i", "h")).alias("best"))
+    first = F.struct("none", "i", "h") == F.col("best")
+    # what goes, and what stays once; a small table next to the documents, so that their texts need not travel
+    others = stage(keys.join(best, "root").where(~first | (F.col("rows") > 1)).select("i", "none", "h", first.alias("again")))
     free = "_"  # no column starts with it, whatever the columns of docs are
     while any(c.lower().startswith(free) for c in docs.columns):
         free += "_"
-    kept = best.distinct().select(F.col("doc_id").alias(f"{free}id"), F.col("row_hash").alias(f"{free}hash"))
-    hashed_docs = docs.withColumn(f"{free}own", _row_hash())
-    same = F.col("doc_id").eqNullSafe(F.col(f"{free}id")) & (F.col(f"{free}own") == F.col(f"{free}hash"))
-    firsts = hashed_docs.join(kept, same, "left_semi").dropDuplicates(["doc_id", f"{free}own"])
-    bare = ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    return firsts.drop(f"{free}own").unionByName(docs.where(bare))
+    names = [f"{free}{c}" for c in ("i", "none", "h")]
+    own = F.coalesce("doc_id", F.lit(0)), F.col("doc_id").isNull(), _row_hash()
+    hashed_docs = docs.select("*", *(c.alias(n) for c, n in zip(own, names)))
+    others = others.toDF(*names, f"{free}again")
+    rest = hashed_docs.join(others, names, "left_anti")
+    once = hashed_docs.join(others.where(f"{free}again"), names, "left_semi").dropDuplicates(names)
+    return rest.unionByName(once).select(*docs.columns)
