@@ -2,10 +2,11 @@
 
 Words are runs of letters, digits and characters beyond ASCII, A-Z lowered.
 Rules are regular expressions over the words joined by single spaces. Each has
-a keyword that all its matches hold: only where the text holds it is the
-expression run, and only where the text holds one of a few stems are keywords
-looked for, so neither gate loses a match. Rules are ordered
-by priority; a detection is suppressed where another one of the same or a
+a keyword that all its matches hold, and each keyword a stem with which one of
+its words begins: one literal expression finds the stems of a text, keywords of
+these stems are looked for, and expressions of these keywords are run, so
+neither gate loses a match. All forms of a name are run as one expression; how
+a match begins tells its form. Rules are ordered by priority; a detection is suppressed where another one of the same or a
 higher priority contains its interval, the first rule winning among equals.
 "Not licensed under" a name has the highest priority and no label, so what it
 contains is suppressed. Short names that mean other things as well count only
@@ -20,6 +21,7 @@ table gives no rows; further columns are not read.
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -65,7 +67,8 @@ FAMILIES = (
     ("mit", " mit ", r"mit (?:x11 |expat )?licen[cs]e"),
     ("x11", "x11", r"x11 licen[cs]e"),
     ("expat", "expat", r"expat licen[cs]e"),
-    ("bsd-2-clause", "bsd", r"(?:bsd 2 clause|2 clause bsd|simplified bsd|freebsd) licen[cs]e"),
+    ("bsd-2-clause", "bsd", r"(?:bsd 2 clause|2 clause bsd|simplified bsd) licen[cs]e"),
+    ("bsd-2-clause", "freebsd", r"freebsd licen[cs]e"),
     ("bsd-3-clause", "bsd", r"(?:bsd 3 clause|3 clause bsd|new bsd|modified bsd|revised bsd) licen[cs]e"),
     ("bsd-4-clause", "bsd", r"(?:bsd 4 clause|4 clause bsd|original bsd) licen[cs]e"),
     ("bsd", "bsd", r"bsd(?: style)? licen[cs]e"),
@@ -179,7 +182,8 @@ SHORT = (
     ("apsl", "apple public", "apple public source licen[cs]e", True), ("apsl", " apsl", f"apsl(?:{_V}[12] 0)?", True),
     ("blueoak", "blue oak", "blue oak model licen[cs]e", True), ("hippocratic", "hippocratic", "hippocratic licen[cs]e", True),
     ("polyform", "polyform", "polyform (?:noncommercial|small business|shield|strict) licen[cs]e", True),
-    ("commons-clause", "commons clause", "commons clause", True), ("openrail", "rail", "(?:creativeml )?(?:open ?rail|bigscience rail)(?: m)?", False),
+    ("commons-clause", "commons clause", "commons clause", True), ("openrail", "openrail", "(?:creativeml )?openrail(?: m)?", False),
+    ("openrail", " rail", "(?:(?:creativeml )?open|(?:creativeml )?bigscience) rail(?: m)?", False),
     ("llama", " llama", "llama [23](?: [12])? community licen[cs]e", True), ("opl", "open publication", "open publication licen[cs]e", True),
     ("rpl", "reciprocal public", "reciprocal public licen[cs]e", True), ("cal", "cryptographic autonomy", "cryptographic autonomy licen[cs]e", True),
     ("hpnd", "historical permission", "historical permission notice and disclaimer", True), ("ijg", "independent jpeg", "independent jpeg group licen[cs]e", True),
@@ -221,29 +225,18 @@ def _spdx_rules() -> list[tuple[str, str, str, int, float]]:
     ]
 
 
-def _stems() -> tuple[str, ...]:
-    """Texts one of which every match of a rule holds: "licen" where it stands in a name outside of groups, else the keyword."""
-    stems = {"licen"}
-    for _, keyword, name, *_ in FAMILIES + NOTICES + SHORT:
-        while (bare := re.sub(r"\([^()]*\)", "|", name)) != name:
-            name = bare
-        if "licen" not in name:
-            stems.add(keyword)
-    return tuple(sorted(stems))
-
-
-STEMS = _stems()
-
-#: How a name stands in a text: expression around it, priority, weight. A notice outranks a bare name.
+#: How a name stands in a text: beginnings of a match, expression before the name, priority, weight. A notice outranks a bare name.
+_VERBS = ("licensed", "released", "distributed", "available", "published", "provided", "covered", "dual licensed")
+_UNDER = r" under (?:the )?(?:terms of )?(?:the )?"
 FORMS = (
-    (r"(?:licensed|released|distributed|available|published|provided|covered|dual licensed) under (?:the )?(?:terms of )?(?:the )?(?:{})", 3, 1.0),
-    (r"under the (?:terms|conditions) (?:and conditions )?of (?:the )?(?:{})", 3, 0.9),
-    (r"(?:subject to|governed by|see) (?:the )?(?:terms of )?(?:the )?(?:{})", 2, 0.7),
-    (r"(?:{})", 2, 0.6),
+    (tuple(f"{verb} under " for verb in _VERBS), f"(?:{'|'.join(_VERBS)}){_UNDER}", 3, 1.0),
+    (("under the ",), r"under the (?:terms|conditions) (?:and conditions )?of (?:the )?", 3, 0.9),
+    (("subject to ", "governed by ", "see "), r"(?:subject to|governed by|see) (?:the )?(?:terms of )?(?:the )?", 2, 0.7),
+    (("",), "", 2, 0.6),
 )
 
 #: A name that is denied: no label, above all others.
-_DENIED = r"not (?:licensed|released|distributed|available|published|provided|covered) under (?:the )?(?:terms of )?(?:the )?(?:{})"
+_DENIED = f"not (?:{'|'.join(_VERBS[:-1])}){_UNDER}"
 _DENIAL = 3 + _OPERANDS + 1
 #: The first two forms say that something is under the licence.
 _SAYING = 2
@@ -251,22 +244,85 @@ _SAYING = 2
 _EMPTY = "array<struct<first:int,last:int,label:string,rule:int,priority:int,weight:double>>"
 
 
+_NAMED = (*((*family, True) for family in FAMILIES), *SHORT)
+
+
+def _forms(alone: bool) -> tuple:
+    return FORMS if alone else FORMS[:_SAYING]
+
+
 def rules() -> list[tuple[int, str, str, str, int, float]]:
     """(order, label, keyword, expression, priority, weight): names in their forms, notices, SPDX identifiers, in order."""
-    named = [*((*family, True) for family in FAMILIES), *SHORT]
     made = [
-        (label, keyword, f"(?<= ){form.format(name)}(?= )", priority, weight)
-        for label, keyword, name, alone in named
-        for form, priority, weight in FORMS[: len(FORMS) if alone else _SAYING]
+        (label, keyword, f"(?<= ){before}(?:{name})(?= )", priority, weight)
+        for label, keyword, name, alone in _NAMED
+        for _, before, priority, weight in _forms(alone)
     ]
-    made += [("", keyword, f"(?<= ){_DENIED.format(name)}(?= )", _DENIAL, 0.0) for _, keyword, name, _ in named]
+    made += [("", keyword, f"(?<= ){_DENIED}(?:{name})(?= )", _DENIAL, 0.0) for _, keyword, name, _ in _NAMED]
     made += [(label, keyword, f"(?<= ){expression}(?= )", 3, 1.0) for label, keyword, expression in NOTICES]
     return [(i, *rule) for i, rule in enumerate(made + _spdx_rules())]
 
 
+def _stem(keyword: str) -> str:
+    """The longest word of a keyword that is not about licences as such."""
+    own = keyword.split()
+    return max([word for word in own if not word.startswith("licen")] or own, key=len)
+
+
+def _stems() -> tuple[str, ...]:
+    """Stems one of which begins a word in every match of a rule; none begins another."""
+    every = sorted({_stem(keyword) for _, _, keyword, *_ in rules()})
+    return tuple(s for s in every if not any(s != t and s.startswith(t) for t in every))
+
+
+STEMS = _stems()
+
+
+def _runs() -> list[dict]:
+    """Expressions to run by stem and keyword, with the rule that a match belongs to by its beginning.
+
+    The forms of a name become one expression, as no name ends where a form begins. A name with free words
+    may swallow the beginning of a form and keeps one expression for each.
+    """
+    every, groups, at = rules(), {}, 0
+
+    def add(expression: str, own: list, starts: list) -> None:
+        keyword = own[0][2]
+        stem = next(s for s in STEMS if _stem(keyword).startswith(s))
+        forms = [
+            {"starts": start, "rule": i, "label": label, "priority": priority, "weight": weight}
+            for start, (i, label, _, _, priority, weight) in zip(starts, own, strict=True)
+        ]
+        group = groups.setdefault(keyword, {"stem": stem, "keyword": keyword, "rules": []})
+        group["rules"].append({"expression": expression, "forms": forms})
+
+    denials = sum(len(_forms(alone)) for *_, alone in _NAMED)
+    for n, (_, _, name, alone) in enumerate(_NAMED):
+        forms = _forms(alone)
+        own = [every[denials + n], *every[at : at + len(forms)]]
+        at += len(forms)
+        if "[^ ]" in name:
+            for rule in own:
+                add(rule[3], [rule], [("",)])
+        else:
+            before = "|".join([_DENIED, *(before for _, before, *_ in forms if before)])
+            add(f"(?<= )(?:{before}){'?' if alone else ''}(?:{name})(?= )", own, [("not ",), *(starts for starts, *_ in forms)])
+    for rule in every[denials + len(_NAMED) :]:
+        add(rule[3], [rule], [("",)])
+    return list(groups.values())
+
+
+_RUNS = (
+    "array<struct<stem:string,keyword:string,rules:array<struct<expression:string,"
+    "forms:array<struct<starts:array<string>,rule:int,label:string,priority:int,weight:double>>>>>>"
+)
+
+
 def joined_words(text: Column) -> Column:
-    """Words of a text, joined by single spaces."""
-    lowered = F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    """Words of a text, joined by single spaces. Texts of ASCII only are lowered at once."""
+    whole = F.coalesce(text, F.lit(""))
+    plain = F.octet_length(whole) == F.length(whole)
+    lowered = F.when(plain, F.lower(whole)).otherwise(F.translate(whole, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
     return F.trim(F.regexp_replace(lowered, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " "))
 
 
@@ -274,34 +330,50 @@ def _spaces(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(" ")))
 
 
-def _rule_literals() -> Column:
-    """Rules by their keywords."""
-    groups: dict[str, list[Column]] = {}
-    for i, label, keyword, expression, priority, weight in rules():
-        rule = F.struct(
-            F.lit(i).alias("rule"), F.lit(label).alias("label"), F.lit(expression).alias("expression"),
-            F.lit(priority).alias("priority"), F.lit(weight).alias("weight"),
-        )
-        groups.setdefault(keyword, []).append(rule)
-    return F.array(*(F.struct(F.lit(keyword).alias("keyword"), F.array(*own).alias("rules")) for keyword, own in groups.items()))
+def _stems_in(padded: Column) -> Column:
+    """Distinct stems with which words of a text begin, found in one pass."""
+    letters: dict[str, list[str]] = {}
+    for stem in STEMS:
+        letters.setdefault(stem[0], []).append(stem[1:])
+    either = "|".join(f"{first}(?:{'|'.join(rest)})" for first, rest in letters.items())
+    return F.array_distinct(F.regexp_extract_all(padded, F.lit(f"(?<= )(?:{either})"), F.lit(0)))
+
 
+def _hits(padded: Column) -> Column:
+    """Expressions with matches in a text, and these matches."""
+    runs = F.from_json(F.lit(json.dumps(_runs())), _RUNS)
 
-def _spans_of(padded: Column, rule: Column) -> Column:
-    """Word intervals of all matches of a rule: spaces are counted through the parts between matches."""
-    matches = F.regexp_extract_all(padded, rule["expression"], F.lit(0))
-    parts = F.split(padded, rule["expression"])
+    def chosen(stem: Column) -> Column:
+        groups = F.filter(runs, lambda g: (g["stem"] == stem) & F.contains(padded, g["keyword"]))
+        return F.flatten(F.transform(groups, lambda g: g["rules"]))
+
+    def run(rule: Column) -> Column:
+        matches = F.regexp_extract_all(padded, rule["expression"], F.lit(0))
+        return F.struct(rule["expression"].alias("expression"), rule["forms"].alias("forms"), matches.alias("matches"))
+
+    every = F.flatten(F.transform(_stems_in(padded), chosen))
+    return F.filter(F.transform(every, run), lambda h: F.size(h["matches"]) > 0)
+
+
+def _spans_of(padded: Column, hit: Column) -> Column:
+    """Word intervals of all matches of an expression: spaces are counted through the parts between matches."""
+    parts = F.split(padded, hit["expression"])
     start = F.struct(F.lit(0).alias("at"), F.array().cast(_EMPTY).alias("spans"))
 
+    def form(match: Column) -> Column:
+        return F.filter(hit["forms"], lambda f: F.exists(f["starts"], lambda s: F.startswith(match, s)))[0]
+
     def step(state: Column, pair: Column) -> Column:
         first = state["at"] + _spaces(pair["part"])
         last = first + _spaces(pair["match"])
+        own = form(pair["match"])
         span = F.struct(
-            (first - 1).alias("first"), (last - 1).alias("last"), rule["label"].alias("label"),
-            rule["rule"].alias("rule"), rule["priority"].alias("priority"), rule["weight"].alias("weight"),
+            (first - 1).alias("first"), (last - 1).alias("last"), own["label"].alias("label"),
+            own["rule"].alias("rule"), own["priority"].alias("priority"), own["weight"].alias("weight"),
         )
         return F.struct(last.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
 
-    pairs = F.arrays_zip(F.slice(parts, 1, F.size(matches)).alias("part"), matches.alias("match"))
+    pairs = F.arrays_zip(F.slice(parts, 1, F.size(hit["matches"])).alias("part"), hit["matches"].alias("match"))
     return F.aggregate(pairs, start, step, lambda state: state["spans"])
 
 
@@ -340,11 +412,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         F.concat(F.lit(" "), F.col("_words"), F.lit(" ")).alias("_text"),
     )
     text = F.col("_text")
-    gate = F.lit(False)
-    for stem in STEMS:
-        gate = gate | text.contains(stem)
-    chosen = F.flatten(F.transform(F.filter(_rule_literals(), lambda g: F.contains(text, g["keyword"])), lambda g: g["rules"]))
-    gated = padded.withColumn("_chosen", F.when(gate, chosen))
+    gated = padded.withColumn("_hits", _hits(text))
     count, firsts, lasts, labels = [], [], [], []
     for k, (phrase, label) in enumerate(BASE):
         parts = F.when(text.contains(f" {phrase} "), F.split(text, f"(?<= ){re.escape(phrase).replace(chr(92) + ' ', ' ')}(?= )"))
@@ -356,9 +424,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         tail = _spaces(F.element_at(parts, -1)) + len(phrase.split()) - 1
         lasts.append((F.col("n_words") - tail).cast("long"))
         labels.append(F.when(parts.isNotNull(), F.lit(label)))
-    spans = F.when(
-        F.size(F.coalesce(F.col("_chosen"), F.array())) > 0, F.flatten(F.transform(F.col("_chosen"), lambda r: _spans_of(text, r)))
-    )
+    spans = F.when(F.size("_hits") > 0, F.flatten(F.transform("_hits", lambda h: _spans_of(text, h))))
     found = gated.withColumn("_spans", spans).withColumn(
         "detections", F.when(F.size(F.coalesce(F.col("_spans"), F.array())) > 0, _kept(F.col("_spans"))).otherwise(F.array().cast(_EMPTY))
     )
