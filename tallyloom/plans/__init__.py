@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators.checks import CheckFailed, count_by_check, exception_rows, hold_back, review_gate, with_reference
 from ..schemas import SEASON_TABLES
+from ..session import staging
 from ..sources.warehouse import Split, Warehouse
 
 
@@ -60,6 +61,14 @@ def commit(
     return counts
 
 
+def run_load(
+    warehouse: Warehouse, build: Callable[[], Load], policy: str = "fail", accepted: Sequence[str] = ()
+) -> dict[str, int]:
+    """Build a load and commit it; what it staged is removed when it ends or fails."""
+    with staging(warehouse.spark):
+        return commit(warehouse, build(), policy, accepted)
+
+
 def held_keys(
     found: Mapping[str, DataFrame], checks: Collection[str], keys: Sequence[str]
 ) -> DataFrame | None:

@@ -258,7 +258,11 @@ def reconcile_invoices(
     def held(checks):
         return found.filter(F.col("check_id").isin(*checks)).select("INVOICE_NBR").distinct()
 
+    own = {rule.check_id for _, of_frame in rules for rule in of_frame}
+
     def without(checks):
+        if not own & set(checks):
+            return {}
         kept_back = held(checks)
         return {
             "INVOICE_HEADER": new_headers(state_headers, missing_reference(billed, kept_back, ["INVOICE_NBR"])),

@@ -5,11 +5,16 @@ from __future__ import annotations
 import tempfile
 import uuid
 import weakref
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-_staged: weakref.WeakSet[DataFrame] = weakref.WeakSet()
+#: Staged frames and the folder of the scope that owns them ("" outside of any scope).
+_staged: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+_owner: ContextVar[str] = ContextVar("owner", default="")
 
 
 def local_session(app: str = "tallyloom", cores: str = "*") -> SparkSession:
@@ -45,18 +50,38 @@ def shared_dir(spark: SparkSession) -> str:
     return current.rstrip("/")
 
 
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[str]:
+    """Own all frames staged within the scope; their folder is removed when it ends or fails.
+
+    Frames that depend on them are of no use afterwards: what shall stay is
+    written within the scope. An inner scope removes only what it staged.
+    """
+    folder = f"{shared_dir(spark)}/stage/{uuid.uuid4().hex}"
+    token = _owner.set(folder)
+    try:
+        yield folder
+    finally:
+        _owner.reset(token)
+        for frame in [f for f, owner in _staged.items() if owner == folder]:
+            del _staged[frame]
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write a frame that several branches of a load need, and read it back.
 
     The table lies in the shared folder: a lost executor costs nothing, later
     branches start from a scan with known size and prune its columns. A frame
-    that is staged already is returned as it is.
+    that is staged already is returned as it is. Within :func:`staging` the
+    table belongs to the scope.
     """
     if df in _staged:
         return df
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/stage/{uuid.uuid4().hex}"
+    spark, owner = df.sparkSession, _owner.get()
+    path = f"{owner or shared_dir(spark) + '/stage'}/{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
-    _staged.add(back)
+    _staged[back] = owner
     return back

@@ -17,6 +17,9 @@ Positions = Mapping[int, tuple[str, str]]
 
 POSITION = ("_file", "_block", "_row")
 
+#: Lines of a block that are put in order together.
+SLICE_ROWS = 1_000_000
+
 
 class MissingFeed(FileNotFoundError):
     """A mandatory feed has no file."""
@@ -102,14 +105,21 @@ def numbered_lines(spark: SparkSession, path: str, skip: int) -> DataFrame:
     )
     if skip:
         first = lines.filter("_block = 0").groupBy("_file").agg(F.min("_row").alias("_first"))
-        lines = (
-            lines.join(first, "_file", "left")
-            .filter((F.col("_block") > 0) | (F.col("_row") - F.col("_first") >= skip))
-            .drop("_first")
-        )
+        beyond = (F.col("_block") > 0) | (F.col("_row") - F.col("_first") >= skip)
+        # the text itself depends on the row number: a later condition on typed cells is not moved to preamble rows
+        lines = lines.join(first, "_file", "left").withColumn("value", F.when(beyond, F.col("value"))).drop("_first")
     return lines.filter(F.trim("value") != "")
 
 
+def feed_slice(rows: int = SLICE_ROWS) -> Column:
+    """Consecutive slices of a file with positions, of at most so many lines.
+
+    A feed that cannot be split, as a compressed one, is a single block; its
+    slices let operators that go by the order of lines work in several tasks.
+    """
+    return F.struct(F.col("_block").alias("block"), F.floor(F.col("_row") / rows).alias("part"))
+
+
 def read_headered(spark: SparkSession, path: str, columns: Mapping[str, str]) -> DataFrame:
     """CSV with a header row; columns are found by name and forced to a type."""
     rows = _guarded(lambda: spark.read.option("header", True).csv(path), path)

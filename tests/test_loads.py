@@ -3,6 +3,7 @@
 import datetime as dt
 import itertools
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 from tallyloom import schemas
 from tallyloom.functions.amounts import buckets
 from tallyloom.operators.checks import CheckFailed, count_by_check
-from tallyloom.plans import Load, commit, conform, dimensions, empty_table, forms, invoices, movements, orders, purchase_orders, quarantined, write_exceptions
+from tallyloom.plans import Load, commit, conform, dimensions, empty_table, forms, invoices, movements, orders, purchase_orders, quarantined, run_load, write_exceptions
+from tallyloom.session import shared_dir, stage, staging
 from tallyloom.sources.delimited import read_feed_family, read_positional
 from tallyloom.sources.warehouse import Warehouse
 
@@ -371,3 +373,43 @@ def test_forms(spark, rows):
     assert ("bulk", "000123", "K", "61050", 1, "sp-20", 24, "00", "BULK") in rows(headers, "file", "hfc_nbr", "cat", "cust_nbr", "is_ecom", "ssn", "carton_size", "hfc_size_scale_code", "kind")
     assert rows(lines, "file", "ttl_qty", "s1", "s2", "s3", "s8", "adds_up") == [("bulk", 30, 10, 20, 0, 0, 1), ("bulk", 31, 10, 20, 0, 0, 0), ("mixed", 8, 0, 0, 8, 0, 1), ("pack", 6, 2, 4, 0, 0, 1)]
     assert count_by_check(found) == {"form_kind": 1, "form_body": 1, "form_line": 2, "form_line_total": 1}
+
+
+def staged_folders(spark):
+    folder = Path(f"{shared_dir(spark).removeprefix('file:')}/stage")
+    return {p.name for p in folder.iterdir()} if folder.exists() else set()
+
+
+def test_a_load_leaves_no_staged_frames(spark, tmp_path):
+    store, before = Warehouse(spark, str(tmp_path / "w")), staged_folders(spark)
+    state = frame(spark, "CUST string, CXL int", ("1", 0), ("2", 1))
+
+    def build(bad=False):
+        kept = stage(stage(state).filter("CXL = 0"))
+        assert staged_folders(spark) - before
+        found = kept.selectExpr("'c' check_id", "CUST key", "'' expected", "'' actual", "'r' reason")
+        return Load({"T": kept}, found if bad else None)
+
+    assert run_load(store, build) == {} and store.read("T").count() == 1
+    assert staged_folders(spark) == before
+    with pytest.raises(CheckFailed):
+        run_load(store, lambda: build(bad=True))
+    with pytest.raises(ZeroDivisionError), staging(spark):
+        stage(state)
+        1 / 0
+    assert staged_folders(spark) == before
+
+
+def test_scopes_own_what_they_stage(spark):
+    before, state = staged_folders(spark), frame(spark, "a int", (1,))
+    with staging(spark):
+        outer = stage(state)
+        with staging(spark):
+            assert stage(outer) is outer
+            inner = stage(state)
+        assert outer.count() == 1
+        again = stage(inner.limit(0).union(outer.limit(0)).union(state))
+        assert stage(again) is again
+    assert staged_folders(spark) == before
+    with pytest.raises(Exception, match="(?i)path|file"):
+        outer.collect()

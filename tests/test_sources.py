@@ -1,6 +1,9 @@
+import gzip
+
 import pytest
 from pyspark.sql import functions as F
 
+from tallyloom.operators.shape import carry_forward
 from tallyloom.schemas import ASSOCIATION
 from tallyloom.sources import delimited, forms
 from tallyloom.sources.warehouse import PublishConflict, Split, Warehouse
@@ -28,6 +31,29 @@ def test_preamble_counts_physical_lines(spark, rows, tmp_path):
     assert rows(delimited.trim_footer(df), "A") == [("b",), ("b",), ("x.csv",), ("y.csv",)]
 
 
+def test_compressed_feed_is_carried_in_slices(spark, tmp_path):
+    lines = [f"{i // 700 if i % 700 == 5 else ''},u,{i},q" for i in range(20000)]
+    with gzip.open(tmp_path / "one.csv.gz", "wt") as out:
+        out.write("\n".join(["title", "h,h,h,h", *lines]) + "\n")
+    df = delimited.read_positional(spark, str(tmp_path), {0: ("A", "nullable string"), 2: ("N", "long")}, skip=2, with_position=True)
+    assert df.select("_block").distinct().count() == 1
+    sliced = delimited.feed_slice(1000)
+    assert df.select(sliced).distinct().count() >= 20
+    # as for a feed beyond one task: joins by shuffle, partitions as they are
+    large = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for name, value in large.items():
+        spark.conf.set(name, value)
+    try:
+        filled = carry_forward(df, ["A"], ["_file"], ["_block", "_row"], sliced)
+        used = filled.filter("A IS NOT NULL AND N >= 0").groupBy(F.spark_partition_id()).count().count()
+    finally:
+        for name in large:
+            spark.conf.unset(name)
+    assert used > 1
+    got = {r.N: r.A for r in filled.collect()}
+    assert got == {i: str((i - 5) // 700) if i >= 5 else None for i in range(20000)}
+
+
 def test_preamble_across_blocks(spark, tmp_path):
     write(tmp_path / "big.csv", "t1", "t2", *[f"{i},u,{i},q" for i in range(20000)], "total,,0,")
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
