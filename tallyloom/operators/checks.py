@@ -60,7 +60,7 @@ class Rule:
     check_id: str
     bad: Column
     key: Sequence[ColumnOrName]
-    reason: str
+    reason: str | Column
     expected: ColumnOrName | None = None
     actual: ColumnOrName | None = None
 
@@ -79,7 +79,7 @@ def stacked_exceptions(df: DataFrame, rules: Sequence[Rule], carry: Sequence[str
                 key_text(*rule.key).alias("key"),
                 _text(rule.expected).alias("expected"),
                 _text(rule.actual).alias("actual"),
-                F.lit(rule.reason).alias("reason"),
+                F.lit(rule.reason).cast("string").alias("reason"),
             ),
         )
         for rule in rules

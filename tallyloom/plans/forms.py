@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, nested, rules, text
 from ..functions.amounts import buckets, pack_count
-from ..operators.checks import all_exceptions, exception_rows
+from ..operators.checks import Rule, all_exceptions, exception_rows, stacked_exceptions, with_reference
 from ..session import stage
-from ..sources.forms import body_end, body_lines, header_cells, mixed_forms
+from ..sources.forms import body_end, header_cells, marked_lines, named_scales
 
 # fixed values: texts that mark a web-shop order
 ECOM_MARKS = ("E-COM", "ECOM", ".COM")
@@ -37,18 +37,44 @@ def form_headers(cells: DataFrame) -> DataFrame:
     )
 
 
-def _placed(lines: DataFrame, labels: DataFrame) -> DataFrame:
-    """Put a curve's quantities at the places of the style's sizes."""
-    placed = lines.join(labels.withColumnRenamed("STYLE", "style"), "style", "left").withColumn(
-        "sizes", nested.align_curve("curve", "labels")
-    )
+def _used_scales(cells: DataFrame, headers: DataFrame, scales: DataFrame) -> DataFrame:
+    """Scales that forms can refer to, written once.
+
+    Most forms share a few scales. Where these are few, Spark sees it from the
+    written table and the lines need no shuffle by scale, which would send
+    nearly all of them to one task.
+    """
+    codes = headers.select(F.col("hfc_size_scale_code").alias("scale_code")).distinct().unionByName(named_scales(cells))
+    by_code = scales.select(F.col("SIZE_SCALE_CODE").alias("scale_code"), "SIZE_SCALE_DESC")
+    used = with_reference(by_code, codes, ["scale_code"])
+    return stage(used.select("scale_code", nested.scale_map("SIZE_SCALE_DESC").alias("_scale")))
+
+
+def _placed_lines(cells: DataFrame, headers: DataFrame, labels: DataFrame, scales: DataFrame) -> DataFrame:
+    """Lines of bulk and prepack forms, their quantities at the places of the style's sizes."""
+    prepack = F.col("kind") == "PPK"
+    code = F.when(F.col("mixed"), text.scale_after_at("style_desc")).otherwise(F.col("hfc_size_scale_code"))
+    packs = pack_count("ttl_qty", nested.pack_size("_scale"))
+    curve = F.when(prepack, nested.explode_prepack("_scale", "_packs")).otherwise(nested.curve_map("size_curve"))
     problem = (
-        F.when(F.col("labels").isNull(), "style has no size range")
+        F.when(prepack & F.col("_packs").isNull(), "not a whole number of packs")
+        .when(F.col("labels").isNull(), "style has no size range")
         .when(F.col("curve").isNull(), "size curve is unreadable")
         .when(F.col("sizes").isNull(), "more than eight sizes")
     )
-    return placed.withColumn("problem", F.coalesce("problem", problem)).withColumn(
-        "adds_up", (nested.placed_total("sizes") == F.col("ttl_qty")).cast("int")
+    named = headers.filter(F.col("kind").isin("BULK", "PPK")).select("file", "hfc_nbr", "kind", "hfc_size_scale_code")
+    return (
+        marked_lines(cells)
+        .join(named, "file")
+        .withColumn("ttl_qty", text.whole_number("ttl_qty"))
+        .withColumn("scale_code", F.when(prepack, code))
+        .join(_used_scales(cells, headers, scales), "scale_code", "left")
+        .withColumn("_packs", F.when(prepack, packs))
+        .withColumn("curve", curve)
+        .join(labels.withColumnRenamed("STYLE", "style"), "style", "left")
+        .withColumn("sizes", nested.align_curve("curve", "labels"))
+        .withColumn("problem", problem)
+        .withColumn("adds_up", (nested.placed_total("sizes") == F.col("ttl_qty")).cast("int"))
     )
 
 
@@ -60,34 +86,7 @@ def form_lines(
     ``labels`` has the ordered sizes per STYLE, ``scales`` the table of size
     scales. A line set aside carries the reason in ``problem``.
     """
-    lines = (
-        body_lines(cells)
-        .join(headers.select("file", "hfc_nbr", "kind", "hfc_size_scale_code"), "file")
-        .withColumn("ttl_qty", text.whole_number("ttl_qty"))
-    )
-    bulk = (
-        lines.filter("kind = 'BULK'")
-        .withColumn("curve", nested.curve_map("size_curve"))
-        .withColumn("problem", F.lit(None).cast("string"))
-    )
-    mixed = mixed_forms(cells).withColumn("_mixed", F.lit(True))
-    by_code = scales.select(
-        F.col("SIZE_SCALE_CODE").alias("scale_code"), nested.scale_map("SIZE_SCALE_DESC").alias("_scale")
-    )
-    code = F.when(F.col("_mixed"), text.scale_after_at("style_desc")).otherwise(F.col("hfc_size_scale_code"))
-    packs = pack_count("ttl_qty", nested.pack_size("_scale"))
-    prepack = (
-        lines.filter("kind = 'PPK'")
-        .join(mixed, "file", "left")
-        .withColumn("scale_code", code)
-        .join(by_code, "scale_code", "left")
-        .withColumn("_packs", packs)
-        .withColumn("curve", nested.explode_prepack("_scale", "_packs"))
-        .withColumn("problem", F.when(F.col("_packs").isNull(), "not a whole number of packs"))
-        .select(*bulk.columns)
-    )
-    # good and bad lines and two checks read this
-    placed = stage(_placed(bulk, labels).unionByName(_placed(prepack, labels)))
+    placed = _placed_lines(cells, headers, labels, scales)
     keep = [
         "file", "hfc_nbr", "kind", "row", "style", "asst", "style_desc", "proto", "color_code",
         "ttl_qty", "fob", "msrp", "elc", "sp",
@@ -104,14 +103,20 @@ def read_forms(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(headers, lines, exceptions) of all forms; unclear forms are set aside."""
     headers = form_headers(cells)
-    good, bad = form_lines(cells, headers, labels, scales)
+    good, _ = form_lines(cells, headers, labels, scales)
+    place, line = ["file", "hfc_nbr"], ["file", "style", "color_code"]
+    of_form = [
+        Rule("form_kind", F.col("kind").isNull(), place, "bulk and prepack marks disagree"),
+        Rule("form_category", F.col("cat").isNull(), place, "neither knit nor woven is ticked"),
+    ]
+    fine = F.col("problem").isNull()
+    of_line = [
+        Rule("form_line", ~fine, line, F.col("problem")),
+        Rule("form_line_total", fine & (F.col("adds_up") == 0), line, "sizes do not add up", expected="ttl_qty"),
+    ]
     found = [
-        exception_rows(headers.filter("kind is null"), "form_kind", ["file", "hfc_nbr"], "bulk and prepack marks disagree"),
-        exception_rows(headers.filter("cat is null"), "form_category", ["file", "hfc_nbr"], "neither knit nor woven is ticked"),
+        stacked_exceptions(headers, of_form),
         exception_rows(body_end(cells).filter("not ended"), "form_body", ["file"], "no blank row ends the lines"),
-        exception_rows(bad, "form_line", ["file", "style", "color_code"], F.col("problem")),
-        exception_rows(
-            good.filter("adds_up = 0"), "form_line_total", ["file", "style", "color_code"], "sizes do not add up", expected="ttl_qty"
-        ),
+        stacked_exceptions(_placed_lines(cells, headers, labels, scales), of_line),
     ]
     return headers, good, all_exceptions(found)

@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import is_blank
+from ..functions.text import is_blank, scale_after_at
 
 # fixed values: (row, column) of the header fields
 HEADER_CELLS = {
@@ -60,44 +60,73 @@ def header_cells(cells: DataFrame, layout: Mapping[str, tuple[int, int]] = HEADE
     return wanted.groupBy("file").agg(*fields)
 
 
+def _sheet_rows(cells: DataFrame, columns: Mapping[str, int]) -> DataFrame:
+    """One row per body row of each form, and one without a number for what stands above the body.
+
+    ``_used`` counts the rows down to this one whose leading cell is not
+    blank; ``_leading`` marks those before the first blank one. Cells are
+    summed up before rows meet, and all that follows is partitioned by form.
+    """
+    inside = F.col("row") >= BODY_ROW
+    known = cells.filter(F.col("file").isNotNull())
+    fields = [F.max(F.when(F.col("col") == c, F.col("value"))).alias(n) for n, c in columns.items()]
+    flag = lambda cond: F.max(F.when(cond, 1).otherwise(0))
+    sheet = [F.max("row").alias("_last"), flag(_names_scale()).alias("_mixed")]
+    body = known.filter(inside).groupBy("file", "row").agg(
+        *fields,
+        *sheet,
+        flag((F.col("col") == 0) & ~is_blank("value")).alias("_filled"),
+        flag(F.col("col").isin(*columns.values())).alias("_line"),
+    )
+    # only numbers are summed here, which needs no sort
+    above = known.filter(~F.coalesce(inside, F.lit(False))).groupBy("file").agg(*sheet)
+    rows = body.unionByName(above, allowMissingColumns=True)
+    down = Window.partitionBy("file").orderBy("row").rowsBetween(Window.unboundedPreceding, 0)
+    counted = rows.withColumn("_used", F.sum("_filled").over(down))
+    leading = (F.col("_filled") == 1) & (F.col("_used") == F.col("row") - (BODY_ROW - 1))
+    return counted.withColumn("_leading", F.coalesce(leading, F.lit(False)).cast("int"))
+
+
 def body_end(cells: DataFrame) -> DataFrame:
     """First body row whose leading cell is blank, and the last row of the form.
 
-    ``ended`` is false for forms that never reach a blank row. Found with one
-    anti join on (file, row): no form is ever sorted or gathered.
+    ``ended`` is false for forms that never reach a blank row.
     """
-    sheet = cells.groupBy("file").agg(F.max("row").alias("last_row"))
-    used = (
-        cells.filter((F.col("row") >= BODY_ROW) & (F.col("col") == 0) & ~is_blank("value"))
-        .select("file", "row")
-        .distinct()
-    )
-    before = sheet.select("file", F.lit(BODY_ROW - 1).alias("row")).unionByName(used)
-    following = before.select("file", (F.col("row") + 1).alias("row"))
-    end = (
-        following.join(used, ["file", "row"], "left_anti")
-        .groupBy("file")
-        .agg(F.min("row").alias("end_row"))
-    )
-    return sheet.join(end, "file").select(
-        "file", "end_row", (F.col("end_row") <= F.col("last_row")).alias("ended")
-    )
+    ends = _sheet_rows(cells, {}).groupBy("file").agg(
+        F.sum("_leading").alias("_n"), F.max("_last").alias("last_row")
+    ).filter(F.col("last_row").isNotNull())
+    end = (F.col("_n") + BODY_ROW).cast(cells.schema["row"].dataType)
+    return ends.select("file", end.alias("end_row"), (end <= F.col("last_row")).alias("ended"))
 
 
 def body_lines(cells: DataFrame, columns: Mapping[str, int] = BODY_COLUMNS) -> DataFrame:
     """Body rows of every form that ends properly, one column per field."""
-    fields = [F.max(F.when(F.col("col") == c, F.col("value"))).alias(n) for n, c in columns.items()]
-    rows = (
-        cells.filter((F.col("row") >= BODY_ROW) & F.col("col").isin(*columns.values()))
-        .groupBy("file", "row")
-        .agg(*fields)
+    return marked_lines(cells, columns).drop("mixed")
+
+
+def marked_lines(cells: DataFrame, columns: Mapping[str, int] = BODY_COLUMNS) -> DataFrame:
+    """Body rows as in :func:`body_lines`; ``mixed`` as :func:`mixed_forms` has it."""
+    whole = Window.partitionBy("file")
+    rows = _sheet_rows(cells, columns).withColumns(
+        {
+            "_n": F.sum("_leading").over(whole),
+            "_end": F.max("_last").over(whole),
+            "mixed": F.max("_mixed").over(whole) == 1,
+        }
     )
-    end = body_end(cells).filter("ended").select("file", "end_row")
-    return rows.join(end, "file").filter(F.col("row") < F.col("end_row")).drop("end_row")
+    ended = F.col("_n") + BODY_ROW <= F.col("_end")
+    return rows.filter((F.col("_leading") == 1) & (F.col("_line") == 1) & ended).select("file", "row", *columns, "mixed")
+
+
+def _names_scale() -> Column:
+    return (F.col("col") == 3) & F.col("value").contains("@")
 
 
 def mixed_forms(cells: DataFrame) -> DataFrame:
     """Forms that name a scale behind ``@`` in any description cell."""
-    return (
-        cells.filter((F.col("col") == 3) & F.col("value").contains("@")).select("file").distinct()
-    )
+    return cells.filter(_names_scale()).select("file").distinct()
+
+
+def named_scales(cells: DataFrame) -> DataFrame:
+    """Scales that description cells name, once each."""
+    return cells.filter(_names_scale()).select(scale_after_at("value").alias("scale_code")).distinct()
