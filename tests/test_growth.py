@@ -1,6 +1,11 @@
 """Steps that are worked out once, and rows that need not move."""
 
-from tallyloom.plans import forms as form_plans
+import pytest
+from pyspark.sql import functions as F
+
+from tallyloom import schemas
+from tallyloom.operators import shape
+from tallyloom.plans import conform, forms as form_plans, movements
 from tallyloom.sources import forms
 
 CELLS = "file string, row int, col int, value string"
@@ -31,3 +36,40 @@ def test_lines_are_not_dealt_by_scale(spark):
     # both kinds of lines go through the same steps, with no union of two branches
     assert "Union" not in plan(lines)
     assert {r["check_id"] for r in found.collect()} == {"form_category"}
+
+
+def test_totals_rows_are_found_first(spark, rows):
+    df = spark.createDataFrame([("f", 1, "a"), ("f", 2, "total"), ("g", 1, "b"), ("g", 3, "total")], "f string, n int, v string")
+    kept = shape.drop_last(df, ["f"], ["n"])
+    assert rows(kept) == [("f", 1, "a"), ("g", 1, "b")]
+    assert "BroadcastHashJoin" in plan(kept) and "SortMergeJoin" not in plan(kept)
+
+
+def containers(spark, pending):
+    state = conform(
+        spark.createDataFrame([("000011", "ABCD1234567", 3)], "HFC_NBR string, CONTAINER_NBR string, CARTON_CTN int"), schemas.TABLES["HFC_CONTAINER"]
+    )
+    sheet = spark.createDataFrame(
+        [("S1", "2020-05-01", "ABCD1234567", "000011", 5), ("S1", "2020-05-01", "ABCD7654321", "000012", 6)],
+        "SHIPMENT_NBR string, ETA string, CONTAINER_NBR string, HFC_NBR string, CARTON_CTN int",
+    ).withColumn("ETA", F.to_date("ETA"))
+    receiving = spark.createDataFrame(
+        [("9", "11", "ABCD1234567", "I0"), *pending], "CTRL_NBR string, HFC string, CONTAINER_NBR string, INVOICE_NBR string"
+    ).withColumns({"STYLE": F.lit("1"), "COLOR": F.lit("1"), "REC_DATE": F.lit("2020-05-03")})
+    whse = spark.createDataFrame([("ABCD1234567", "2020-05-05")], "CONTAINER_NBR string, WHSE_REC_DATE string")
+    headers = spark.createDataFrame([("000011", "SP-20", 1, 2), ("000012", "SP-20", 1, 2)], "HFC_NBR string, SEASON string, DIV int, CARTON_SIZE int")
+    details = spark.createDataFrame([("000011", "1", "1", 20, 0)], "HFC_NBR string, STYLE string, COLOR_CODE string, TTL_QTY long, CXL int")
+    short = spark.createDataFrame([("000011", "1", "1", 2)], "HFC string, STYLE string, COLOR string, DIFF int")
+    return movements.load_containers(state, sheet, receiving, whse, headers, details, short)
+
+
+def test_checks_of_containers_do_not_count_cartons_to_come(spark, rows):
+    load = containers(spark, [(None, "12", "ABCD7654321", "I1"), (None, "12", "ABCD7654321 ", "I1")])
+    assert "TTL_QTY" not in plan(load.exceptions) and "TTL_QTY" in plan(load.states["HFC_CONTAINER"])
+    got = rows(load.states["HFC_CONTAINER"], "HFC_NBR", "CONTAINER_NBR", "CARTON_CTN", "RECVD", "INVOICE_NBR", "CTN_TO_COME")
+    assert got == [("000011", "ABCD1234567", 5, 1, None, 6), ("000012", "ABCD7654321", 6, 0, "I1", None)]
+
+
+def test_two_pending_invoices_of_a_pair_stop_the_load(spark):
+    with pytest.raises(Exception, match="repeated key in source"):
+        containers(spark, [(None, "12", "ABCD7654321", "I1"), (None, "12", "ABCD7654321", "I2")])
