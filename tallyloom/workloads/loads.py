@@ -781,11 +781,12 @@ def _buy_orders(spark, folder):
 def _buy_lines(spark, folder):
     """(stored lines, lines of the feed)"""
     units = F.sum(F.col("l_quantity").cast("long")).alias("UNITS")
-    sums = table(spark, folder, "lineitem").groupBy("l_orderkey", "l_partkey", "l_suppkey").agg(units)
-    lines = sums.join(table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).select(
+    sums = table(spark, folder, "lineitem").repartition("l_orderkey").groupBy("l_orderkey", "l_partkey", "l_suppkey").agg(units)
+    # stored lines, feed, seasons and held lines read this: written once
+    lines = stage(sums.join(table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).select(
         text.zfill(digits("l_orderkey"), 6).alias("HFC"), text.zfill(digits("l_partkey"), 6).alias("STYLE"), digits("l_suppkey").alias("COLOR"),
         "UNITS", season_of(F.to_date("o_orderdate")).alias("SSN"), "o_orderstatus",
-    )
+    ))
     feed = lines.filter("o_orderstatus <> 'F'").select(
         "HFC", "STYLE", "COLOR", "UNITS", "SSN", *[F.lit("x").alias(c) for c in ("COLOR_DESC", "HFC_LINE_SIZE_SCALE", "ASST")],
         *[F.lit(1.0).alias(c) for c in ("FOB", "ELC", "SP", "MSRP")],

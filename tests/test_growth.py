@@ -7,6 +7,7 @@ from tallyloom import schemas
 from tallyloom.operators import shape
 from tallyloom.plans import conform, forms as form_plans, movements
 from tallyloom.sources import forms
+from tallyloom.workloads import loads
 
 CELLS = "file string, row int, col int, value string"
 
@@ -73,3 +74,14 @@ def test_checks_of_containers_do_not_count_cartons_to_come(spark, rows):
 def test_two_pending_invoices_of_a_pair_stop_the_load(spark):
     with pytest.raises(Exception, match="repeated key in source"):
         containers(spark, [(None, "12", "ABCD7654321", "I1"), (None, "12", "ABCD7654321", "I2")])
+
+
+def test_lines_under_quarantine_are_summed_once(spark, tmp_path):
+    days = "2000-01-01"
+    spark.createDataFrame([(1, 5, 3, 2.0, days)], "l_orderkey long, l_partkey long, l_suppkey long, l_quantity double, l_shipdate string").write.parquet(
+        str(tmp_path / "lineitem.parquet")
+    )
+    spark.createDataFrame([(1, "P", days)], "o_orderkey long, o_orderstatus string, o_orderdate string").write.parquet(str(tmp_path / "orders.parquet"))
+    stored, feed = loads._buy_lines(spark, str(tmp_path))
+    assert not [f for df in (stored, feed) for f in df.inputFiles() if "lineitem" in f]
+    assert [tuple(r) for r in feed.select("HFC", "STYLE", "COLOR", "UNITS", "SSN").collect()] == [("000001", "000005", "3", 2, "SP-00")]
