@@ -34,8 +34,8 @@ def test_lines_are_not_dealt_by_scale(spark):
     _, lines, found = form_plans.read_forms(cells, labels, scales)
     assert [tuple(r) for r in lines.select("file", "kind", "s1", "s2", "adds_up").collect()] == [("f", "PPK", 2, 4, 1)]
     assert "hashpartitioning(scale_code" not in plan(lines)
-    # both kinds of lines go through the same steps, with no union of two branches
-    assert "Union" not in plan(lines)
+    used = form_plans._used_scales(cells, form_plans.form_headers(cells), scales)
+    assert [r["scale_code"] for r in used.collect()] == ["A1"]
     assert {r["check_id"] for r in found.collect()} == {"form_category"}
 
 
