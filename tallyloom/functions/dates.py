@@ -15,9 +15,8 @@ _US_FORMAT = "M/d/yyyy"
 def us_date(c: ColumnOrName) -> Column:
     """Month/day/year; a bad or blank value stops the job, NULL stays NULL."""
     c = as_col(c)
-    parsed = F.try_to_date(c, _US_FORMAT)
     bad = F.raise_error(F.concat(F.lit("not a month/day/year date: "), c))
-    return F.when(c.isNotNull() & parsed.isNull(), bad.cast("date")).otherwise(parsed)
+    return F.coalesce(F.try_to_date(c, _US_FORMAT), F.when(c.isNotNull(), bad.cast("date")))
 
 
 def us_date_or_null(c: ColumnOrName) -> Column:

@@ -25,9 +25,9 @@ CONTAINER_EXEMPT = ("AIR", "FEDEX")
 def zfill(c: ColumnOrName, width: int) -> Column:
     """Pad with zeros on the left; longer values stay whole, a sign stays in front."""
     c = as_col(c).cast("string")
-    zeros = F.repeat(F.lit("0"), F.lit(width) - F.length(c))
-    signed = F.concat(F.left(c, F.lit(1)), zeros, F.substr(c, F.lit(2)))
-    return F.when(F.left(c, F.lit(1)).isin("-", "+"), signed).otherwise(F.concat(zeros, c))
+    signed = F.concat(F.left(c, F.lit(1)), F.lpad(F.substr(c, F.lit(2)), width - 1, "0"))
+    short = F.when(F.left(c, F.lit(1)).isin("-", "+"), signed).otherwise(F.lpad(c, width, "0"))
+    return F.when(F.length(c) >= width, c).otherwise(short)
 
 
 def strip(c: ColumnOrName) -> Column:

@@ -32,6 +32,17 @@ def local_session(app: str = "tallyloom", cores: str = "*") -> SparkSession:
     )
 
 
+def split_methods(spark: SparkSession) -> None:
+    """Have Spark split generated methods that HotSpot would never compile.
+
+    A wide projection or merge in one method beyond 8,000 bytes of code is
+    interpreted row by row. A limit that the session sets itself stays.
+    """
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    if spark.conf.get(limit, "65535") == "65535":
+        spark.conf.set(limit, "8000")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
 

@@ -7,9 +7,12 @@ Modules register their cases here; ``QUERIES`` maps a name to a function
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import split_methods
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -18,7 +21,12 @@ ORACLES: dict[str, str] = {}
 
 def case(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(query: Query) -> Query:
-        QUERIES[name] = query
+        @wraps(query)
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            split_methods(spark)
+            return query(spark, folder)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return query

@@ -27,7 +27,7 @@ def digits(c: str | Column) -> Column:
 
 def season_of(day: Column) -> Column:
     half = F.when(F.month(day) <= 6, "SP-").otherwise("FA-")
-    return F.concat(half, F.date_format(day, "yy"))
+    return F.concat(half, F.lpad((F.year(day) % 100).cast("string"), 2, "0"))
 
 
 def z(expr: str, width: int) -> str:
@@ -171,7 +171,7 @@ FEED_ORDERS = f"fd AS (SELECT * FROM ol WHERE STATUS <> 'F' AND ORDER_DATE >= DA
 def as_text(lines: DataFrame, dates: str = "M/d/yyyy") -> DataFrame:
     """Order lines as the extract spells them: dates in a pattern, short codes."""
     us = lambda c: F.date_format(c, dates)
-    bare = lambda c: F.regexp_replace(c, "^0+(?=.)", "")
+    bare = lambda c: F.concat(F.ltrim(F.left(c, F.length(c) - 1), F.lit("0")), F.right(c, F.lit(1)))
     return lines.withColumns(
         {
             "CUST_NBR": bare("CUST_NBR"),
