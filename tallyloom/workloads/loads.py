@@ -8,6 +8,7 @@ from .. import schemas
 from ..functions import text
 from ..functions.amounts import buckets
 from ..session import stage
+from ..operators.mutate import scope_values
 from ..plans import commit, conform, dimensions, movements, orders, purchase_orders, quarantined, write_exceptions
 from ..sources.warehouse import Warehouse
 from . import ORACLES, case
@@ -130,7 +131,8 @@ def _load_orders(spark, folder, generation):
         dated,
         orders.clean_open_orders(open_orders(lines)),
         generation,
-        seasons=cleaned,
+        # a few rows, written first: Spark sees that and does not shuffle the table by season
+        seasons=stage(scope_values(cleaned, "SEASON")),
     )
 
 

@@ -3,9 +3,11 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tallyloom import schemas
+from tallyloom import schemas, workloads
+from tallyloom.functions import dates, text
 from tallyloom.operators import shape
 from tallyloom.plans import conform, forms as form_plans, movements
+from tallyloom.session import split_methods
 from tallyloom.sources import forms
 from tallyloom.workloads import loads
 
@@ -46,6 +48,45 @@ def test_totals_rows_are_found_first(spark, rows):
     assert "BroadcastHashJoin" in plan(kept) and "SortMergeJoin" not in plan(kept)
 
 
+def test_dates_are_parsed_and_ids_padded_once(spark, rows):
+    df = spark.createDataFrame([("1/2/2020", "-5"), (None, None), ("12/31/1999", "1234567"), ("2/29/2020", "")], "d string, v string")
+    out = df.select(dates.us_date("d").alias("d"), text.zfill("v", 6).alias("v"))
+    assert plan(out).count("gettimestamp") == 1 and "repeat(" not in plan(out)
+    got = [(str(d), v) for d, v in rows(out)]
+    assert got == [("1999-12-31", "1234567"), ("2020-01-02", "-00005"), ("2020-02-29", "000000"), ("None", None)]
+    with pytest.raises(Exception, match="not a month/day/year date"):
+        spark.createDataFrame([("2/30/2020",)], "d string").select(dates.us_date("d")).collect()
+
+
+def test_queries_have_wide_methods_split(spark):
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    try:
+        spark.conf.set(limit, "65535")
+        assert workloads.case("q")(lambda spark, folder: spark.conf.get(limit))(spark, "") is not None
+        assert workloads.QUERIES.pop("q")(spark, "") == "8000"
+        spark.conf.set(limit, "9000")
+        split_methods(spark)
+        assert spark.conf.get(limit) == "9000"
+    finally:
+        spark.conf.set(limit, "8000")
+
+
+def test_seasons_of_the_order_feed_are_listed_once_each(spark, tmp_path, monkeypatch):
+    days = "2000-01-01"
+    lines = [(k, 5, 3, 1, 2.0, 3.0, "N", "O", days) for k in (1, 2, 3)]
+    fields = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_returnflag string"
+    spark.createDataFrame(lines, f"{fields}, l_linestatus string, l_shipdate string").write.parquet(str(tmp_path / "lineitem.parquet"))
+    orders = [(1, 7, "P", days, "1-URGENT"), (2, 7, "O", days, "1-URGENT"), (3, 7, "O", "2000-08-01", "1-URGENT")]
+    names = "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate string, o_orderpriority string"
+    spark.createDataFrame(orders, names).write.parquet(str(tmp_path / "orders.parquet"))
+    given = []
+    load = loads.orders.load_orders
+    monkeypatch.setattr(loads.orders, "load_orders", lambda *args, seasons: given.append(seasons) or load(*args, seasons=seasons))
+    new = loads._load_orders(spark, str(tmp_path), 3)
+    assert sorted(tuple(r) for r in given[0].collect()) == [("FA-00",), ("SP-00",)] and given[0].inputFiles()
+    assert "hashpartitioning(SEASON" not in plan(new) and new.count() == 3
+
+
 def containers(spark, pending):
     state = conform(
         spark.createDataFrame([("000011", "ABCD1234567", 3)], "HFC_NBR string, CONTAINER_NBR string, CARTON_CTN int"), schemas.TABLES["HFC_CONTAINER"]
