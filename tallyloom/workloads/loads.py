@@ -551,6 +551,9 @@ def load_po_headers(spark, folder):
     )
 
 
+_PO_COLUMNS = ["GREEN_BAR", "STYLE", "COLOR", "DIV", "ORDER_DATE", "SEASON", "ORDERED_UNITS", "PICK_UNITS", "BAL", *buckets(), "STATUS", "STORED"]
+
+
 @case(
     "q_load_po_lines",
     f"""{with_clause(ORDER_LINES, PO_DETAILS, PO_HEADERS)},
@@ -563,9 +566,8 @@ def load_po_headers(spark, folder):
     FROM m LEFT JOIN ol b ON b.DIV = 2 AND b.GREEN_BAR = HFC_NBR AND b.STYLE = m.STYLE AND b.COLOR = COLOR_CODE""",
 )
 def load_po_lines(spark, folder):
-    lines = shared_lines(spark, folder)
-    older = lines.filter("STATUS <> 'O'").select(F.col("GREEN_BAR").alias("HFC_NBR"), "STYLE", F.col("COLOR").alias("COLOR_CODE"))
-    state = po_details(lines).join(older, ["HFC_NBR", "STYLE", "COLOR_CODE"], "left_semi")
+    lines = shared_lines(spark, folder, *_PO_COLUMNS)
+    state = po_details(lines.filter("STORED").na.drop(subset=["STYLE", "COLOR"]))
     raw = feed_orders(lines).select(
         F.col("SEASON").alias("SSN"),
         F.col("GREEN_BAR").alias("HFC"),
@@ -576,8 +578,9 @@ def load_po_lines(spark, folder):
         F.col("ORDERED_UNITS").alias("UNITS"),
         F.lit("1").alias("HFC_LINE_SIZE_SCALE"),
     )
+    feed = purchase_orders.clean_lines(raw)
     loaded = purchase_orders.load_po_lines(
-        conform(state, schemas.TABLES["HFC_DETAIL"]), purchase_orders.clean_lines(raw), po_headers(spark, folder)
+        conform(state, schemas.TABLES["HFC_DETAIL"]), feed, po_headers(spark, folder), seasons=stage(scope_values(feed, "SSN"))
     ).states["HFC_DETAIL"]
     breaks = lines.select(
         F.concat(F.when(F.col("DIV") == 2, "HFC").otherwise("ORD"), F.col("GREEN_BAR")).alias("HFC"),
@@ -839,7 +842,8 @@ def line_quarantine(spark, folder):
     store = Warehouse(spark, scratch(spark, "store"))
     headers = _held_headers(spark, folder, store)
     seasons = store.read("HFC_HEADER").select("HFC_NBR", "SEASON")
-    lines = purchase_orders.load_po_lines(*_buy_lines(spark, folder), seasons, held=quarantined(headers))
+    stored, feed = _buy_lines(spark, folder)
+    lines = purchase_orders.load_po_lines(stored, feed, seasons, held=quarantined(headers), seasons=stage(scope_values(feed, "SSN")))
     commit(store, lines, "quarantine")
     return store.read("HFC_DETAIL").select("HFC_NBR", "STYLE", "COLOR_CODE", "TTL_QTY", "CXL")
 
@@ -857,6 +861,7 @@ def held_reports(spark, folder):
     totals = dimensions.scale_totals(scales.states["SIZE_SCALE"])
     headers = purchase_orders.load_po_headers(*_buy_orders(spark, folder), totals, held_scales=quarantined(scales))
     seasons = headers.states["HFC_HEADER"].select("HFC_NBR", "SEASON")
-    lines = purchase_orders.load_po_lines(*_buy_lines(spark, folder), seasons, held=quarantined(headers))
+    stored, feed = _buy_lines(spark, folder)
+    lines = purchase_orders.load_po_lines(stored, feed, seasons, held=quarantined(headers), seasons=stage(scope_values(feed, "SSN")))
     found = scales.exceptions.unionByName(headers.exceptions).unionByName(lines.exceptions)
     return found.groupBy("check_id").agg(F.count("*").alias("n"))

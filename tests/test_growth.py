@@ -9,7 +9,7 @@ from tallyloom.operators import shape
 from tallyloom.plans import conform, forms as form_plans, movements
 from tallyloom.session import split_methods
 from tallyloom.sources import forms
-from tallyloom.workloads import loads
+from tallyloom.workloads import adapters, loads
 
 CELLS = "file string, row int, col int, value string"
 
@@ -87,6 +87,40 @@ def test_seasons_of_the_order_feed_are_listed_once_each(spark, tmp_path, monkeyp
     assert "hashpartitioning(SEASON" not in plan(new) and new.count() == 3
 
 
+def _one_order(spark, folder, orders):
+    day = "2000-01-01"
+    fields = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_returnflag string"
+    lines = [(k, p, 3, 1, 2.0, 3.0, "N", "O", day) for k in (1, 2, 3) for p in (5, None)]
+    spark.createDataFrame(lines, f"{fields}, l_linestatus string, l_shipdate string").write.parquet(str(folder / "lineitem.parquet"))
+    names = "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate string, o_orderpriority string"
+    spark.createDataFrame([(k, 7, s, day, "2-HIGH") for k, s in orders], names).write.parquet(str(folder / "orders.parquet"))
+    return str(folder)
+
+
+def test_stored_lines_are_told_by_their_order(spark, rows, tmp_path):
+    folder = _one_order(spark, tmp_path, [(1, "O"), (1, "P"), (2, "O"), (3, None), (3, "F"), (None, "F")])
+    lines = adapters.shared_lines(spark, folder, "GREEN_BAR", "STYLE", "COLOR", "STATUS", "STORED")
+    assert lines.columns == ["GREEN_BAR", "STYLE", "COLOR", "STATUS", "STORED"] and not [f for f in lines.inputFiles() if "lineitem" in f]
+    key = ["GREEN_BAR", "STYLE", "COLOR"]
+    kept = lines.join(lines.filter("STATUS <> 'O'").select(*key), key, "left_semi")
+    assert kept.count() == 4
+    assert rows(lines.filter("STORED").na.drop(subset=["STYLE", "COLOR"]), *key, "STATUS") == rows(kept, *key, "STATUS")
+    assert "STORED" not in adapters.order_lines(spark, folder).columns
+
+
+def test_lines_of_purchase_orders_are_not_joined_with_themselves_or_dealt_by_season(spark, tmp_path):
+    folder = _one_order(spark, tmp_path, [(1, "P"), (2, "O"), (3, "F")])
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    try:
+        spark.conf.set(limit, "1k")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        done = plan(loads.load_po_lines(spark, folder))
+        assert "LeftSemi" not in done and "hashpartitioning(_season" not in done
+    finally:
+        spark.conf.set(limit, "10m")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def containers(spark, pending):
     state = conform(
         spark.createDataFrame([("000011", "ABCD1234567", 3)], "HFC_NBR string, CONTAINER_NBR string, CARTON_CTN int"), schemas.TABLES["HFC_CONTAINER"]
