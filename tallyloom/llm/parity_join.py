@@ -29,7 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens, words
@@ -176,12 +176,29 @@ def _row_hash():
     return F.xxhash64("doc_id", "text")
 
 
+def _place(value: Column) -> Column:
+    return F.pmod(value, F.lit(_BITMAP)) + 1  # Spark's bitmaps count from 1
+
+
+def _marks(hashes: DataFrame, value: Column, free: str = "_") -> DataFrame:
+    """A bitmap of fixed size of places, in rows: it only saves work, so a full one does no harm."""
+    place = _place(value)
+    return hashes.groupBy(F.bitmap_bucket_number(place).alias(f"{free}n")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias(f"{free}b"))
+
+
+def _split(df: DataFrame, value: Column, marks: DataFrame, free: str = "_") -> tuple[DataFrame, DataFrame]:
+    """Rows whose place is marked, and the rest, which hold no value of the marked ones; neither is shuffled."""
+    place = _place(value)
+    bit = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring(f"{free}b", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    marked = F.coalesce(F.bit_get(byte, (bit % 8).cast("int")) == 1, F.lit(False))
+    looked_up = df.join(F.broadcast(marks), F.bitmap_bucket_number(place) == F.col(f"{free}n"), "left")
+    return looked_up.where(marked).select(*df.columns), looked_up.where(~marked).select(*df.columns)
+
+
 def _bitmap(hashes: DataFrame) -> np.ndarray:
-    """A bitmap of fixed size of ``row_hash`` places: it only saves work, so a full one does no harm."""
-    place = F.pmod("row_hash", F.lit(_BITMAP)) + 1  # Spark's bitmaps count from 1
-    rows = hashes.groupBy(F.bitmap_bucket_number(place).alias("n")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("b"))
     out = np.zeros(_BITMAP // 8 + 4096, dtype=np.uint8)
-    for n, b in rows.collect():
+    for n, b in _marks(hashes, F.col("row_hash")).collect():
         out[(n - 1) * 4096 : n * 4096] = np.frombuffer(bytes(b), dtype=np.uint8)
     return out
 
@@ -248,6 +265,22 @@ def _verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     return joined.where(common * rule.whole >= union * rule.part).select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
+def _representatives(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """One row of each set. Only rows that may be copies are shuffled with their keys."""
+    filled = rows.where("n_shingles > 0")
+    copies = stage(filled.select("row", "d1", "d2").join(classes.select("d1", "d2", "node"), ["d1", "d2"]).where("row <> node").select("row"))
+    some, others = _split(filled, F.xxhash64("row"), _marks(copies, F.xxhash64("row")))
+    return others.unionByName(some.join(copies, "row", "left_anti"))
+
+
+def _open_keys(rooted: DataFrame) -> DataFrame:
+    """``key, g``: parts whose ``g`` members lie in several components; of parts with the same members, one."""
+    members = [F.bit_xor(F.xxhash64("node", F.lit(salt))).alias(f"_m{salt}") for salt in (0, 1)]
+    sizes = F.count(F.lit(1)).alias("g"), F.min("root").alias("_l"), F.max("root").alias("_h")
+    found = rooted.groupBy("key").agg(*sizes, *members).where("_l <> _h")
+    return found.groupBy("g", "_m0", "_m1").agg(F.min("key").alias("key")).select("key", "g")
+
+
 def link(docs: DataFrame, rule: Rule = Rule()) -> tuple[DataFrame, DataFrame]:
     """Rows ``doc_id, row_hash, n_shingles, d1, d2, row`` of all documents, and classes of equal sets
     ``d1, d2, first_id, root`` where classes of one component share a root."""
@@ -258,9 +291,7 @@ def link(docs: DataFrame, rule: Rule = Rule()) -> tuple[DataFrame, DataFrame]:
     classes = rows.where("n_shingles > 0").groupBy("d1", "d2").agg(F.min("row").alias("node"), F.min("doc_id").alias("first_id"))
     classes = stage(classes)
 
-    single = rows.join(classes.select("node"), F.col("row") == F.col("node"), "left_semi")
-    single = single.select(F.col("row").alias("node"), "row_hash", F.col("n_shingles").alias("n"), "keys")
-    parts = single.select("node", F.explode("keys").alias("key"))
+    parts = _representatives(rows, classes).select(F.col("row").alias("node"), F.explode("keys").alias("key"))
     shared = parts.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
     members = stage(parts.join(shared, "key"))
 
@@ -269,7 +300,7 @@ def link(docs: DataFrame, rule: Rule = Rule()) -> tuple[DataFrame, DataFrame]:
     wanted = spark.sparkContext.broadcast(_bitmap(nodes))
     placed = docs.select(F.pmod(_row_hash(), F.lit(_BITMAP)).alias("place"), "text")
     made = placed.mapInArrow(_set_maker(rule, wanted), _SETS)
-    sets = stage(nodes.select("node", "d1", "d2", "n").join(made, ["d1", "d2"]).drop("d1", "d2").dropDuplicates(["node"]))
+    sets = stage(nodes.select("node", "d1", "d2", "n").join(made.dropDuplicates(["d1", "d2"]), ["d1", "d2"]).drop("d1", "d2"))
 
     center = F.when(F.pmod("key", F.lit(2)) == 0, F.col("low")).otherwise(F.col("high"))
     first = members.select("node", center.alias("center")).where("node <> center")
@@ -278,10 +309,9 @@ def link(docs: DataFrame, rule: Rule = Rule()) -> tuple[DataFrame, DataFrame]:
     roots = components(links)
 
     rooted = members.select("key", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    open_keys = rooted.groupBy("key").agg(F.count(F.lit(1)).alias("g"), F.min("root").alias("_l"), F.max("root").alias("_h")).where("_l <> _h")
     blocks = F.ceil(F.col("g") / _BLOCK).cast("int")
     left = (
-        rooted.join(open_keys.select("key", "g"), "key")
+        rooted.join(_open_keys(rooted), "key")
         .withColumn("_own", F.pmod(F.xxhash64("node", "key"), blocks).cast("int"))
         .withColumn("_other", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .select(
@@ -291,8 +321,10 @@ def link(docs: DataFrame, rule: Rule = Rule()) -> tuple[DataFrame, DataFrame]:
         .join(sets.select("node", "n", "bits"), "node")
     )
     dealt = left.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
-    more = dealt.mapInArrow(_comparer(rule), "a long, b long").distinct()
-    links = stage(links.unionByName(_verified(more, sets, rule)))
+    more = stage(dealt.mapInArrow(_comparer(rule), "a long, b long").distinct())
+    ends = F.xxhash64("node")
+    named, _ = _split(sets, ends, _marks(more.select(F.explode(F.array("a", "b")).alias("node")), ends))
+    links = stage(links.unionByName(_verified(more, named, rule)))
     classes = classes.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node")).drop("node")
     return rows.drop("keys"), classes
 
@@ -317,7 +349,7 @@ def keep_first(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     keys = found.groupBy("root", *keyed).agg(F.count(F.lit(1)).alias("rows"))
     best = keys.groupBy("root").agg(F.min(F.struct("none", "i", "h")).alias("best"))
     first = F.struct("none", "i", "h") == F.col("best")
-    # what goes, and what stays once; a small table next to the documents, so that their texts need not travel
+    # what goes, and what stays once; texts of documents that are surely neither need not travel
     others = stage(keys.join(best, "root").where(~first | (F.col("rows") > 1)).select("i", "none", "h", first.alias("again")))
     free = "_"  # no column starts with it, whatever the columns of docs are
     while any(c.lower().startswith(free) for c in docs.columns):
@@ -326,6 +358,7 @@ def keep_first(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     own = F.coalesce("doc_id", F.lit(0)), F.col("doc_id").isNull(), _row_hash()
     hashed_docs = docs.select("*", *(c.alias(n) for c, n in zip(own, names)))
     others = others.toDF(*names, f"{free}again")
-    rest = hashed_docs.join(others, names, "left_anti")
-    once = hashed_docs.join(others.where(f"{free}again"), names, "left_semi").dropDuplicates(names)
-    return rest.unionByName(once).select(*docs.columns)
+    some, untouched = _split(hashed_docs, F.col(names[2]), _marks(others, F.col(names[2]), free), free)
+    rest = some.join(others, names, "left_anti")
+    once = some.join(others.where(f"{free}again"), names, "left_semi").dropDuplicates(names)
+    return untouched.unionByName(rest).unionByName(once).select(*docs.columns)

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tallyloom.llm import parity_join
 from tallyloom.llm.components import components
@@ -129,3 +130,28 @@ def test_components_of_chains_and_stars(spark):
     want = {i: 0 for i in range(41)} | {i: 100 for i in range(100, 400)} | {999: 600, 600: 600, 700: 600}
     assert got == want
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_rows_with_no_marked_place_are_not_shuffled(spark):
+    rows = spark.range(0, 3000, 1, 3).select(F.col("id").alias("row"))
+    value = F.xxhash64("row")
+    some, others = parity_join._split(rows, value, parity_join._marks(rows.where("row % 3 = 0"), value))
+    wanted = {r.row for r in rows.where("row % 3 = 0").collect()}
+    first, rest = {r.row for r in some.collect()}, {r.row for r in others.collect()}
+    assert wanted <= first and len(first) < 1100 and not first & rest and len(first | rest) == 3000
+    assert "hashpartitioning(row" not in others._jdf.queryExecution().executedPlan().toString()
+    some, others = parity_join._split(rows, value, parity_join._marks(rows.limit(0), value))
+    assert some.count() == 0 and others.count() == 3000
+
+
+def test_parts_with_the_same_members_are_compared_once(spark):
+    members = [(1, 10, 10), (1, 11, 11), (2, 10, 10), (2, 11, 11), (3, 10, 10), (3, 12, 12), (4, 10, 10), (4, 13, 10), (5, 10, 10), (5, 11, 11), (5, 12, 12)]
+    rooted = spark.createDataFrame(members, "key long, node long, root long")
+    assert sorted(map(tuple, parity_join._open_keys(rooted).collect())) == [(1, 2), (3, 2), (5, 3)]
+
+
+def test_one_row_of_each_set_is_dealt(spark):
+    rows = [(i, i % 4 if i < 8 else 0, 1, [i]) for i in range(10)] + [(10, 0, 0, [])]
+    rows = spark.createDataFrame([(r, d, d, n, k) for r, d, n, k in rows], "row long, d1 long, d2 long, n_shingles long, keys array<long>")
+    classes = rows.where("n_shingles > 0").groupBy("d1", "d2").agg(F.min("row").alias("node"))
+    assert sorted(r.row for r in parity_join._representatives(rows, classes).collect()) == [0, 1, 2, 3]
