@@ -41,6 +41,7 @@ _RATIO = 3
 _SPARE = 1.2
 _BLOCK = 1024
 _BITMAP = 1 << 24
+_FIRST = 16
 
 
 @dataclass(frozen=True)
@@ -204,7 +205,11 @@ def _bitmap(hashes: DataFrame) -> np.ndarray:
 
 
 def _near(rows: list, rule: Rule):
-    """Pairs of different components among the rows of a block pair whose sketches are near enough."""
+    """Pairs of different components among the rows of a block pair whose sketches are near enough.
+
+    A pair that meets in a smaller part as well, as the first parts of both
+    tell, is left to that: what its sketches refuse there does not link.
+    """
     side = np.array([r["side"] for r in rows])
     comp = np.array([r["root"] for r in rows])
     node = np.array([r["node"] for r in rows])
@@ -213,6 +218,11 @@ def _near(rows: list, rule: Rule):
     major = kinds[counts.argmax()]
     words = min(len(r["bits"]) for r in rows) // 8
     sketch = np.stack([folded(np.frombuffer(r["bits"], dtype=np.uint64), words) for r in rows])
+    key = rows[0]["key"]
+    smaller = np.full((len(rows), _FIRST), key, dtype=np.int64)  # the part itself stands for none
+    for place, r in enumerate(rows):
+        own = [k for k in r["firsts"] if k < key]
+        smaller[place, : len(own)] = own
     for i in np.flatnonzero(comp != major):
         other = (comp != comp[i]) & ((side == 2) | (side != side[i]))
         other &= (comp == major) | (node > node[i])
@@ -222,12 +232,14 @@ def _near(rows: list, rule: Rule):
         low, high = np.minimum(n[at], n[i]), np.maximum(n[at], n[i])
         most = (low + high) * (rule.whole - rule.part) // (rule.whole + rule.part)
         apart = np.bitwise_count(sketch[at] ^ sketch[i]).sum(axis=1)
-        for j in at[(apart <= most) & (high * rule.part <= low * rule.whole)]:
+        at = at[(apart <= most) & (high * rule.part <= low * rule.whole)]
+        at = at[~np.isin(smaller[at], smaller[i][smaller[i] < key]).any(axis=1)]
+        for j in at:
             yield int(min(node[i], node[j])), int(max(node[i], node[j]))
 
 
 def _comparer(rule: Rule):
-    names = ("key", "x", "y", "side", "node", "root", "n", "bits")
+    names = ("key", "x", "y", "side", "node", "root", "n", "bits", "firsts")
 
     def compare(batches):
         held, at = [], None
@@ -309,16 +321,17 @@ def link(docs: DataFrame, rule: Rule = Rule()) -> tuple[DataFrame, DataFrame]:
     roots = components(links)
 
     rooted = members.select("key", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    chosen = stage(rooted.join(_open_keys(rooted), "key"))
+    firsts = chosen.groupBy("node").agg(F.slice(F.array_sort(F.collect_set("key")), 1, _FIRST).alias("firsts"))
     blocks = F.ceil(F.col("g") / _BLOCK).cast("int")
     left = (
-        rooted.join(_open_keys(rooted), "key")
-        .withColumn("_own", F.pmod(F.xxhash64("node", "key"), blocks).cast("int"))
+        chosen.withColumn("_own", F.pmod(F.xxhash64("node", "key"), blocks).cast("int"))
         .withColumn("_other", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .select(
             "key", "node", "root", F.least("_own", "_other").alias("x"), F.greatest("_own", "_other").alias("y"),
             F.when(F.col("_own") == F.col("_other"), 2).when(F.col("_own") < F.col("_other"), 0).otherwise(1).alias("side"),
         )
-        .join(sets.select("node", "n", "bits"), "node")
+        .join(sets.select("node", "n", "bits").join(firsts, "node"), "node")
     )
     dealt = left.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
     more = stage(dealt.mapInArrow(_comparer(rule), "a long, b long").distinct())

@@ -155,3 +155,16 @@ def test_one_row_of_each_set_is_dealt(spark):
     rows = spark.createDataFrame([(r, d, d, n, k) for r, d, n, k in rows], "row long, d1 long, d2 long, n_shingles long, keys array<long>")
     classes = rows.where("n_shingles > 0").groupBy("d1", "d2").agg(F.min("row").alias("node"))
     assert sorted(r.row for r in parity_join._representatives(rows, classes).collect()) == [0, 1, 2, 3]
+
+
+def test_a_pair_that_shares_several_parts_is_named_once():
+    rule = Rule(1, 80, 100)
+    sets = [np.arange(100, dtype=np.uint64) * np.uint64(77) + np.uint64(k) * np.uint64(77) for k in (0, 1, 2)]
+    keys = [[3, 5, 9], [5, 9], [3, 9]]
+
+    def named(key):
+        there = [i for i, own in enumerate(keys) if key in own]
+        rows = [{"key": key, "side": 2, "node": i, "root": i, "n": 100, "bits": parity_join.bits(sets[i]).tobytes(), "firsts": keys[i]} for i in there]
+        return sorted(parity_join._near(rows, rule))
+
+    assert [named(k) for k in (3, 5, 9)] == [[(0, 2)], [(0, 1)], [(1, 2)]]
