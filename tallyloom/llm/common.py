@@ -20,14 +20,28 @@ from tallyloom.session import shared_dir, stage
 __all__ = ["fresh_folder", "open_store", "partitions", "release", "ship", "shared_dir", "stage", "table", "text_slices"]
 
 _shipped: weakref.WeakSet = weakref.WeakSet()
+#: Bytes of texts that are worked on at once.
+_SLICE = 1 << 22
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Have Spark hand texts to workers by the slice.
+
+    A batch lies in the executor and in its worker at once, up to 64 MB in
+    each by Spark's default. A limit that the session sets itself stays.
+    """
+    limit, default = "spark.sql.execution.arrow.maxBytesPerBatch", f"{1 << 26}b"
+    if spark.conf.get(limit, default) == default:
+        spark.conf.set(limit, str(_SLICE))
+
+
 def ship(spark: SparkSession) -> None:
     """Give the executors this package, once per context, so that functions run in tasks can be imported there."""
+    small_batches(spark)
     context = spark.sparkContext
     if context in _shipped:
         return
@@ -55,7 +69,7 @@ def open_store(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
-def text_slices(batch: pa.RecordBatch, column: int, rows: int = 512, size: int = 1 << 22):
+def text_slices(batch: pa.RecordBatch, column: int, rows: int = 512, size: int = _SLICE):
     """Slices of a batch of at most ``rows`` rows and about ``size`` bytes of that column, one row at least."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
     begin = 0

@@ -38,6 +38,8 @@ TERMS = 2048
 DIMENSIONS = 64
 NEIGHBOURS = 15
 _BLOCK = 512
+#: Rows of a block whose votes are counted at once.
+_VOTES = 64
 #: Words that a worker remembers: some 30 MB.
 _MOST = 100_000
 _LONGEST = 64
@@ -137,7 +139,9 @@ class Model:
         if not k:
             return np.full(len(vectors), self.prior)
         cosine = vectors @ self.vectors.T
-        nearest = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
+        nearest = np.empty((len(vectors), k), dtype=np.int64)
+        for begin in range(0, len(vectors), _VOTES):  # the order of a whole block takes twice what its cosines take
+            nearest[begin : begin + _VOTES] = np.argpartition(-cosine[begin : begin + _VOTES], k - 1, axis=1)[:, :k]
         vote = np.maximum(np.take_along_axis(cosine, nearest, axis=1), 0) ** 8
         total = vote.sum(axis=1)
         mean = (vote * self.labels[nearest]).sum(axis=1) / np.where(total > 0, total, 1)
@@ -160,22 +164,34 @@ def training_rows(docs: DataFrame, labels: DataFrame, bound: int = LABELLED) ->
     return texts.groupBy("doc_id", "_label").agg(best).select("doc_id", "_best.text", "_label")
 
 
+def _clear() -> None:
+    """Free what other operators have left in a worker, and give it back before this one takes its own."""
+    tokens.forget()
+    words.forget()
+    release()
+
+
 def _distinct_words(batches):
-    for batch in batches:
-        for text in batch.column(0).to_pylist():
+    _clear()
+    for part in (p for batch in batches for p in text_slices(batch, 0, _BLOCK)):
+        for text in part.column(0).to_pylist():
             own = {w.strip(".,;:!?\"'()").lower() for w in text.split()}
             yield pa.RecordBatch.from_arrays([pa.array([w for w in own if w], pa.string())], names=["word"])
+    release()
 
 
 def _term_rows(vocabulary: dict[str, int]):
     def read(batches):
+        _clear()
         codes = _Codes(vocabulary)
-        for batch in batches:
-            found = [terms(t, codes) for t in batch.column(1).to_pylist()]
+        for part in (p for batch in batches for p in text_slices(batch, 1, _BLOCK)):
+            found = [terms(t, codes) for t in part.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array([n for n, _ in found], pa.list_(pa.int64())), pa.array([c for _, c in found], pa.list_(pa.float64()))],
+                [part.column(0), part.column(2), pa.array([n for n, _ in found], pa.list_(pa.int64())), pa.array([c for _, c in found], pa.list_(pa.float64()))],
                 names=["doc_id", "label", "numbers", "counts"],
             )
+        codes.clear()
+        release()
 
     return read
 
@@ -217,8 +233,7 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = LABELLED, size: int = T
 
 def _scorer(model):
     def score(batches):
-        tokens.forget()
-        words.forget()
+        _clear()
         own = model.value
         codes = _Codes(own.vocabulary)
         for batch in batches:
@@ -243,8 +258,7 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
 
 def _filter(model, least: float):
     def keep(batches):
-        tokens.forget()
-        words.forget()
+        _clear()
         own = model.value
         codes = _Codes(own.vocabulary)
         for batch in batches:

@@ -1,12 +1,14 @@
 """The classifier's held-out accuracy and votes, tiling against a plain search, and the pipeline."""
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 
 import corpus_pipeline
-from tallyloom.llm import quality, tiling
+from tallyloom.llm import common, quality, tiling, tokens
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -39,6 +41,51 @@ def test_votes_are_exact(spark):
         assert abs(got - (vote @ labels[order]) / vote.sum()) < 1e-9
 
 
+def test_votes_take_little_more_than_the_cosines():
+    rng = np.random.default_rng(4)
+    model = quality.Model({}, np.ones(1), np.eye(8), rng.standard_normal((5000, 8)), (rng.random(5000) < 0.6).astype(float), 15)
+    block = rng.standard_normal((512, 8))
+    alone = np.concatenate([model.score(block[i : i + 1]) for i in range(0, 512, 37)])
+    tracemalloc.start()
+    try:
+        got = model.score(block)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert np.allclose(got[::37], alone) and most < 1.5 * 512 * 5000 * 8
+
+
+def test_fit_frees_what_other_operators_left():
+    texts = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["a b", None]).fill_null(""), pa.array([1, 0])], names=["doc_id", "text", "_label"])
+    for make, batch in ((quality._distinct_words, texts.select(["text"])), (quality._term_rows({"a": 1}), texts)):
+        tokens._coders["left", True] = object()
+        try:
+            assert sum(b.num_rows for b in make(iter([batch]))) == 2
+            assert not tokens._coders
+        finally:
+            tokens._coders.clear()
+
+
+def test_workers_get_texts_by_the_slice(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes]), pa.array([batch.num_rows])], names=["size", "n"])
+
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(limit)
+    try:
+        spark.conf.unset(limit)
+        common.ship(spark)
+        texts = spark.range(0, 6000, 1, 1).selectExpr("id", "repeat('x', 3000) AS text")
+        got = texts.mapInArrow(sizes, "size long, n long").collect()
+        assert sum(r.n for r in got) == 6000 and max(r["size"] for r in got) < 5 << 20
+        spark.conf.set(limit, "1000000")
+        common.ship(spark)
+        assert spark.conf.get(limit) == "1000000"
+    finally:
+        spark.conf.set(limit, before)
+
+
 def test_quality_of_odd_rows(spark):
     docs = spark.createDataFrame([(1, None, "x"), (None, "", "x"), (2, "w " * 30000, "x"), (2, "UPPER!! |", "x")], "doc_id long, text string, score string")
     labels = spark.createDataFrame([(2, 1), (2, None), (7, 0), (None, 1)], "doc_id long, quality int")
