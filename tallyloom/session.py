@@ -86,13 +86,14 @@ def stage(df: DataFrame) -> DataFrame:
     The table lies in the shared folder: a lost executor costs nothing, later
     branches start from a scan with known size and prune its columns. A frame
     that is staged already is returned as it is. Within :func:`staging` the
-    table belongs to the scope.
+    table belongs to the scope. It is read a few times and then removed, so it
+    is written in the codec that takes least room.
     """
     if df in _staged:
         return df
     spark, owner = df.sparkSession, _owner.get()
     path = f"{owner or shared_dir(spark) + '/stage'}/{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     _staged[back] = owner
     return back
