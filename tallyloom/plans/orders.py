@@ -72,7 +72,8 @@ def impute_ship_date(
     Some customers are looked up by order number instead. Both look-ups share
     one aggregation and one join: every line carries the kind of reference it
     uses, and shipped lines are summed up under both kinds. Dates are looked
-    up per ``group`` (the input file).
+    up per ``group`` (the input file). Lines that are not due keep their date
+    and are not shuffled for the look-up.
     """
     shipped = (
         lines.filter((F.col("SHIPPED_UNITS") > 0) & F.col("SHIP_ON_DATE").isNotNull())
@@ -95,18 +96,15 @@ def impute_ship_date(
         & (F.col("PICK_UNITS") == 0)
         & F.col("SHIP_ON_DATE").isNull()
     )
-    referenced = lines.withColumns(
+    due = F.coalesce(due, F.lit(False))
+    referenced = lines.filter(due).withColumns(
         {
             "_kind": F.when(by_order, "ORDER").otherwise("PO"),
             "_ref": F.when(by_order, F.col("GREEN_BAR")).otherwise(F.col("CUST_PO")),
         }
     )
-    filled = F.when(due, F.col("_shipped_on")).otherwise(F.col("SHIP_ON_DATE"))
-    return (
-        referenced.join(shipped, [group, "_kind", "_ref"], "left")
-        .withColumn("SHIP_ON_DATE", filled)
-        .select(*lines.columns)
-    )
+    filled = referenced.join(shipped, [group, "_kind", "_ref"], "left").withColumn("SHIP_ON_DATE", F.col("_shipped_on"))
+    return lines.filter(~due).unionByName(filled.select(*lines.columns))
 
 
 def impute_ship_date_by_order(lines: DataFrame, group: str = "FILE") -> DataFrame:
