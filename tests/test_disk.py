@@ -1,12 +1,14 @@
 """Loads that move and write less: rows are shuffled once, narrow, and staged in few bytes."""
 
 import datetime as dt
+import time
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from tallyloom.plans import orders
-from tallyloom.session import stage
-from tallyloom.workloads import adapters
+from tallyloom.plans import invoices, movements, orders
+from tallyloom.session import shuffles_removed, stage
+from tallyloom.workloads import adapters, reconcile
 
 DAY = "2000-01-01"
 
@@ -28,6 +30,24 @@ def test_staged_frames_take_little_room(spark):
     assert all(".zst" in f for f in stage(spark.range(3).toDF("n")).inputFiles())
 
 
+def test_shuffle_files_of_staged_frames_do_not_stay(spark, rows):
+    flag = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    kept = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses()
+    before = {kept.keySet().toString()}
+    found = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.count("*").alias("n"))
+    old = set(before.pop()[4:-1].replace(" ", "").split(","))
+    back = stage(found)
+    for _ in range(50):
+        left = set(kept.keySet().toString()[4:-1].replace(" ", "").split(",")) - old
+        if not left - {""}:
+            break
+        time.sleep(0.2)
+    assert not left - {""}
+    assert rows(back) == rows(found) and spark.conf.get(flag, "false") == "false"
+    with shuffles_removed(spark):
+        assert spark.conf.get(flag) == "true"
+
+
 def test_order_lines_are_shuffled_once_as_they_are_read(spark, rows, tmp_path):
     line = lambda key, nbr, flag, status, day=DAY: (key, 5, 3, nbr, 2.0, 3.0, 0.0, 0.0, flag, status, day)
     lines = [line(1, 1, "N", "O"), line(1, 1, "A", "F", "2000-02-01"), line(1, 2, "A", "O"), line(1, 3, "R", "O"), line(1, 4, None, "O")]
@@ -61,3 +81,34 @@ def test_only_due_lines_are_looked_up(spark, rows):
     finally:
         spark.conf.set(limit, "10m")
     assert "Union" in looked
+
+
+def test_no_two_orders_share_a_container(spark, rows, tmp_path):
+    keys = [5, 9_999_999, 10_000_000, 10_000_001, 123_456_789]
+    lines = [(k, 5, 250_000, n, 2.0, 3.0, 0.0, 0.0, "N", "F" if k % 2 else "O", DAY) for k in keys for n in (1, 2)]
+    heads = [(k, 7, "P", 1.0, DAY, "1-URGENT" if k == 10_000_001 else "2-HIGH") for k in keys]
+    folder = tables(spark, tmp_path, [*lines, (200_000_000, 5, 250_000, 1, 2.0, 3.0, 0.0, 0.0, "N", "O", DAY)], [*heads, (200_000_000, 7, "O", 1.0, DAY, "2-HIGH")])
+    spark.createDataFrame([(250_000, 2)], "s_suppkey long, s_nationkey int").write.parquet(f"{folder}/supplier.parquet")
+    inputs = reconcile._container_inputs(spark, folder)
+    sheet = rows(inputs[1], "CONTAINER_NBR")
+    assert [c for (c,) in sheet] == ["AB10000001", "ABCD0000005", "ABCD9999999", "ABCE0000000", "ABCP3456789"]
+    assert "hashpartitioning(ok" not in plan(inputs[1])
+    new = movements.container_state(*inputs)
+    got = {c: (n, got) for c, n, got in rows(new, "CONTAINER_NBR", "CARTON_CTN", "RECVD")}
+    assert got["ABCD0000005"] == (2, 1) and got["ABCE0000000"] == (2, 0) and got["ABCP3456789"] == (2, 1)
+    assert new.count() == 6  # the urgent order is there with a short number and with a stored one
+    _, boxes = reconcile._invoice_boxes(spark, folder)
+    assert rows(boxes, "CONTAINER_NBR") == [("ABCD0000005",), ("ABCD9999999",), ("ABCE0000001",), ("ABCP3456789",)]
+
+
+def test_rows_of_an_invoice_stay_together_until_they_are_summed(spark, rows):
+    lines = [("i", "h", 2, 0.1, 0.2), ("i", "h", 3, 0.2, None), ("i", "g", 1, None, None), (None, "h", 4, 1.0, 1.0), (None, "h", 5, 1.0, 1.0)]
+    lines = spark.createDataFrame(lines, "INVOICE_NBR string, HFC string, PCS long, LINE_AMT double, DUTY_FREE_LINE_AMT double")
+    boxes = spark.createDataFrame([("i", "h", 2), ("i", "h", 1), ("j", "h", 4), ("j", None, None)], "INVOICE_NBR string, HFC_NBR string, CARTON_CTN int")
+    sums = invoices.order_sums(lines, boxes)
+    text = plan(sums)
+    assert text.count("Exchange") == 1 and "hashpartitioning(INVOICE_NBR" in text and "Exchange hashpartitioning(INVOICE_NBR#" in text and ", HFC#" not in text.split("hashpartitioning(")[1].split(")")[0]
+    got = {(r["INVOICE_NBR"], r["HFC"]): (r["PCS"], r["LINE_AMT"], r["DUTY_FREE_LINE_AMT"], r["CTN_SUM"], r["LINES"], r["BOXES"]) for r in sums.collect()}
+    assert got[("i", "h")] == (5, Decimal("0.3"), Decimal("0.2"), 3, 1, 1) and got[("i", "g")] == (1, None, None, None, 1, None)
+    assert got[(None, "h")] == (9, 2, 2, None, 1, None) and got[("j", "h")] == (None, None, None, 4, None, 1) and len(got) == 5
+    assert [(r["PCS"], r["CTN_SUM"]) for r in invoices.invoice_sums(sums).filter("INVOICE_NBR = 'i'").collect()] == [(6, 3)]
